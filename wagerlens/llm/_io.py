@@ -56,3 +56,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def text_column(df: DataFrame, name: str = "text"):
     """The column ``name`` as string, also where the table holds bytes."""
     return df[name].cast("string")
+
+
+def slices(batch, column: int, budget: int):
+    """Slices of an Arrow batch whose strings in ``column`` take about ``budget`` bytes.
+
+    A longer string is a slice of its own, so memory follows the budget and the longest text.
+    """
+    import numpy as np
+    import pyarrow.compute as pc
+
+    if not batch.num_rows:
+        return
+    sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), dtype=np.int64)
+    lo = 0
+    while lo < len(sizes):
+        hi = lo + max(1, int(np.searchsorted(np.cumsum(sizes[lo:]), budget, side="right")))
+        yield batch.slice(lo, hi - lo)
+        lo = hi

@@ -26,10 +26,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wagerlens.llm._io import slices
+
 #: Entries of a memo before it is dropped.
-MEMO = 600_000
+MEMO = 300_000
 #: Bytes of distinct words that one replay takes; a longer word is replayed alone.
 REPLAY_BYTES = 8_000_000
+#: Bytes of text that are split and joined at once.
+BATCH_BYTES = 6_000_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -237,9 +241,11 @@ class MergeReplay:
         return b"".join(map(self.decimal.__getitem__, joined.split()))
 
 
-_odd = re.compile(r"\s \s").search
+#: White space as the pattern has it.
+WS = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_odd = re.compile(rf"[{WS}] [{WS}]").search
 _plain = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?*%$#&|]*)").fullmatch
-_runs = re.compile(r"\s*\S+|\s+").findall
+_runs = re.compile(rf"[{WS}]*[^{WS}]+|[{WS}]+").findall
 
 
 def segments(text: str) -> tuple[list[str], list[str]]:
@@ -289,7 +295,7 @@ def encode_documents(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = replayer(path, pattern)
         kinds = {"n_tokens": pa.int64(), "ids": pa.list_(pa.int32()), "decoded": pa.binary(), "ids_sha256": pa.string(), "decoded_sha256": pa.string()}
-        for batch in batches:
+        for batch in (s for b in batches for s in slices(b, 1, BATCH_BYTES)):
             joined = bpe.encode_batch(batch.column(1).to_pylist())
             cols: dict[str, list] = {k: [] for k in asked}
             for s in joined:

@@ -5,15 +5,47 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wagerlens.llm import merge_replay, shard_partition
+from wagerlens.llm import lang_id, merge_replay, quality_pu, shard_partition, token_count, token_shards
 from wagerlens.llm._io import table
 
 
+def _remainder(n: int):
+    """crc32 of the id as text, modulo ``n``."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
+
+
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = _remainder(4) == 2
+    net = lang_id.learn(docs, ~held_out)
+    return lang_id.identify(docs.select("doc_id", "text"), net).select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+def op2_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_shards.token_shards(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = _remainder(5) == 0
+    net = quality_pu.learn(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return quality_pu.score(docs.select("doc_id", "text"), net).select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_partition.shard_documents(table(spark, sf_dir, "documents"), n_shards=16)
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_count.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
+
+
 def op10_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -27,7 +59,11 @@ def op10_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_language": op1_language,
+        "op2_token_shards": op2_token_shards,
+        "op4_quality": op4_quality,
         "op7_sharding": op7_sharding,
+        "op8_token_counts": op8_token_counts,
         "op10_merge_replay": op10_merge_replay,
     }
 
