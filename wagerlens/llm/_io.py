@@ -74,3 +74,20 @@ def slices(batch, column: int, budget: int):
         hi = lo + max(1, int(np.searchsorted(np.cumsum(sizes[lo:]), budget, side="right")))
         yield batch.slice(lo, hi - lo)
         lo = hi
+
+
+def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """Adds ``name``: 0, 1, ... in the given order, by range partitions and their totals.
+
+    The partitions are written once, so that their bounds stay what they are.
+    """
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    n = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ranged = stage(df.repartitionByRange(n, *order).withColumn("__part", F.spark_partition_id()), "numbered")
+    within = Window.partitionBy("__part").orderBy(*order)
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    totals = ranged.groupBy("__part").agg(F.count("*").alias("__n")).select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    numbers = ranged.withColumn("__row", F.row_number().over(within) - 1).join(F.broadcast(totals), "__part")
+    return stage(numbers.withColumn(name, (F.col("__row") + F.col("__before")).cast("long")).drop("__part", "__row", "__before"), "numbered")

@@ -304,14 +304,19 @@ def encode_documents(
                     if k == "n_tokens":
                         v.append(s.count(b" ") + 1 if s else 0)
                     elif k == "ids":
-                        v.append([int(x) for x in s.split()])
+                        continue
                     elif k == "decoded":
                         v.append(raw)
                     elif k == "ids_sha256":
                         v.append(hashlib.sha256(s).hexdigest())
                     else:
                         v.append(hashlib.sha256(raw).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(v, kinds[k]) for k, v in cols.items())], names=["id", *cols])
+            made = {k: pa.array(v, kinds[k]) for k, v in cols.items() if k != "ids"}
+            if "ids" in cols:
+                ends = np.cumsum([0, *(s.count(b" ") + 1 if s else 0 for s in joined)])
+                flat = np.array(b" ".join(filter(None, joined)).split(), dtype="S8").astype(np.int32)
+                made["ids"] = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(made[k] for k in cols)], names=["id", *cols])
 
     kind = df.schema[id_col].dataType.simpleString()
     schema = ", ".join([f"id {kind}", *(f"{k} {OUTPUTS[k]}" for k in asked)])
