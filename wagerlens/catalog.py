@@ -5,14 +5,346 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+from wagerlens.functions import coerce
+from wagerlens.operators import merging, modelling, outliers, versions
+from wagerlens.plans.engine import DEFAULT, FeatureContext, oracle, oracle_scenario, stats_row
+from wagerlens.plans.features import DAY_US, FEATURES, Window
+from wagerlens.sources.domain import ORACLE_CTES, ZONE, domain_tables, oracle_order, with_time
 
+Query = Callable[[SparkSession, str], DataFrame]
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return QUERIES
+#: The window before the default one, for merging periods.
+EARLIER = Window(DEFAULT.first_day - 6, DEFAULT.first_day + 4)
+CUTOFFS = (DEFAULT.first_day * DAY_US, DEFAULT.last_day * DAY_US, (DEFAULT.last_day + 400) * DAY_US)
+
+
+def _with(tables: tuple[str, ...], body: str) -> str:
+    return "WITH " + ", ".join(f"{b} AS ({ORACLE_CTES[b]})" for b in oracle_order(tables)) + " " + body
+
+
+def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return FeatureContext.of(spark, sf_dir).scenario("core")
+
+
+# ------------------------------------------------------------------ operators
+
+
+def dedup_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest version of each order line; every remaining column settles ties."""
+    lines = _read(spark, sf_dir, "lineitem")
+    last = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+    out = versions.latest_wins(lines, ["l_orderkey", "l_linenumber"], ["l_shipdate"], last)
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", F.date_format("l_shipdate", "yyyy-MM-dd").alias("shipped"))
+
+
+def dedup_with_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows without a key stay, all others are their latest version."""
+    events = _read(spark, sf_dir, "events").withColumn("entity", F.nullif(F.col("event_type"), F.lit("error")))
+    return versions.latest_wins(with_time(events, "ts"), ["user_id", "entity"], ["us"], ["event_id"]).select("event_id", "user_id", "entity")
+
+
+def parent_operator(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customers = _read(spark, sf_dir, "customer").selectExpr("c_custkey", "c_nationkey % 5 as operator")
+    orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    out = versions.with_parent_operator(orders, customers, "o_custkey", "c_custkey")
+    return out.groupBy("operator").agg(F.count("*").alias("orders"))
+
+
+def status_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return versions.last_status(domain_tables(spark, sf_dir)["prof"], list(CUTOFFS))
+
+
+def active_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ctx = FeatureContext.of(spark, sf_dir)
+    lookup = versions.last_status(ctx.tables["prof"], [CUTOFFS[1]])
+    return versions.active_flag(ctx.feature("f1"), lookup)
+
+
+def outlier_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tx = domain_tables(spark, sf_dir)["tx"]
+    days = tx.groupBy("dayno").agg(F.count("*").alias("n"))
+    return outliers.robust_scores(days, "n").select("dayno", "n", "score")
+
+
+def outlier_cubes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outliers.player_cubes(domain_tables(spark, sf_dir)["tx"], "us")
+
+
+def outlier_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tx = domain_tables(spark, sf_dir)["tx"]
+    return outliers.label_bins(tx, "us", bands=((1, 1.5, None, 1.8), (2, 0.5, 1.5, 1.6)), minute_factor=1.5)
+
+
+def outlier_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tx = domain_tables(spark, sf_dir)["tx"]
+    bins = outliers.label_bins(tx, "us", bands=((1, 1.5, None, 1.8), (2, 0.5, 1.5, 1.6)), minute_factor=1.5)
+    again = outliers.recurring_minutes(tx, "us", score=1.0)
+    return outliers.labelled(tx, bins, again, "us").groupBy("outlier_label").agg(F.count("*").alias("n"))
+
+
+def bulk_import_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outliers.bulk_days(domain_tables(spark, sf_dir)["tx"], "us", least=10, score=1.0, factor=1.3)
+
+
+def merged_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    frames = []
+    for window in (DEFAULT, EARLIER):
+        ctx = FeatureContext.of(spark, sf_dir, window)
+        frames.append(ctx.feature("f1").join(ctx.feature("var20"), "player", "full"))
+    return merging.merge_periods(frames)
+
+
+def united_operators(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = domain_tables(spark, sf_dir)
+    frames = {}
+    for k, name in enumerate("abc"):
+        ctx = FeatureContext({**tables, "tx": tables["tx"].filter(F.col("operator") == k)})
+        frames[name] = ctx.feature("f1") if k else ctx.feature("f1").join(ctx.feature("f24"), "player", "left")
+    return merging.unite_operators(frames, "abcd")
+
+
+def undersampled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    y = FeatureContext.of(spark, sf_dir).feature("self_exclusion_y").filter("y_self_exclusion is not null")
+    return merging.undersample(y, "y_self_exclusion", 1).groupBy("y_self_exclusion").agg(F.count("*").alias("n"))
+
+
+def people_apart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """People on both sides of the split, and folds that share a person: none."""
+    prof = domain_tables(spark, sf_dir)["prof"].withColumn("key", merging.person_key("operator", "player"))
+    split = merging.person_folds(merging.person_holdout(prof, "key"), "key")
+    per = split.groupBy("key").agg(F.countDistinct("held_out").alias("sides"), F.countDistinct("fold").alias("folds"))
+    return per.agg(F.count("*").alias("people"), F.count_if(F.col("sides") > 1).alias("on_both_sides"), F.count_if(F.col("folds") > 1).alias("in_several_folds"))
+
+
+def next_bet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tx = domain_tables(spark, sf_dir)["tx"]
+    out = merging.next_event(tx.filter("type = 'WITHDRAWAL'").select("player", "us"), tx.filter("type = 'STAKE'").select("player", "us"), ["player"])
+    return out.select("player", "us", "next_us")
+
+
+def distinct_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merging.kmv_distinct(domain_tables(spark, sf_dir)["tx"], ["dayno"], "player")
+
+
+def all_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ctx = FeatureContext.of(spark, sf_dir)
+    out = ctx.feature("f0").join(ctx.feature("f1"), "player", "full").join(ctx.feature("f24"), "player", "full")
+    return stats_row(out)
+
+
+def descriptive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tx = domain_tables(spark, sf_dir)["tx"]
+    return tx.groupBy("type", "status").agg(
+        F.count("*").alias("n"),
+        F.round(F.avg("amount"), 6).alias("mean"),
+        F.round(F.stddev_samp("amount"), 6).alias("std"),
+        F.round(F.percentile("amount", F.lit(0.25)), 6).alias("q1"),
+        F.round(F.median("amount"), 6).alias("q2"),
+        F.round(F.percentile("amount", F.lit(0.75)), 6).alias("q3"),
+        F.round(F.corr("amount", F.col("k").cast("double")), 6).alias("corr_k"),
+    )
+
+
+def threshold_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Confusion counts at every score threshold of a one-feature model, in one window."""
+    from pyspark.sql import Window as W
+
+    scored = _read(spark, sf_dir, "labels").join(_read(spark, sf_dir, "documents").select("doc_id", "n_chars"), "doc_id").select((F.col("n_chars") % 97).alias("score"), F.col("quality").alias("y"))
+    per = scored.groupBy("score").agg(F.sum("y").alias("p"), F.sum(1 - F.col("y")).alias("n"))
+    # one row per distinct score, of at most 97
+    down = W.orderBy(F.desc("score")).rowsBetween(W.unboundedPreceding, W.currentRow)
+    every = W.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    return per.select(
+        "score",
+        F.sum("p").over(down).alias("tp"),
+        F.sum("n").over(down).alias("fp"),
+        (F.sum("p").over(every) - F.sum("p").over(down)).alias("fn"),
+        (F.sum("n").over(every) - F.sum("n").over(down)).alias("tn"),
+    )
+
+
+def cleaned_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw spellings made from the orders, read back leniently."""
+    raw = _read(spark, sf_dir, "orders").selectExpr(
+        "cast(o_orderkey as string) as id0",
+        "concat(o_custkey, '.0') as person",
+        "replace(cast(cast(o_totalprice as decimal(18,2)) as string), '.', ',') as amount",
+        "case o_orderkey % 4 when 0 then ' TRUE' when 1 then '0' when 2 then 'null' else 'maybe' end as flag",
+        "case o_orderkey % 3 when 0 then date_format(o_orderdate, 'yyyy-MM-dd') when 1 then date_format(o_orderdate, 'd/M/yyyy') else 'n/a' end as day",
+    )
+    out = coerce.clean(raw, {"id0": "int", "person": "id", "amount": "number", "flag": "bool", "day": "date"})
+    return out.select("id0", "person", F.round("amount", 2).alias("amount"), F.col("flag").cast("string").alias("flag"), F.date_format("day", "yyyy-MM-dd").alias("day"))
+
+
+def cleaning_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = _read(spark, sf_dir, "orders").selectExpr(
+        "case when o_orderkey % 10 = 0 then 'x1' else cast(o_orderkey as string) end as id0", "case when o_custkey % 7 = 0 then '' else 'v' end as name"
+    )
+    return coerce.violations(raw, {"id0": "int"}, ["name"])
+
+
+def json_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _read(spark, sf_dir, "events").select("user_id", F.explode_outer(coerce.json_list(F.replace("props", F.lit('"'), F.lit("'")), {"k": "int"})).alias("e"))
+    return events.groupBy("user_id").agg(F.count("e.k").alias("n"), F.sum("e.k").alias("total"))
+
+
+def monthly_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per month of the sorted layout, as written."""
+    orders = _read(spark, sf_dir, "orders")
+    return orders.groupBy(F.coalesce(F.date_format("o_orderdate", "yyyy_MM"), F.lit("none")).alias("ym")).agg(F.count("*").alias("n"), F.date_format(F.min("o_orderdate"), "yyyy-MM-dd").alias("first_day"), F.date_format(F.max("o_orderdate"), "yyyy-MM-dd").alias("last_day"))
+
+
+def model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A two-trial grid over the core features, scored by folds of people."""
+    ctx = FeatureContext.of(spark, sf_dir)
+    y = ctx.feature("self_exclusion_y").filter("y_self_exclusion is not null")
+    rows = y.join(ctx.feature("f0"), "player", "left").join(ctx.feature("f1"), "player", "left").join(ctx.feature("var10i"), "player", "left")
+    rows = merging.person_folds(rows.withColumn("key", F.col("player").cast("string")), "key", 2).na.fill(0).cache()
+    grid = modelling.expand_grid({"model": "logistic", "maxIter": 5, "regParam": [0.1, 1.0]})
+    trials = modelling.cross_validate(rows, ["f0_net_winloss", "f1_active_days", "var10i_mean_balance"], "y_self_exclusion", grid, folds=2)
+    rows.unpersist()
+    return spark.createDataFrame([(t["model"], float(t["regParam"]), round(t["areaUnderROC_mean"], 6)) for t in trials], "model string, reg_param double, auc double")
+
+
+def streamed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly counts by a stream over the events that ends when its input does."""
+    import tempfile
+    import uuid
+
+    from wagerlens.streaming.events import deduplicated, windowed
+
+    source = _read(spark, sf_dir, "events")
+    stream = spark.readStream.schema(source.schema).option("pathGlobFilter", "events.parquet").option("recursiveFileLookup", "true").parquet(sf_dir)
+    rows = stream.select("event_id", F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("type"), F.col("value").alias("amount"))
+    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="wagerlens-")
+    root = f"{shared}/wagerlens/stream-{uuid.uuid4().hex}"
+    out = windowed(deduplicated(rows, ["event_id"]), size="1 hour")
+    query = out.writeStream.outputMode("append").format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return spark.read.schema(out.schema).parquet(f"{root}/out").select(F.date_format("window_start", "yyyy-MM-dd HH:mm").alias("hour_start"), "type", "n", F.round("amount", 6).alias("amount"))
+
+
+_OPERATORS: dict[str, tuple[Query, str | None]] = {
+    "dedup_transactions": (
+        dedup_transactions,
+        """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, strftime(l_shipdate, '%Y-%m-%d') AS shipped FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+        ORDER BY l_shipdate DESC NULLS LAST, l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC, l_discount DESC, l_tax DESC, l_returnflag DESC, l_linestatus DESC) AS k FROM lineitem) WHERE k = 1""",
+    ),
+    "dedup_with_null_keys": (
+        dedup_with_null_keys,
+        """WITH e AS (SELECT event_id, user_id, nullif(event_type, 'error') AS entity, ts FROM events)
+        SELECT event_id, user_id, entity FROM (SELECT *, row_number() OVER (PARTITION BY user_id, entity ORDER BY ts DESC, event_id DESC) AS k FROM e WHERE entity IS NOT NULL) WHERE k = 1
+        UNION ALL SELECT event_id, user_id, entity FROM e WHERE entity IS NULL""",
+    ),
+    "parent_operator": (parent_operator, "SELECT c_nationkey % 5 AS operator, count(*) AS orders FROM orders LEFT JOIN customer ON o_custkey = c_custkey GROUP BY 1"),
+    "status_lookup": (
+        status_lookup,
+        _with(("prof",), "SELECT cutoff, player, status AS last_status FROM (SELECT c.cutoff, p.*, row_number() OVER (PARTITION BY c.cutoff, player ORDER BY modified_us DESC, pk DESC) AS k FROM prof p JOIN (SELECT unnest([" + ", ".join(map(str, CUTOFFS)) + "])::BIGINT AS cutoff) c ON modified_us < cutoff) WHERE k = 1"),
+    ),
+    "active_filter": (
+        active_filter,
+        f"""SELECT f.player, f.f1_active_days, coalesce(s.status NOT IN ('SELF_EXCLUDED_TEMP', 'SELF_EXCLUDED_INDEF', 'SUSPENDED_DEATH', 'BLOCKED'), false) AS active_flag FROM ({oracle('f1')}) f LEFT JOIN (
+        {_with(('prof',), f"SELECT player, arg_max(status, (modified_us, pk)) AS status FROM prof WHERE modified_us < {CUTOFFS[1]} GROUP BY player")}) s ON f.player = s.player""",
+    ),
+    "outlier_days": (
+        outlier_days,
+        _with(("tx",), """, d AS (SELECT dayno, count(*) AS n FROM tx GROUP BY dayno), m AS (SELECT median(n) AS med FROM d), a AS (SELECT median(abs(n - med)) AS mad FROM d, m)
+        SELECT dayno, n, round(0.6745 * (n - med) / CASE WHEN mad = 0 THEN 1 ELSE mad END, 6) AS score FROM d, m, a"""),
+    ),
+    "outlier_cubes": (
+        outlier_cubes,
+        _with(("tx",), """SELECT month, day, hour, count(DISTINCT player) AS players FROM (SELECT player, CAST(floor(us / 2592000000000) AS BIGINT) AS month, CAST(floor(us / 86400000000) AS BIGINT) AS day, CAST(floor(us / 3600000000) AS BIGINT) AS hour FROM tx)
+        GROUP BY GROUPING SETS ((month), (month, day), (month, day, hour))"""),
+    ),
+    "outlier_bins": (outlier_bins, None),
+    "outlier_labels": (outlier_labels, None),
+    "bulk_import_hours": (
+        bulk_import_hours,
+        _with(("tx",), """, d AS (SELECT CAST(floor(us / 86400000000) AS BIGINT) AS day, count(*) AS n FROM tx GROUP BY 1), m AS (SELECT median(n) AS med FROM d), a AS (SELECT median(abs(n - med)) AS mad FROM d, m),
+        h AS (SELECT CAST(floor(us / 86400000000) AS BIGINT) AS day, CAST(floor(us / 3600000000) AS BIGINT) AS hour, count(*) AS n FROM tx GROUP BY 1, 2)
+        SELECT h.day, h.hour FROM h JOIN d ON h.day = d.day, m, a WHERE d.n >= 10 AND round(0.6745 * (d.n - med) / CASE WHEN mad = 0 THEN 1 ELSE mad END, 6) > 1.0 AND h.n > 1.3 * (SELECT avg(n) FROM h)"""),
+    ),
+    "merged_periods": (
+        merged_periods,
+        f"""SELECT a.player, a.f1_active_days AS p0_f1_active_days, a.var20a_max_day_transactions AS p0_var20a_max_day_transactions, a.var20b_max_day_amount AS p0_var20b_max_day_amount,
+        b.f1_active_days AS p1_f1_active_days, b.var20a_max_day_transactions AS p1_var20a_max_day_transactions, b.var20b_max_day_amount AS p1_var20b_max_day_amount
+        FROM (SELECT * FROM ({oracle('f1')}) FULL JOIN ({oracle('var20')}) USING (player)) a JOIN (SELECT * FROM ({oracle('f1', EARLIER)}) FULL JOIN ({oracle('var20', EARLIER)}) USING (player)) b ON a.player = b.player""",
+    ),
+    "united_operators": (
+        united_operators,
+        f"""SELECT f.player, f1_active_days, CASE WHEN f.player % 3 = 0 THEN f24_payment_method_variety END AS f24_payment_method_variety, chr(97 + CAST(f.player % 3 AS INTEGER)) AS operator_name,
+        CAST(f.player % 3 = 0 AS INTEGER) AS ohe_a, CAST(f.player % 3 = 1 AS INTEGER) AS ohe_b, CAST(f.player % 3 = 2 AS INTEGER) AS ohe_c, 0 AS ohe_d FROM ({oracle('f1')}) f LEFT JOIN ({oracle('f24')}) g ON f.player = g.player""",
+    ),
+    "undersampled": (
+        undersampled,
+        f"""SELECT y_self_exclusion, CASE WHEN y_self_exclusion = 1 THEN p ELSE least(p, n) END AS n FROM (SELECT count(CASE WHEN y_self_exclusion = 1 THEN 1 END) AS p, count(CASE WHEN y_self_exclusion = 0 THEN 1 END) AS n FROM ({oracle('self_exclusion_y')})) c,
+        (SELECT DISTINCT y_self_exclusion FROM ({oracle('self_exclusion_y')}) WHERE y_self_exclusion IS NOT NULL) y WHERE CASE WHEN y_self_exclusion = 1 THEN p ELSE least(p, n) END > 0""",
+    ),
+    "people_apart": (people_apart, _with(("prof",), "SELECT count(DISTINCT (operator, player)) AS people, CAST(0 AS BIGINT) AS on_both_sides, CAST(0 AS BIGINT) AS in_several_folds FROM prof")),
+    "next_event_join": (
+        next_bet,
+        _with(("tx",), "SELECT a.player, a.us, (SELECT min(b.us) FROM tx b WHERE b.type = 'STAKE' AND b.player = a.player AND b.us > a.us) AS next_us FROM tx a WHERE a.type = 'WITHDRAWAL'"),
+    ),
+    "distinct_sketch": (distinct_sketch, _with(("tx",), "SELECT dayno, CAST(count(DISTINCT player) AS DOUBLE) AS distinct_estimate FROM tx GROUP BY dayno")),
+    "all_stats": (
+        all_stats,
+        "SELECT "
+        + ", ".join(f"round({fn}(CAST({c} AS DOUBLE)), 6) AS {c}_{n}" for c in ("f0_net_winloss", "f1_active_days", "f24_payment_method_variety") for n, fn in (("mean", "avg"), ("std", "stddev_samp"), ("min", "min"), ("max", "max")))
+        + f" FROM ({oracle('f0')}) FULL JOIN ({oracle('f1')}) USING (player) FULL JOIN ({oracle('f24')}) USING (player)",
+    ),
+    "descriptive": (
+        descriptive,
+        _with(("tx",), "SELECT type, status, count(*) AS n, round(avg(amount), 6) AS mean, round(stddev_samp(amount), 6) AS std, round(quantile_cont(amount, 0.25), 6) AS q1, round(median(amount), 6) AS q2, round(quantile_cont(amount, 0.75), 6) AS q3, round(corr(amount, k), 6) AS corr_k FROM tx GROUP BY type, status"),
+    ),
+    "threshold_metrics": (
+        threshold_metrics,
+        """WITH s AS (SELECT n_chars % 97 AS score, quality AS y FROM labels JOIN documents USING (doc_id)), t AS (SELECT DISTINCT score FROM s)
+        SELECT t.score, CAST(sum(CASE WHEN s.score >= t.score THEN y ELSE 0 END) AS BIGINT) AS tp, CAST(sum(CASE WHEN s.score >= t.score THEN 1 - y ELSE 0 END) AS BIGINT) AS fp,
+        CAST(sum(CASE WHEN s.score < t.score THEN y ELSE 0 END) AS BIGINT) AS fn, CAST(sum(CASE WHEN s.score < t.score THEN 1 - y ELSE 0 END) AS BIGINT) AS tn FROM t, s GROUP BY t.score""",
+    ),
+    "cleaned_values": (
+        cleaned_values,
+        """SELECT o_orderkey AS id0, CAST(o_custkey AS VARCHAR) AS person, round(CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE), 2) AS amount, CASE o_orderkey % 4 WHEN 0 THEN 'true' WHEN 1 THEN 'false' END AS flag,
+        CASE WHEN o_orderkey % 3 < 2 THEN strftime(o_orderdate, '%Y-%m-%d') END AS day FROM orders""",
+    ),
+    "cleaning_report": (cleaning_report, "SELECT count(CASE WHEN o_orderkey % 10 = 0 THEN 1 END) AS id0_unreadable, count(CASE WHEN o_custkey % 7 = 0 THEN 1 END) AS name_missing FROM orders"),
+    "json_values": (json_values, "SELECT user_id, count(*) AS n, CAST(sum(CAST(regexp_extract(props, '[0-9]+') AS INTEGER)) AS BIGINT) AS total FROM events GROUP BY user_id"),
+    "model_scores": (model_scores, None),
+    "streamed_windows": (streamed_windows, None),
+    "monthly_layout": (monthly_layout, "SELECT strftime(o_orderdate, '%Y_%m') AS ym, count(*) AS n, strftime(min(o_orderdate), '%Y-%m-%d') AS first_day, strftime(max(o_orderdate), '%Y-%m-%d') AS last_day FROM orders GROUP BY 1"),
+}
+
+_SCENARIO_COLUMNS = {
+    "core": {"f0": ["f0_net_winloss"], "f1": ["f1_active_days"], "f2": ["f2_net_loss_per_day"], "f3": ["f3_total_wagered"], "f4": ["f4_average_wager_per_day"], "f6": ["f6_age"], "f7": ["f7_rtp_deviation"], "f8": ["f8_interactions_per_day"], "f9": ["f9_big_wins_per_day"], "f10": ["f10_canceled_withdrawals_per_day"]},
+    "balance_probe": {"f0": ["f0_net_winloss"], "f26": ["f26_balance_drop_frequency"]},
+    "flexible": {"flexible_x": ["x_deposits", "x_active_days", "x_deposit_variance", "x_withdrawn_less_deposited"], "self_exclusion_y": ["y_self_exclusion"]},
+}
+
+
+def _feature(name: str) -> Query:
+    return lambda spark, sf_dir: FeatureContext.of(spark, sf_dir).feature(name)
+
+
+def _scenario(name: str) -> Query:
+    return lambda spark, sf_dir: FeatureContext.of(spark, sf_dir).scenario(name)
+
+
+def queries() -> dict[str, Query]:
+    out = {k: _feature(k) for k in FEATURES}
+    out |= {f"scenario_{k}": _scenario(k) for k in _SCENARIO_COLUMNS}
+    return out | {k: q for k, (q, _) in _OPERATORS.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return ORACLES
+    out = {k: oracle(k) for k in FEATURES}
+    out |= {f"scenario_{k}": oracle_scenario(k, columns) for k, columns in _SCENARIO_COLUMNS.items()}
+    return out | {k: sql for k, (_, sql) in _OPERATORS.items() if sql}
+
+
+__all__ = ["ZONE", "flagship", "oracle_sql", "queries"]
