@@ -214,17 +214,16 @@ def model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def streamed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly counts by a stream over the events that ends when its input does."""
-    import tempfile
     import uuid
 
+    from wagerlens.plans.engine import shared_folder
     from wagerlens.streaming.events import deduplicated, windowed
 
     source = _read(spark, sf_dir, "events")
     stream = spark.readStream.schema(source.schema).option("pathGlobFilter", "events.parquet").option("recursiveFileLookup", "true").parquet(sf_dir)
     rows = stream.select("event_id", F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("type"), F.col("value").alias("amount"))
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="wagerlens-")
-    root = f"{shared}/wagerlens/stream-{uuid.uuid4().hex}"
-    out = windowed(deduplicated(rows, ["event_id"]), size="1 hour")
+    root = f"{shared_folder(spark)}/wagerlens/stream-{uuid.uuid4().hex}"
+    out = windowed(deduplicated(rows, ["event_id"]), size="1 hour", delay=None)
     query = out.writeStream.outputMode("append").format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start()
     query.awaitTermination()
     return spark.read.schema(out.schema).parquet(f"{root}/out").select(F.date_format("window_start", "yyyy-MM-dd HH:mm").alias("hour_start"), "type", "n", F.round("amount", 6).alias("amount"))
@@ -337,7 +336,7 @@ def _scenario(name: str) -> Query:
 
 def queries() -> dict[str, Query]:
     out = {k: _feature(k) for k in FEATURES}
-    out |= {f"scenario_{k}": _scenario(k) for k in _SCENARIO_COLUMNS}
+    out |= {f"scenario_{k}": _scenario(k) for k in [*_SCENARIO_COLUMNS, "production", "basic"]}
     return out | {k: q for k, (q, _) in _OPERATORS.items()}
 
 

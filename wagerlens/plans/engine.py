@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+from collections import Counter
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wagerlens.plans.features import DAY_US, FEATURES, Window, compose
+from wagerlens.plans.features import DAY_US, FEATURES, Window, compose, fuse, needed
 from wagerlens.sources.domain import ORACLE_CTES, domain_tables, oracle_order
 
 #: Days since the epoch: 2024-01-08 to 2024-01-22, target window up to 2024-03-01.
@@ -50,6 +53,19 @@ def numbers(window: Window) -> dict[str, object]:
     }
 
 
+#: Shared plans worth staging, each after what it reads.
+SHARED = ("txw", "betw", "sesw", "bet_player", "ses_player", "first_bettor", "linked", "link_count", "stake_line", "days", "islands", "day_sums", "f0", "f1", "f3", "f14", "bet_legs", "limit_line", "interaction_hours", "shares", "fallen", "net_stakes")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``; a temporary folder only where the session names none."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named:
+        named = "file://" + tempfile.mkdtemp(prefix="wagerlens-")
+        spark.sparkContext.setCheckpointDir(named)
+    return named.rstrip("/")
+
+
 class FeatureContext:
     """Domain tables and a window; every feature is a lazy DataFrame over them."""
 
@@ -61,21 +77,40 @@ class FeatureContext:
     def of(cls, spark: SparkSession, sf_dir: str, window: Window = DEFAULT) -> FeatureContext:
         return cls(domain_tables(spark, sf_dir), window)
 
-    def feature(self, name: str) -> DataFrame:
-        ctes, base = compose(name, numbers(self.window))
-        plans, body = ctes.split("\0")
+    def feature(self, name: str, extra: dict[str, str] | None = None) -> DataFrame:
+        given = frozenset(self.tables)
+        plans, body, base = compose(name, numbers(self.window), given=given, extra=extra)
         bound = [f"{b} AS (SELECT * FROM {{{b}}})" for b in base]
         query = "WITH " + ",\n".join([*bound, *([plans] if plans else [])]) + "\n" + body
         return self.spark.sql(query, **{b: self.tables[b] for b in base})
 
+    def staged(self, keys: list[str]) -> FeatureContext:
+        """A context in which the shared plans that several of ``keys`` read are computed once.
+
+        They are written to the folder all executors share: one scan of the movements
+        serves every feature, and a lost executor costs a re-read.
+        """
+        names, extra = fuse(keys)
+        readers = Counter(p for n in names for p in needed(n, extra=extra)[0])
+        shared = [p for p in SHARED if readers[p] > 1]
+        root = f"{shared_folder(self.spark)}/wagerlens/features-{uuid.uuid4().hex}"
+        out = FeatureContext(dict(self.tables), self.window)
+        for p in shared:
+            df = out.feature(p)
+            df.write.parquet(f"{root}/{p}")
+            out.tables[p] = self.spark.read.schema(df.schema).parquet(f"{root}/{p}")
+        return out
+
     def scenario(self, name: str) -> DataFrame:
         """One row per player that any feature knows; unknown where ``UNKNOWN``, else 0.
 
-        The tables with several readers are held in memory for the scan, and the frames
-        meet on the player in one partitioning: a spine and left joins.
+        Shared plans are staged, features over the same rows are one aggregation, and
+        the frames meet on the player: a spine and left joins.
         """
         keys = SCENARIOS[name]
-        frames = [self.feature(k) for k in keys]
+        ctx = self.staged(keys)
+        names, extra = fuse(keys)
+        frames = [ctx.feature(k, extra) for k in names]
         spine = reduce(DataFrame.union, [f.select("player") for f in frames]).distinct()
         out = reduce(lambda a, b: a.join(b, "player", "left"), frames, spine)
         zero = [c for c, t in out.dtypes if c != "player" and t != "string" and not c.startswith(tuple(f"{u}_" for u in UNKNOWN))]
@@ -84,8 +119,7 @@ class FeatureContext:
 
 def oracle(name: str, window: Window = DEFAULT) -> str:
     """The query for ``name`` in DuckDB's SQL over the registered tables."""
-    ctes, base = compose(name, numbers(window), "duckdb")
-    plans, body = ctes.split("\0")
+    plans, body, base = compose(name, numbers(window), "duckdb")
     adapters = [f"{b} AS ({ORACLE_CTES[b]})" for b in oracle_order(tuple(base))]
     return "WITH " + ",\n".join([*adapters, *([plans] if plans else [])]) + "\n" + body
 

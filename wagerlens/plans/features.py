@@ -271,29 +271,50 @@ FEATURES: dict[str, str] = {
 }
 
 BASE = ("tx", "bet", "bet_link", "leg", "ses", "ses_link", "game", "prof", "lim", "club")
-_NAME = re.compile(r"\b[a-z][a-z0-9_]*\b")
 
 
-def needed(name: str) -> tuple[list[str], list[str]]:
-    """(plans, base tables) that plan ``name`` reads, plans in order of dependence."""
+def needed(name: str, given: frozenset[str] = frozenset(), extra: dict[str, str] | None = None) -> tuple[list[str], list[str]]:
+    """(plans, tables) that plan ``name`` reads, plans in order of dependence.
+
+    Plans in ``given`` count as tables; ``extra`` holds plans beside the named ones.
+    """
     plans: list[str] = []
     base: list[str] = []
+    known = {**VIEWS, **FEATURES, **(extra or {})}
 
     def add(n: str) -> None:
-        sql = VIEWS.get(n) or FEATURES[n]
-        for x in re.findall(r"\b(?:FROM|JOIN)\s+([a-z][a-z0-9_]*)", sql):
-            if x in BASE:
+        for x in re.findall(r"\b(?:FROM|JOIN)\s+([a-z][a-z0-9_]*)", known[n]):
+            if x in BASE or x in given:
                 if x not in base:
                     base.append(x)
-            elif x != n and (x in VIEWS or x in FEATURES):
-                if x not in plans:
-                    add(x)
-                    plans.append(x)
+            elif x != n and x in known and x not in plans:
+                add(x)
+                plans.append(x)
 
     add(name)
     return plans, base
 
 
+_ONE_PASS = re.compile(r"SELECT player, (.+?) FROM ([a-z_]+(?: WHERE .+?)?) GROUP BY player", re.S)
+
+
+def fuse(keys: list[str]) -> tuple[list[str], dict[str, str]]:
+    """(names of plans, plans beside the named ones) that give the columns of ``keys``.
+
+    Features that aggregate the same rows per player become one aggregation.
+    """
+    groups: dict[str, list[str]] = {}
+    names: list[str] = []
+    for k in keys:
+        m = _ONE_PASS.fullmatch(FEATURES[k])
+        if m and "SELECT" not in m[1] and " JOIN " not in m[2] and "SELECT" not in m[2]:
+            groups.setdefault(m[2], []).append(m[1])
+        else:
+            names.append(k)
+    extra = {f"fused_{i}": f"SELECT player, {', '.join(cols)} FROM {source} GROUP BY player" for i, (source, cols) in enumerate(groups.items())}
+    return [*extra, *names], extra
+
+
 def _plain_counts(sql: str) -> str:
     """count_if(x) as count(CASE WHEN x THEN 1 END)."""
     while (at := sql.find("count_if(")) >= 0:
@@ -305,20 +326,15 @@ def _plain_counts(sql: str) -> str:
     return sql
 
 
-def compose(name: str, numbers: dict[str, object], engine: str = "spark") -> tuple[str, list[str]]:
-    """(query without base tables, names of the base tables that it reads)."""
-    plans, base = needed(name)
+def compose(name: str, numbers: dict[str, object], engine: str = "spark", given: frozenset[str] = frozenset(), extra: dict[str, str] | None = None) -> tuple[str, str, list[str]]:
+    """(common table expressions, query, names of the tables that it reads)."""
+    plans, base = needed(name, given, extra)
+    known = {**VIEWS, **FEATURES, **(extra or {})}
     q = "percentile(gap, {p})" if engine == "spark" else "quantile_cont(gap, {p})"
     values = {**numbers, "q25": q.format(p=0.25), "q75": q.format(p=0.75)}
 
-    def fill(sql: str) -> str:
-        return re.sub(r"\{(\w+)\}", lambda m: str(values[m[1]]), sql)
-
-    if engine != "spark":  # there count_if is wider than bigint
-        fill_ = fill
+    def fill(plan: str) -> str:
+        sql = re.sub(r"\{(\w+)\}", lambda m: str(values[m[1]]), known[plan])
+        return sql if engine == "spark" else _plain_counts(sql)  # there count_if is wider than bigint
 
-        def fill(sql: str) -> str:
-            return _plain_counts(fill_(sql))
-    ctes = [f"{p} AS ({fill(VIEWS.get(p) or FEATURES[p])})" for p in plans]
-    body = fill(FEATURES.get(name) or VIEWS[name])
-    return ",\n".join(ctes) + "\u0000" + body, base
+    return ",\n".join(f"{p} AS ({fill(p)})" for p in plans), fill(name), base

@@ -11,10 +11,14 @@ def deduplicated(events: DataFrame, keys: list[str], ts: str = "ts", delay: str
     return events.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
 
 
-def windowed(events: DataFrame, ts: str = "ts", size: str = "1 hour", slide: str | None = None, delay: str = "1 day") -> DataFrame:
-    """Counts and sums per window and kind; late rows count up to the watermark."""
+def windowed(events: DataFrame, ts: str = "ts", size: str = "1 hour", slide: str | None = None, delay: str | None = "1 day") -> DataFrame:
+    """Counts and sums per window and kind; late rows count up to the watermark.
+
+    ``delay`` None keeps the watermark that the stream has already.
+    """
     w = F.window(ts, size, slide) if slide else F.window(ts, size)
-    out = events.withWatermark(ts, delay).groupBy(w.alias("w"), "type").agg(F.count("*").alias("n"), F.sum("amount").alias("amount"))
+    events = events.withWatermark(ts, delay) if delay else events
+    out = events.groupBy(w.alias("w"), "type").agg(F.count("*").alias("n"), F.sum("amount").alias("amount"))
     return out.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "type", "n", "amount")
 
 
