@@ -111,3 +111,29 @@ def test_registry_and_entry(spark):
     assert set(entry.oracle_sql()) <= set(entry.queries())
     out = entry.entry(spark)
     assert out.columns[0] == "player"
+
+
+def test_sinks_and_reports(spark, tmp_path, capsys):
+    from wagerlens.__main__ import main
+    from wagerlens.operators import reports
+    from wagerlens.sources import sinks
+
+    df = spark.createDataFrame([(1, 1.0, 0), (1, 2.0, 0), (2, None, 1), (3, 9.0, 1)], "player long, x double, y int")
+    sinks.write_features(df, f"{tmp_path}/f")
+    assert spark.read.parquet(f"{tmp_path}/f").count() == 3
+    made = sinks.write_dataset(df.filter("player < 3"), df.filter("player = 3"), f"{tmp_path}/d", "y", "player")
+    assert made["train"] == {"rows": 3, "positives": 1}
+    assert sinks.read_dataset(spark, f"{tmp_path}/d")[2]["id"] == made["id"]
+    look = spark.createDataFrame([(10, 1, "A"), (20, 1, "B")], "cutoff long, player long, last_status string")
+    sinks.write_lookup(look.filter("cutoff = 10"), f"{tmp_path}/l")
+    sinks.write_lookup(look, f"{tmp_path}/l")
+    assert spark.read.parquet(f"{tmp_path}/l").count() == 2
+    assert ("tx", "f0") in sinks.column_needs()
+    got = {r["name"]: r for r in reports.summary(df).collect()}
+    assert (got["x"].n, got["x"].nulls, got["x"].mean) == (3, 1, 4.0)
+    assert [tuple(r)[:2] for r in reports.histogram(df, "x", 2).orderBy("bin").collect()] == [(0, 2), (1, 1)]
+    trials = spark.createDataFrame([("a", 0.5), ("a", 0.7), ("b", 0.6)], "model string, areaUnderPR_mean double")
+    assert reports.trial_table(trials, ["model"]).first()["best"] == 0.7
+    assert [tuple(r) for r in reports.coverage(trials, {"a": 4, "c": 2}).orderBy("model").collect()] == [("a", 2, 4, 0.5), ("c", 0, 2, 0.0)]
+    assert "model" in reports.as_text(trials, "Trials")
+    assert main(["list"]) == 0 and "scenarios: " in capsys.readouterr().out
