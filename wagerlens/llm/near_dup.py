@@ -10,9 +10,12 @@
    and pairs whose sizes or sketches rule the similarity out are dropped. The rest is
    confirmed on the full sets, made anew from the texts.
 4. Connected components. Where a bucket of three or more still holds members of
-   different components, the pairs across components are compared by sketch, and
-   confirmed in the same way, so no link between classes is lost to step 3: a bucket's
-   pairs within one component can't change the result, and all others were tested.
+   different components, the pairs across components are tested too, so no link between
+   classes is lost to step 3: a bucket's pairs within one component can't change the
+   result. In buckets of up to ``HOT`` members the pairs are joined. Larger buckets that
+   share members form families; a family is cut into blocks, and a task takes two blocks,
+   compares sketches and sets in memory, and gives only links that connect components.
+   So no family's pairs are ever written out, and no task holds more than two blocks.
 
 At a similarity of 0.8 a pair shares no band in 5 of 10^8 cases; the sketch test drops
 only pairs whose estimate lies more than six standard deviations below 0.8.
@@ -39,6 +42,11 @@ BANDS, ROWS = 32, 4
 SAMPLES = BANDS * ROWS
 #: Bits of an odd sketch, and the ones of an XOR above which 0.8 is ruled out.
 SKETCH_BITS, SKETCH_MOST = 512, 112
+#: Members of a bucket whose pairs are joined; larger ones are compared in blocks of
+#: about so many members and bytes of text.
+HOT, BLOCK_ROWS, BLOCK_BYTES = 32, 512, 4_000_000
+#: Shingles of two blocks whose intersections are counted by a matrix product.
+DENSE = 2_000_000
 #: Bytes of text that are cut into words at once.
 BATCH_BYTES = 4_000_000
 
@@ -199,9 +207,10 @@ def near_duplicates(df: DataFrame, size: int = 4, id_col: str = "doc_id", text_c
     free(spark)
     links = stage(_confirmed(stars, texts, size), "near-links")
     found = components(links)
-    rest = stage(_rest(members, found, brief, stars), "near-rest")
-    if not rest.isEmpty():
-        links = links.union(_confirmed(rest, texts, size))
+    opened = stage(_open(members, found, brief), "near-open")
+    if not opened.isEmpty():
+        rest = _rest(opened.filter(F.col("members") <= HOT), stars)
+        links = stage(links.union(_confirmed(stage(rest, "near-rest"), texts, size)).union(_family_links(opened.filter(F.col("members") > HOT), texts, size)), "near-links")
         found = components(links)
     free(spark)
     # ids of one class, and repeated ids, meet in the smallest id
@@ -216,16 +225,83 @@ def near_duplicates(df: DataFrame, size: int = 4, id_col: str = "doc_id", text_c
     )
 
 
-def _rest(members: DataFrame, found: DataFrame, brief: DataFrame, tested: DataFrame) -> DataFrame:
-    """Untested pairs across components in buckets of three or more.
-
-    Only buckets with members of several components are opened, and of those only pairs
-    that the sketch test lets through leave the join; it splits hot buckets by itself.
-    """
-    now = members.filter("members > 2").join(found.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("component"))
+def _open(members: DataFrame, found: DataFrame, brief: DataFrame) -> DataFrame:
+    """Members of buckets of three or more that hold several components."""
+    now = members.filter("members > 2").join(found.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", "least", "members", F.coalesce("component", "rep").alias("component"))
     mixed = now.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("key")
-    open_ = stage(now.join(mixed, "key").join(brief, "rep"), "near-open")
-    a = open_.select("key", *(F.col(c).alias(f"a_{c}") for c in ("rep", "component", "n", "sketch")))
-    b = open_.select("key", *(F.col(c).alias(f"b_{c}") for c in ("rep", "component", "n", "sketch")))
+    return now.join(mixed, "key").join(brief, "rep")
+
+
+def _rest(opened: DataFrame, tested: DataFrame) -> DataFrame:
+    """Untested pairs across components of buckets of bounded size, as far as sketches allow."""
+    a = opened.select("key", *(F.col(c).alias(f"a_{c}") for c in ("rep", "component", "n", "sketch")))
+    b = opened.select("key", *(F.col(c).alias(f"b_{c}") for c in ("rep", "component", "n", "sketch")))
     pairs = a.join(b, "key").filter((F.col("a_rep") > F.col("b_rep")) & (F.col("a_component") != F.col("b_component")) & _near("a_", "b_"))
     return pairs.select(F.col("a_rep").alias("a"), F.col("b_rep").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
+
+
+def _family_links(opened: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """Links across components within families of large buckets, by pairs of blocks."""
+    families = components(opened.filter("rep > least").select(F.col("rep").alias("a"), F.col("least").alias("b")))
+    docs = opened.groupBy("rep").agg(F.min("component").alias("component"), F.min("n").alias("n"), F.min("sketch").alias("sketch"))
+    docs = docs.join(families.select(F.col("node").alias("rep"), F.col("component").alias("family")), "rep", "left").withColumn("family", F.coalesce("family", "rep"))
+    docs = stage(docs.join(texts.withColumnRenamed("id", "rep"), "rep"), "near-families")
+    sizes = docs.groupBy("family").agg(F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum(F.octet_length("text")) / BLOCK_BYTES)).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    dealt = docs.join(sizes, "family").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("family", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "rep", "component", "n", "sketch", "text")
+
+    def compare(table: pa.Table) -> pa.Table:
+        links = block_links(
+            np.asarray(table["rep"]), np.asarray(table["component"]), np.array(table["sketch"].to_pylist(), dtype=np.int64).view(np.uint64), table["text"].to_pylist(),
+            np.asarray(table["own"]) == table["i"][0].as_py(), np.asarray(table["own"]) == table["j"][0].as_py(), size,
+        )
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+
+    return dealt.groupBy("family", "i", "j").applyInArrow(compare, "a long, b long")
+
+
+def block_links(ids: np.ndarray, component: np.ndarray, sketch: np.ndarray, texts: list[str], left: np.ndarray, right: np.ndarray, size: int) -> list[tuple[int, int]]:
+    """Links between the ``left`` and ``right`` rows that connect different components, a forest of them."""
+    rows, cols = np.flatnonzero(left), np.flatnonzero(right)
+    ones = np.zeros((len(rows), len(cols)), dtype=np.int32)
+    for k in range(sketch.shape[1]):
+        ones += np.bitwise_count(sketch[rows, k][:, None] ^ sketch[cols, k][None, :])
+    maybe = (ones <= SKETCH_MOST) & (component[rows][:, None] != component[cols][None, :])
+    rows, cols, maybe = rows[maybe.any(1)], cols[maybe.any(0)], maybe[maybe.any(1)][:, maybe.any(0)]
+    if not maybe.size:
+        return []
+    sets = dict(zip(used := np.union1d(rows, cols), shingle_sets([texts[k].encode() for k in used], size), strict=True))
+    n = {k: len(s) for k, s in sets.items()}
+    na, nb = np.array([n[k] for k in rows]), np.array([n[k] for k in cols])
+    maybe &= 100 * np.minimum(na[:, None], nb) >= 80 * np.maximum(na[:, None], nb)
+    shared = np.zeros(maybe.shape, dtype=np.int64)
+    if sum(n.values()) <= DENSE:
+        names, where = np.unique(np.concatenate([sets[k] for k in used]), return_inverse=True)
+        of = np.repeat(np.arange(len(used)), [n[k] for k in used])
+        order = np.argsort(where, kind="stable")
+        where, of = where[order], of[order]
+        ra, cb = np.searchsorted(used, rows), np.searchsorted(used, cols)
+        for lo in range(0, len(names), 4096):
+            x, y = np.searchsorted(where, (lo, lo + 4096))
+            part = np.zeros((len(used), min(4096, len(names) - lo)), dtype=np.float32)
+            part[of[x:y], where[x:y] - lo] = 1
+            shared += (part[ra] @ part[cb].T).astype(np.int64)
+    else:
+        for a, b in zip(*np.nonzero(maybe), strict=True):
+            shared[a, b] = len(np.intersect1d(sets[rows[a]], sets[cols[b]], assume_unique=True))
+    linked = maybe & (100 * shared >= 80 * (na[:, None] + nb - shared))
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    out = []
+    for a, b in zip(*np.nonzero(linked), strict=True):
+        x, y = find(int(component[rows[a]])), find(int(component[cols[b]]))
+        if x != y:
+            root[x] = y
+            out.append((int(ids[rows[a]]), int(ids[cols[b]])))
+    return out
