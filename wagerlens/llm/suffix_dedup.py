@@ -46,6 +46,8 @@ BATCH_BYTES = 4_000_000
 RUNS = 1_500_000
 #: Bytes of pieces that one merge takes, and of one of its shards.
 MERGE_BYTES, SHARD_BYTES = 2_000_000, 500_000
+#: Pieces of a group that a task gathers.
+GROUP_MOST = 20_000
 
 _rng = np.random.default_rng(977)
 _TABLES = _rng.integers(0, 2**63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -330,6 +332,16 @@ def _merged(pieces: DataFrame, length: int) -> DataFrame:
     return sorted_.mapInArrow(run, "ord long, start long, end long")
 
 
+def _single_windows(pieces: DataFrame, length: int) -> DataFrame:
+    """Rows ord, start, end: repeats among pieces of any number, window by window."""
+    each = pieces.select("ord", "start", "piece", F.explode(F.sequence(F.lit(0), F.octet_length("piece") - length)).alias("k"))
+    window = F.expr(f"substring(piece, k + 1, {int(length)})")
+    rows = each.select("ord", (F.col("start") + F.col("k")).alias("start"), F.xxhash64(window).alias("h"), F.xxhash64(F.lit(977), window, F.lit(31)).alias("g"))
+    first = rows.groupBy("h", "g").agg(F.min(F.struct("ord", "start")).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    late = rows.join(first, ["h", "g"]).filter(F.struct("ord", "start") > F.col("first"))
+    return late.select("ord", "start", (F.col("start") + length).alias("end"))
+
+
 def repeated_spans(docs: DataFrame, length: int = 100) -> DataFrame:
     """ord, starts, ends: the repeated byte spans of each document that has any, unsorted.
 
@@ -341,9 +353,14 @@ def repeated_spans(docs: DataFrame, length: int = 100) -> DataFrame:
     candidates = met.filter("key is not null")
     pieces = stage(_pieces(docs, candidates, length), "pieces")
     free(spark)
+    large = stage(pieces.groupBy("pkey").agg(F.count("*").alias("n")).filter(F.col("n") > GROUP_MOST).select("pkey"), "pieces-large")
+    spans = met.filter("key is null").select("ord", "start", "end")
+    if not large.isEmpty():
+        spans = spans.union(_single_windows(pieces.join(large, "pkey", "left_semi"), length))
+        pieces = pieces.join(large, "pkey", "left_anti")
     merged = stage(_merged(pieces, length), "pieces-merged")
     free(spark)
-    spans = met.filter("key is null").select("ord", "start", "end").union(merged)
+    spans = spans.union(merged)
     return stage(spans.groupBy("ord").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends")), "spans")
 
 
