@@ -28,15 +28,19 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, similarity 0.8) the least id stays."""
-    removed = near_dup.near_duplicates(docs, size=5).filter(~F.col("kept")).select("doc_id").distinct()
-    left = docs.select(*COLUMNS).join(stage(removed, "removed"), "doc_id", "left_anti")
-    repeats = stage(docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeats")
+    """Of each group of near copies (five-word shingles, similarity 0.8) the least id stays.
+
+    Texts that share an id are told apart; of rows equal in id and text one stays.
+    """
+    removed = near_dup.near_duplicates(docs, size=5, hash_col="__hash").filter(~F.col("kept")).select("doc_id", "__hash").distinct()
+    node = ["doc_id", "__hash"]
+    marked = docs.select(*COLUMNS).withColumn("__hash", near_dup.text_hash("text"))
+    left = marked.join(stage(removed, "removed"), node, "left_anti")
+    repeats = stage(marked.filter("doc_id is not null").groupBy(*node).count().filter("count > 1").select(*node), "repeats")
     if repeats.isEmpty():
-        return left
-    # rows that repeat an id: one stays
-    once = left.join(repeats, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*COLUMNS[1:])).alias("row")).select("doc_id", "row.*")
-    return left.join(repeats, "doc_id", "left_anti").unionByName(once)
+        return left.select(*COLUMNS)
+    once = left.join(repeats, node, "left_semi").groupBy("doc_id", "text").agg(F.min(F.struct(*COLUMNS[2:])).alias("row")).select("doc_id", "text", "row.*")
+    return left.join(repeats, node, "left_anti").select(*COLUMNS).unionByName(once)
 
 
 def suffix_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,8 +1,8 @@
 """Near-duplicate documents: banded MinHash, odd sketches, links confirmed on full sets.
 
 1. A document becomes the set of its distinct word shingles, as 64-bit hashes. Equal
-   sets are one class from here on (thousands of copies are one row), named by its
-   smallest id.
+   sets are one class from here on (thousands of copies are one row), numbered in the
+   order of its smallest id, so that classes which share that id stay apart.
 2. ``BANDS`` x ``ROWS`` MinHash samples of each class give band keys and an odd sketch:
    every sample flips one bit of a bitmap, so the ones of the XOR of two bitmaps count
    the samples that differ, and the similarity follows from that count.
@@ -22,8 +22,10 @@ only pairs whose estimate lies more than six standard deviations below 0.8.
 
 Defined results: a document without words (or null) has n_shingles 0 and stands alone;
 one with fewer words than a shingle has its whole sequence as one shingle; a row with a
-null id stands alone, its component is null and it is kept; rows that repeat an id
-are one node and each is returned; an empty table gives an empty table.
+null id stands alone, its component is null and it is kept; every distinct (id, text)
+is a node of its own, and rows that repeat one are each returned; a component is named
+by its smallest id, and of several texts of that id in it one is kept; an empty table
+gives an empty table.
 """
 
 from __future__ import annotations
@@ -32,10 +34,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wagerlens.llm._io import free, slices, stage
+from wagerlens.llm._io import free, numbered, slices, stage
 from wagerlens.llm.components import components
 
 BANDS, ROWS = 32, 4
@@ -138,20 +140,25 @@ def odd_sketches(least: np.ndarray) -> np.ndarray:
     return np.packbits(parity, axis=1, bitorder="little").view("<i8")
 
 
+def text_hash(text_col: str) -> Column:
+    """Tells the texts of one id apart."""
+    return F.xxhash64(F.col(text_col).cast("string"))
+
+
 def described(df: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """id, n, hi, lo (fingerprint of the set), bands, sketch of every row."""
-    schema = "id long, n long, hi long, lo long, bands array<long>, sketch array<long>"
+    """id, h (hash of the text), n, hi, lo (fingerprint of the set), bands, sketch of every row."""
+    schema = "id long, h long, n long, hi long, lo long, bands array<long>, sketch array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (s for b in batches for s in slices(b, 1, BATCH_BYTES)):
-            sets = shingle_sets([(t or "").encode() for t in batch.column(1).to_pylist()], size)
+        for batch in (s for b in batches for s in slices(b, 2, BATCH_BYTES)):
+            sets = shingle_sets([(t or "").encode() for t in batch.column(2).to_pylist()], size)
             least = np.array([samples(s) for s in sets]).reshape(-1, SAMPLES)
             sums = [(len(s), int(s.sum(dtype=np.uint64)), int(mix(s ^ _BASE).sum(dtype=np.uint64))) for s in sets]
             n, hi, lo = (np.array(x, dtype=np.uint64).view(np.int64) for x in zip(*sums, strict=True))
             lists = [pa.ListArray.from_arrays(pa.array(np.arange(0, k * len(x) + 1, k), pa.int32()), pa.array(x.ravel())) for x, k in ((band_keys(least), BANDS), (odd_sketches(least), SKETCH_BITS // 64))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(hi), pa.array(lo), *lists], names=["id", "n", "hi", "lo", "bands", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n), pa.array(hi), pa.array(lo), *lists], names=["id", "h", "n", "hi", "lo", "bands", "sketch"])
 
-    return df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
+    return df.select(F.col(id_col).cast("long").alias("id"), text_hash(text_col).alias("h"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
 
 
 def _near(a: str, b: str):
@@ -182,12 +189,13 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(df: DataFrame, size: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_shingles, component_id, kept of every row."""
+def near_duplicates(df: DataFrame, size: int = 4, id_col: str = "doc_id", text_col: str = "text", hash_col: str | None = None) -> DataFrame:
+    """id, n_shingles, component_id, kept of every row, and ``text_hash`` as ``hash_col`` if that is named."""
     spark = df.sparkSession
     rows = stage(described(df, size, id_col, text_col), "near-rows")
     sets = rows.filter("n > 0 and id is not null")
-    classes = stage(sets.groupBy("n", "hi", "lo").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "near-classes")
+    classes = sets.groupBy("n", "hi", "lo").agg(F.min(F.struct("id", "h")).alias("of"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+    classes = numbered(classes.select("n", "hi", "lo", "of.id", "of.h", "bands", "sketch"), ["id", "h", "n", "hi", "lo"], "rep")
     keyed = classes.select("rep", F.explode("bands").alias("key"))
     buckets = stage(keyed.groupBy("key").agg(F.min("rep").alias("least"), F.count("*").alias("members")).filter("members > 1"), "near-buckets")
     members = stage(keyed.join(buckets, "key"), "near-members")
@@ -199,10 +207,10 @@ def near_duplicates(df: DataFrame, size: int = 4, id_col: str = "doc_id", text_c
     stars = members.filter("rep > least").select(F.col("rep").alias("a"), F.col("least").alias("b")).distinct()
     stars = stars.join(sided("a"), F.col("a") == F.col("a_rep")).join(sided("b"), F.col("b") == F.col("b_rep"))
     stars = stage(stars.filter(_near("a_", "b_")).select("a", "b"), "near-stars")
-    needed = members.select(F.col("rep").alias("id")).distinct()
-    source = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    # rows that repeat an id are one node: of its texts the one that its class was named for
-    texts = source.filter("id is not null").join(needed, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
+    needed = classes.join(members.select("rep").distinct(), "rep", "left_semi").select("rep", "id", "h")
+    source = df.select(F.col(id_col).cast("long").alias("id"), text_hash(text_col).alias("h"), F.col(text_col).cast("string").alias("text"))
+    # the text that the class is named for, from the rows that repeat it
+    texts = source.join(needed, ["id", "h"]).groupBy("rep").agg(F.min("text").alias("text")).withColumnRenamed("rep", "id")
     texts = stage(texts, "near-texts")
     free(spark)
     links = stage(_confirmed(stars, texts, size), "near-links")
@@ -213,15 +221,17 @@ def near_duplicates(df: DataFrame, size: int = 4, id_col: str = "doc_id", text_c
         links = stage(links.union(_confirmed(stage(rest, "near-rest"), texts, size)).union(_family_links(opened.filter(F.col("members") > HOT), texts, size)), "near-links")
         found = components(links)
     free(spark)
-    # ids of one class, and repeated ids, meet in the smallest id
-    of_set = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("n", "hi", "lo", F.coalesce("component", "rep").alias("component"))
-    out = rows.select("id", "n", "hi", "lo").join(of_set, ["n", "hi", "lo"], "left")
+    # ids of one class meet in the smallest id, classes in that of the smallest class
+    heads = found.join(classes.select(F.col("rep").alias("component"), F.col("id").alias("head_id"), F.col("h").alias("head_h")), "component")
+    of_set = classes.join(heads.withColumnRenamed("node", "rep"), "rep", "left").select("n", "hi", "lo", F.coalesce("head_id", "id").alias("component"), F.coalesce("head_h", "h").alias("head_h"))
+    out = rows.select("id", "h", "n", "hi", "lo").join(of_set, ["n", "hi", "lo"], "left")
     component = F.when(F.col("id").isNull(), F.lit(None)).otherwise(F.coalesce("component", "id"))
     return out.select(
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),
         component.alias("component_id"),
-        F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
+        F.coalesce((F.col("id") == F.col("component")) & (F.col("h") == F.col("head_h")), F.lit(True)).alias("kept"),
+        *([F.col("h").alias(hash_col)] if hash_col else []),
     )
 
 
