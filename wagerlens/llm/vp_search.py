@@ -10,14 +10,16 @@ restores exact search, and more prunes harder. All queries of a block go down to
 
 Every row is indexed; a shard has about ``SHARD_ROWS`` rows. Queries come in blocks of
 about ``BLOCK_ROWS``; each meets each shard once, so a task holds one tree and one block
-whatever the tables' sizes. Candidates are scored again, cosine in double precision on
-the original vectors, and the k best per query are taken over all shards. Equal vectors
-are one entry of a tree with all their ids, of which the least can be neighbours.
+whatever the tables' sizes. Entries that rounding leaves in question are scored again,
+cosine in double precision on the original vectors, and ranked by score and id at once,
+so a tree gives the k best ids of a query however many entries tie; the k best are then
+taken over all shards. Equal vectors are one entry of a tree with all their ids.
 
 Defined results: vectors that are null, zero, or hold a null or non-finite component
 take no part, nor do null ids; vectors of another length than the query's aren't
 compared with it; rows equal in id and vector count once, and rows with the query's own
-id are never its neighbours; ties go to the smaller id; empty tables give no rows.
+id are never its neighbours; scores that agree to 12 decimals are ties and go to the
+smaller id; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -34,8 +36,12 @@ from wagerlens.llm._io import stage
 SHARD_ROWS = 8_192
 BLOCK_ROWS = 2_048
 LEAF = 96
-#: Slack for rounding in the bounds.
-_EPS = 1e-9
+#: Ties are cosines that agree in units of 1 / ``TIE``.
+TIE = 1e12
+#: Slack for rounding in distances to vantage points, and in cosines (more than a unit of ties).
+_EPS, _SLACK = 1e-12, 1e-11
+#: Doubles of a chunk of exact scores, and (query, id) pairs of a leaf that are met at once.
+_CHUNK, _PAIRS = 2_000_000, 1_000_000
 
 
 class VpTree:
@@ -65,38 +71,83 @@ class VpTree:
             radius = float(distance[inner].max())
         return point, radius, self._build(at[inner]), self._build(at[~inner])
 
-    def search(self, queries: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray]:
-        """(entries, distances) of the k nearest entries of each query; -1 where there are fewer."""
+    def scores(self, q: np.ndarray, who: np.ndarray, entry: np.ndarray) -> np.ndarray:
+        """Cosines of pairs of queries and entries on the original vectors."""
+        out, step = np.empty(len(who)), max(1, _CHUNK // q.shape[1])
+        for lo in range(0, len(who), step):
+            a, b = q[who[lo : lo + step]], self.raw[entry[lo : lo + step]]
+            out[lo : lo + step] = np.einsum("ij,ij->i", a, b) / (np.sqrt(np.einsum("ij,ij->i", a, a)) * np.sqrt(np.einsum("ij,ij->i", b, b)))
+        return out
+
+    def search(self, queries: np.ndarray, k: int, factor: float, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, cosines) of the k nearest ids of each query but its ``own``; cosine -inf where there are fewer."""
         q = queries / np.sqrt(np.einsum("ij,ij->i", queries, queries))[:, None]
-        best = np.full((len(q), k), np.inf)
-        entry = np.full((len(q), k), -1, dtype=np.int64)
+        best = np.full((len(q), k), -np.inf)
+        name = np.zeros((len(q), k), dtype=np.int64)
+        every = np.concatenate(self.ids) if self.ids else np.empty(0, dtype=np.int64)
+        once = len(np.unique(every)) == len(every)
+        # k ids of an entry beside the query's own; all where an id has several vectors
+        ids = [x[: k + 1] for x in self.ids] if once else self.ids
+        sizes = np.array([len(x) for x in ids], dtype=np.int64)
+        starts = np.cumsum(sizes) - sizes
+        flat = np.concatenate(ids) if ids else every
+
+        def meet(node: np.ndarray, who: np.ndarray) -> None:
+            c = q[who] @ self.unit[node].T
+            least = best[who, -1]
+            if once and len(node) > k + 1:  # k + 1 entries hold k ids beside the query's own
+                least = np.maximum(least, np.partition(c, -(k + 1), axis=1)[:, -(k + 1)])
+            row, col = np.nonzero(c >= (least - _SLACK)[:, None])
+            if not len(row):
+                return
+            exact = self.scores(queries, who[row], node[col])
+            n = sizes[node[col]]
+            at = np.repeat(starts[node[col]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            some = np.unique(row)
+            old = np.isfinite(best[who[some]])
+            of = np.concatenate([np.repeat(who[row], n), np.repeat(who[some], k)[old.ravel()]])
+            score = np.concatenate([np.repeat(exact, n), best[who[some]][old]])
+            vec = np.concatenate([flat[at], name[who[some]][old]])
+            if own is not None:
+                other = vec != own[of]
+                of, score, vec = of[other], score[other], vec[other]
+            if not once:
+                order = np.lexsort((-score, vec, of))
+                of, score, vec = of[order], score[order], vec[order]
+                first = np.ones(len(of), dtype=bool)
+                first[1:] = (of[1:] != of[:-1]) | (vec[1:] != vec[:-1])
+                of, score, vec = of[first], score[first], vec[first]
+            order = np.lexsort((vec, -np.rint(score * TIE), of))
+            of, score, vec = of[order], score[order], vec[order]
+            place = np.arange(len(of)) - np.searchsorted(of, of)
+            top = place < k
+            best[of[top], place[top]] = score[top]
+            name[of[top], place[top]] = vec[top]
 
         def visit(node, who: np.ndarray) -> None:
             if not len(who):
                 return
             if isinstance(node, np.ndarray):
-                if not len(node):
-                    return
-                d = np.sqrt(np.maximum(0, 2 - 2 * (q[who] @ self.unit[node].T)))
-                near = np.flatnonzero(d.min(axis=1) < best[who, -1])
-                some = who[near]
-                both = np.concatenate([best[some], d[near]], axis=1)
-                names = np.concatenate([entry[some], np.broadcast_to(node, (len(some), len(node)))], axis=1)
-                order = np.argsort(both, axis=1, kind="stable")[:, :k]
-                best[some] = np.take_along_axis(both, order, 1)
-                entry[some] = np.take_along_axis(names, order, 1)
+                if len(node):
+                    step = max(1, _PAIRS // int(sizes[node].sum()))
+                    for lo in range(0, len(who), step):
+                        meet(node, who[lo : lo + step])
                 return
             point, radius, inner, outer = node
             d = np.linalg.norm(q[who] - self.unit[point], axis=1)
             inside = d <= radius
             visit(inner, who[inside])
             visit(outer, who[~inside])
-            bound = factor * np.abs(d - radius)
-            visit(outer, who[inside & (bound <= best[who, -1] + _EPS)])
-            visit(inner, who[~inside & (bound <= best[who, -1] + _EPS)])
+            bound = factor * (np.abs(d - radius) - _EPS)
+
+            def open_(part: np.ndarray) -> np.ndarray:
+                return who[part & (bound <= np.sqrt(np.maximum(0, 2 - 2 * best[who, -1]) + 2 * _SLACK))]
+
+            visit(outer, open_(inside))
+            visit(inner, open_(~inside))
 
         visit(self.root, np.arange(len(q)))
-        return entry, best
+        return name, best
 
 
 def usable(vector: Column) -> Column:
@@ -144,26 +195,17 @@ def nearest(df: DataFrame, queries: DataFrame, k: int = 5, factor: float = 1.0,
     key = ["dim", "shard", "block"]
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
-        out: dict[str, list] = {"query_id": [], "vec_id": [], "score": []}
+        out = {"query_id": np.empty(0, np.int64), "vec_id": np.empty(0, np.int64), "score": np.empty(0)}
         if left.num_rows and right.num_rows:
             ids, q = np.asarray(left["id"]), _matrix(left["vector"])
-            tree = pickle.loads(right["tree"][0].as_py())
-            # the query's own entry, and some for ties that the exact score settles
-            entry, _ = tree.search(q, k + 4, factor)
-            who, place = np.nonzero(entry >= 0)
-            a, b = q[who], tree.raw[entry[who, place]]
-            cosine = np.einsum("ij,ij->i", a, b) / (np.sqrt(np.einsum("ij,ij->i", a, a)) * np.sqrt(np.einsum("ij,ij->i", b, b)))
-            for w, e, c in zip(who.tolist(), entry[who, place].tolist(), cosine.tolist(), strict=True):
-                own = tree.ids[e][: k + 1]
-                own = own[own != ids[w]][:k].tolist()
-                out["query_id"] += [int(ids[w])] * len(own)
-                out["vec_id"] += own
-                out["score"] += [c] * len(own)
-        return pa.table({"query_id": pa.array(out["query_id"], pa.int64()), "vec_id": pa.array(out["vec_id"], pa.int64()), "score": pa.array(out["score"], pa.float64())})
-
-    found = met.groupBy(*key).cogroup(spread.groupBy(*key)).applyInArrow(search, "query_id long, vec_id long, score double")
-    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+            names, cosines = pickle.loads(right["tree"][0].as_py()).search(q, k, factor, ids)
+            who, place = np.nonzero(np.isfinite(cosines))
+            out = {"query_id": ids[who], "vec_id": names[who, place], "score": cosines[who, place]}
+        return pa.table({**{c: pa.array(x) for c, x in out.items()}, "tie": pa.array(np.rint(out["score"] * TIE).astype(np.int64))})
+
+    found = met.groupBy(*key).cogroup(spread.groupBy(*key)).applyInArrow(search, "query_id long, vec_id long, score double, tie long")
+    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"), F.max("tie").alias("tie"))
     from pyspark.sql import Window
 
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")  # a few candidates from each shard
+    best = Window.partitionBy("query_id").orderBy(F.desc("tie"), "vec_id")  # a few candidates from each shard
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
