@@ -54,7 +54,7 @@ def suffix_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a passage of a benchmark item go."""
-    return decontaminate.clean(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"))
+    return decontaminate.clean(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"), short=True)
 
 
 def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

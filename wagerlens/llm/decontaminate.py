@@ -11,6 +11,13 @@ any 13 tokens of which at most 2 were substituted hold a hit, wherever they were
 (checked over all 78 cases in the tests): with the defaults nothing that the
 verification accepts in a window of 13 can be missed.
 
+An item of fewer tokens than a window is verified as a whole. With ``short`` it has masks
+over its whole length: the places are dealt into two groups more than the substitutions
+that verification accepts, and there is a mask without each choice of so many groups, so
+one of the masks meets whatever is accepted. Items of up to 4 tokens are found verbatim
+only. Documents are hashed for the short lengths that the test set has. Without ``short``
+such items are searched by the two masks alone, from ``SPAN`` tokens on.
+
 The test set is small next to the corpus. Its hashes are broadcast only if their
 number, counted first, is within ``BROADCAST_SEEDS``; beyond that the join shuffles.
 The search carries ids and places, never texts. The distinct hits are written, so
@@ -18,13 +25,15 @@ that their size decides whether the texts of documents with hits are fetched by
 broadcast or by a shuffled join; only those texts are read again for verification.
 
 Tokens are runs of letters and digits, lower-cased. Defined results: null and empty
-texts have no tokens and no hits; items and documents of fewer than ``SPAN`` tokens
-can't hold a seed and have no hits; rows with a null document id are reported under a
+texts have no tokens and no hits; nor have documents shorter than the item's seeds; rows with a null document id are reported under a
 null id; repeated rows count once in ``pairs``; an empty table on either side gives none.
 """
 
 from __future__ import annotations
 
+import math
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,19 +53,36 @@ def tokens(text: Column) -> Column:
     return F.split(F.trim(F.regexp_replace(F.lower(text.cast("string")), r"[^\p{L}\p{N}]+", " ")), " ")
 
 
-def _seeds(df: DataFrame, keep: list[str]) -> DataFrame:
+def short_masks(length: int, share: float) -> tuple[tuple[int, ...], ...]:
+    """Masks over ``length`` tokens of which one meets any ``share`` of them that are equal."""
+    lost = length - math.ceil(share * length)
+    groups = min(length, lost + 2)
+    return tuple(tuple(o for o in range(length) if o % groups not in out) for out in combinations(range(groups), lost))
+
+
+#: Span, mask and the numbers that tell its hashes from others.
+_LONG = [(SPAN, mask, (k,)) for k, mask in enumerate(MASKS)]
+
+
+def _seeds(df: DataFrame, keep: list[str], masks: list[tuple[int, tuple[int, ...], tuple[int, ...]]] = _LONG) -> DataFrame:
     """A row for every stretch and mask of ``tokens``: ``keep``, ``at`` and ``seed``.
 
     Shifted slices are zipped, so that a row holds the tokens of one stretch and never
     the document: memory and time stay linear in its length.
     """
-    offsets = sorted({o for mask in MASKS for o in mask})
-    count = F.size("tokens") - SPAN + 1
+    offsets = sorted({o for span, mask, _ in masks for o in (*mask, span - 1)})
+    least = min(span for span, _, _ in masks)
+    count = F.size("tokens") - least + 1
     zipped = F.arrays_zip(*(F.slice("tokens", o + 1, count).alias(f"t{o}") for o in offsets))
-    fits = df.filter(F.size("tokens") >= SPAN)
+    fits = df.filter(F.size("tokens") >= least)
     at = fits.select(*keep, F.posexplode(zipped).alias("at", "t"))
-    hashes = F.array(*(F.xxhash64(F.lit(k), *(F.col("t").getField(f"t{o}") for o in mask)) for k, mask in enumerate(MASKS)))
-    return at.select(*keep, "at", F.explode(hashes).alias("seed"))
+
+    def seed(span: int, mask: tuple[int, ...], name: tuple[int, ...]) -> Column:
+        value = F.xxhash64(*map(F.lit, name), *(F.col("t").getField(f"t{o}") for o in mask))
+        # past the end of the document a longer stretch is padded with nulls
+        return value if span == least else F.when(F.col("t").getField(f"t{span - 1}").isNotNull(), value)
+
+    return at.select(*keep, "at", F.explode(F.array(*(seed(*m) for m in masks))).alias("seed"))
 
 
 def _same(left: str, right: str, key: list[str]) -> Column:
@@ -66,15 +92,22 @@ def _same(left: str, right: str, key: list[str]) -> Column:
     return same
 
 
-def hits(docs: DataFrame, items: DataFrame, key: list[str], text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, share: float = SHARE) -> DataFrame:
+def hits(docs: DataFrame, items: DataFrame, key: list[str], text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, share: float = SHARE, short: bool = False) -> DataFrame:
     """``key``, item, doc_at, item_at, overlap, equal, best: verified overlaps.
 
     ``best`` is the largest number of equal tokens in a window of the overlap.
     """
-    test = stage(items.select(F.col(item_col).alias("item"), tokens(F.col(item_text_col)).alias("tokens")).filter(F.size("tokens") >= SPAN), "test")
-    seeds = _seeds(test.withColumn("length", F.size("tokens")), ["item", "length"]).withColumnRenamed("at", "item_at").distinct()
-    seeds = stage(seeds, "seeds")
-    corpus = _seeds(docs.select(*key, tokens(F.col(text_col)).alias("tokens")), key)
+    size = F.size("tokens")
+    searched = (size > 1) | (F.col("tokens")[0] != "") if short else size >= SPAN
+    test = stage(items.select(F.col(item_col).alias("item"), tokens(F.col(item_text_col)).alias("tokens")).filter(searched), "test")
+    sized = test.withColumn("length", size)
+    lengths = sorted(r.length for r in sized.filter(F.col("length") < window).select("length").distinct().collect()) if short else []
+    masks = {n: [(n, mask, (n, k)) for k, mask in enumerate(short_masks(n, share))] for n in lengths}
+    seeds = _seeds(sized.filter(F.col("length") >= (window if short else SPAN)), ["item", "length"])
+    for n in lengths:
+        seeds = seeds.union(_seeds(sized.filter(F.col("length") == n), ["item", "length"], masks[n]))
+    seeds = stage(seeds.withColumnRenamed("at", "item_at").distinct(), "seeds")
+    corpus = _seeds(docs.select(*key, tokens(F.col(text_col)).alias("tokens")), key, _LONG + [m for n in lengths for m in masks[n]])
     met = corpus.join(F.broadcast(seeds) if seeds.count() <= BROADCAST_SEEDS else seeds, "seed")
     lies = met.select(*key, F.struct("item", "length", (F.col("at") - F.col("item_at")).alias("shift")).alias("lie")).distinct()
     lies = stage(lies.groupBy(*key).agg(F.collect_list("lie").alias("lies")), "lies")  # bounded by a document's length
