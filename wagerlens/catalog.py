@@ -224,9 +224,16 @@ def streamed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stream.select("event_id", F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("type"), F.col("value").alias("amount"))
     root = f"{shared_folder(spark)}/wagerlens/stream-{uuid.uuid4().hex}"
     out = windowed(deduplicated(rows, ["event_id"]), size="1 hour", delay=None)
-    query = out.writeStream.outputMode("append").format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start()
+
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{root}/out/batch={number}")
+
+    # update mode gives the windows that the watermark leaves open, too; the last value of each counts
+    query = out.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start()
     query.awaitTermination()
-    return spark.read.schema(out.schema).parquet(f"{root}/out").select(F.date_format("window_start", "yyyy-MM-dd HH:mm").alias("hour_start"), "type", "n", F.round("amount", 6).alias("amount"))
+    given = spark.read.schema(out.schema.add("batch", "long")).parquet(f"{root}/out")
+    last = given.groupBy("window_start", "type").agg(F.max_by(F.struct("n", "amount"), "batch").alias("last"))
+    return last.select(F.date_format("window_start", "yyyy-MM-dd HH:mm").alias("hour_start"), "type", "last.n", F.round("last.amount", 6).alias("amount"))
 
 
 _OPERATORS: dict[str, tuple[Query, str | None]] = {
@@ -315,7 +322,10 @@ _OPERATORS: dict[str, tuple[Query, str | None]] = {
     "cleaning_report": (cleaning_report, "SELECT count(CASE WHEN o_orderkey % 10 = 0 THEN 1 END) AS id0_unreadable, count(CASE WHEN o_custkey % 7 = 0 THEN 1 END) AS name_missing FROM orders"),
     "json_values": (json_values, "SELECT user_id, count(*) AS n, CAST(sum(CAST(regexp_extract(props, '[0-9]+') AS INTEGER)) AS BIGINT) AS total FROM events GROUP BY user_id"),
     "model_scores": (model_scores, None),
-    "streamed_windows": (streamed_windows, None),
+    "streamed_windows": (
+        streamed_windows,
+        "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M') AS hour_start, event_type AS type, count(*) AS n, round(sum(value), 6) AS amount FROM events WHERE ts IS NOT NULL GROUP BY 1, 2",
+    ),
     "monthly_layout": (monthly_layout, "SELECT strftime(o_orderdate, '%Y_%m') AS ym, count(*) AS n, strftime(min(o_orderdate), '%Y-%m-%d') AS first_day, strftime(max(o_orderdate), '%Y-%m-%d') AS last_day FROM orders GROUP BY 1"),
 }
 
