@@ -14,6 +14,8 @@ from wagerlens.llm import lang_id
 from wagerlens.llm.merge_replay import read_ranks
 from wagerlens.llm.suffix_dedup import whole_characters
 
+from test_learned import plain_probabilities
+
 EN = "the and of to in that is was for with as his on be at by this had not are but from they which one you were all her she"
 DE = "der die und das nicht von sie ist des sich mit dem dass er es ein ich auf so eine auch als an nach wie im fuer man aber aus"
 
@@ -26,14 +28,13 @@ def shingles(text, size):
 
 
 def brute(spark, rows, items):
-    # 1: the trained network over whole texts, without a memo
+    # 1: the trained network over whole texts, byte by byte
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     net = lang_id.learn(docs, F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) != 2)
     kept = []
     for r in rows:
         if r[1] and re.search(r"[^\W\d_]", r[1]):
-            total = net.word_sums(lang_id.words_of(r[1])).sum(0)
-            if max(total[:-1]) / total[-1] >= corpus_pipeline.LEAST_LANGUAGE:
+            if plain_probabilities(net, r[1].encode(), lang_id.CHUNK, lang_id.CONTEXT).max() >= corpus_pipeline.least_language(len(net.labels)):
                 kept.append(r)
     # 2: components of all pairs
     rows, root = kept, {}

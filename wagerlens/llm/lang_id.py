@@ -1,17 +1,22 @@
 """Language identification by a bidirectional gated recurrent network over bytes.
 
-The network reads the bytes of a word between two boundary marks, forwards and
-backwards, and labels every position; it is trained in numpy by backpropagation
-through time. A document's probabilities are the mean of those of all its positions,
-over the whole text. State starts anew at each word, so what a word adds depends on
-its bytes alone and is kept in a bounded memo: the cost follows the distinct words.
-
-Before the network, ASCII letters are lower-cased and ASCII characters that are no
-letters separate words; a word of more than ``WIDTH`` bytes is read in pieces.
+The network reads the UTF-8 bytes of a text as they stand, forwards and backwards, and
+labels every byte; it is trained in numpy by backpropagation through time. A document's
+probabilities are the mean of those of all its positions, over the whole text. State is
+carried on from byte to byte across words.
+
+A text is read in stretches of near ``CHUNK`` bytes, which go through the network side by
+side. A direction enters a stretch with the state it has after reading the ``CONTEXT``
+bytes that stand before it (for the way back: behind it) from an empty state, so every
+position is labelled once and knows at least so much of its surroundings on both sides,
+as far as the text goes. Work and memory follow the bytes; no task holds more than a
+batch of stretches, and one document of any length is many stretches.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0; equal
 probabilities go to the language that sorts first; null ids and repeated rows pass
-through row by row; with no row to learn from, every text is ``und`` with score 0.
+through row by row; with no row to learn from, every text is ``und`` with score 0; an
+empty table gives an empty table; input columns of the names of the results are
+replaced by them, all others are passed on.
 """
 
 from __future__ import annotations
@@ -21,129 +26,155 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wagerlens.llm._io import slices
 
-#: Rows that the network learns from, at most.
-SAMPLE_ROWS = 1500
-#: Words of each learning row, at most, evenly spread.
-SAMPLE_WORDS = 120
-#: Bytes of a word, or a piece of it, that the network reads in one go.
-WIDTH = 24
-#: Entries of the memo before it is dropped.
-MEMO = 700_000
-#: Bytes of text that are split at once.
+#: Rows that the network learns from, and bytes of their texts, at most; a row is taken whole or not.
+SAMPLE_ROWS, SAMPLE_BYTES = 3000, 8_000_000
+#: Bytes of a piece of a learning text: backpropagation runs over so many steps.
+PIECE = 64
+#: Bytes that a stretch has about, bytes that a direction reads ahead of it, stretches that are read side by side.
+CHUNK, CONTEXT, SIDE = 256, 48, 2048
+#: Bytes of text that are cut at once.
 BATCH_BYTES = 4_000_000
 
-_BREAK = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
 _letter = re.compile(r"[^\W\d_]").search
 
 
-def words_of(text: str) -> list[bytes]:
-    return text.encode().translate(_BREAK).split()
-
-
-def pieces(word: bytes) -> list[bytes]:
-    return [word[i : i + WIDTH] for i in range(0, len(word), WIDTH)]
-
-
-def padded(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Byte codes (0 pads, 32 marks both edges) and the mask of positions, time first."""
-    lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 2
-    codes = np.zeros((int(lengths.max()), len(words)), dtype=np.int64)
-    flat = np.frombuffer(b"".join(b" " + w + b" " for w in words), dtype=np.uint8)
-    column = np.repeat(np.arange(len(words)), lengths)
-    row = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    codes[row, column] = flat
-    return codes, np.arange(len(codes))[:, None] < lengths
-
-
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * (np.tanh(0.5 * x) + 1)
+def side_by_side(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Byte codes (time, piece) of pieces in descending order of length, and their lengths."""
+    lengths = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
+    codes = np.zeros((len(pieces), int(lengths.max(initial=0))), dtype=np.uint8)
+    codes[np.arange(codes.shape[1])[None, :] < lengths[:, None]] = np.frombuffer(b"".join(pieces), dtype=np.uint8)
+    return np.ascontiguousarray(codes.T), lengths
 
 
 class ByteGru:
-    """Embedding, one gated layer in each direction, and a label for each position."""
+    """Embedding, one gated layer in each direction, and a label for each position.
+
+    Arrays are feature first: a state is (hidden, piece), the gates are rows z, r, n.
+    """
 
     def __init__(self, labels: list[str], params: dict[str, np.ndarray]):
         self.labels, self.p = labels, params
 
     @classmethod
-    def fresh(cls, labels: list[str], hidden: int = 16, width: int = 12, seed: int = 7) -> ByteGru:
+    def fresh(cls, labels: list[str], hidden: int = 8, width: int = 8, seed: int = 7) -> ByteGru:
         r = np.random.default_rng(seed)
 
         def new(*shape: int) -> np.ndarray:
-            return (r.standard_normal(shape) / np.sqrt(shape[0])).astype(np.float32)
+            return (r.standard_normal(shape) / np.sqrt(shape[-1])).astype(np.float32)
 
-        p = {"E": new(256, width) * 4, "Wo": new(2 * hidden, len(labels)), "bo": np.zeros(len(labels), np.float32)}
+        p = {"E": new(width, 256) * 16, "Wo": new(len(labels), 2 * hidden), "bo": np.zeros(len(labels), np.float32)}
         for d in "fb":
-            p |= {f"W{d}": new(width, 3 * hidden), f"U{d}": new(hidden, 3 * hidden), f"b{d}": np.zeros(3 * hidden, np.float32)}
+            p |= {f"W{d}": new(3 * hidden, width), f"U{d}": new(3 * hidden, hidden), f"b{d}": np.zeros(3 * hidden, np.float32)}
         return cls(labels, p)
 
-    def _pass(self, codes: np.ndarray, mask: np.ndarray, d: str) -> tuple[np.ndarray, list]:
-        """States of one direction, time first, and what the way back needs."""
-        p, h_size = self.p, self.p["Uf"].shape[0]
-        u, given = p[f"U{d}"], (p["E"] @ p[f"W{d}"] + p[f"b{d}"])
-        h = np.zeros((codes.shape[1], h_size), np.float32)
-        states, kept = np.empty((*codes.shape, h_size), np.float32), []
+    @property
+    def hidden(self) -> int:
+        return self.p["Uf"].shape[1]
+
+    def _given(self, d: str) -> np.ndarray:
+        """What each byte gives to the gates."""
+        return self.p[f"W{d}"] @ self.p["E"] + self.p[f"b{d}"][:, None]
+
+    def states(self, codes: np.ndarray, lengths: np.ndarray, d: str, start: np.ndarray | None = None, kept: list | None = None) -> np.ndarray:
+        """States (time, hidden, piece) of one direction; ``kept`` gets what the way back needs."""
+        size, given, u = self.hidden, self._given(d), self.p[f"U{d}"]
+        live = np.searchsorted(-lengths, -np.arange(len(codes)), side="left")  # pieces longer than t come first
+        h = np.zeros((size, codes.shape[1]), given.dtype) if start is None else start.astype(given.dtype)
+        out = np.zeros((len(codes), *h.shape), given.dtype)
         for t in range(len(codes)) if d == "f" else range(len(codes) - 1, -1, -1):
-            x, m = given[codes[t]], mask[t][:, None]
-            zr = _sigmoid(x[:, : 2 * h_size] + h @ u[:, : 2 * h_size])
-            z, r = zr[:, :h_size], zr[:, h_size:]
-            n = np.tanh(x[:, 2 * h_size :] + (r * h) @ u[:, 2 * h_size :])
-            new = np.where(m, (1 - z) * n + z * h, h)
-            kept.append((t, h, z, r, n))
-            h = states[t] = new
-        return states, kept
-
-    def probabilities(self, codes: np.ndarray, mask: np.ndarray) -> np.ndarray:
-        """Label probabilities of every position (time, word, label), zero at padding."""
-        both = np.concatenate([self._pass(codes, mask, d)[0] for d in "fb"], axis=2)
-        logits = both @ self.p["Wo"] + self.p["bo"]
-        e = np.exp(logits - logits.max(axis=2, keepdims=True))
-        return e / e.sum(axis=2, keepdims=True) * mask[:, :, None]
-
-    def gradients(self, codes: np.ndarray, mask: np.ndarray, target: np.ndarray, weight: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
+            n = int(live[t])
+            x, before = given.take(codes[t, :n], axis=1), h[:, :n]
+            a = u @ before
+            gates = x[: 2 * size]
+            gates += a[: 2 * size]
+            gates *= 0.5
+            np.tanh(gates, out=gates)  # logistic function by the hyperbolic tangent
+            gates *= 0.5
+            gates += 0.5
+            q = a[2 * size :]
+            new = gates[size:] * q
+            new += x[2 * size :]
+            np.tanh(new, out=new)
+            now = before - new
+            now *= gates[:size]
+            now += new
+            if kept is not None:
+                kept.append((t, n, before.copy(), gates, new, q))
+            out[t, :, :n] = now
+            if n == h.shape[1]:
+                h = now
+            else:
+                h = h.copy()
+                h[:, :n] = now
+        return out
+
+    def _softmax(self, forth: np.ndarray, back: np.ndarray) -> np.ndarray:
+        """Label probabilities (time, label, piece) of the states of some time steps."""
+        size = self.hidden
+        e = self.p["Wo"][:, :size] @ forth
+        e += self.p["Wo"][:, size:] @ back
+        e += self.p["bo"][:, None]
+        e -= e.max(axis=1, keepdims=True)
+        np.exp(e, out=e)
+        e /= e.sum(axis=1, keepdims=True)
+        return e
+
+    def position_probabilities(self, codes: np.ndarray, lengths: np.ndarray, before: np.ndarray | None = None, after: np.ndarray | None = None) -> np.ndarray:
+        """Label probabilities (time, label, piece) of every position, zero past a piece's end."""
+        forth, back = self.states(codes, lengths, "f", before), self.states(codes, lengths, "b", after)
+        return self._softmax(forth, back) * (np.arange(len(codes))[:, None] < lengths)[:, None, :]
+
+    def gradients(self, codes: np.ndarray, lengths: np.ndarray, target: np.ndarray, weight: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean loss over positions and its gradients, by backpropagation through time."""
-        p, h_size = self.p, self.p["Uf"].shape[0]
-        passes = {d: self._pass(codes, mask, d) for d in "fb"}
-        both = np.concatenate([passes[d][0] for d in "fb"], axis=2)
-        logits = both @ p["Wo"] + p["bo"]
-        e = np.exp(logits - logits.max(axis=2, keepdims=True))
-        prob = e / e.sum(axis=2, keepdims=True)
-        share = (mask * weight[None, :] / (mask * weight[None, :]).sum()).astype(np.float32)
-        t_at, w_at = np.indices(codes.shape)
-        loss = float(-(np.log(prob[t_at, w_at, target[None, :]] + 1e-9) * share).sum())
-        dl = prob.copy()
-        dl[t_at, w_at, target[None, :]] -= 1
-        dl *= share[:, :, None]
-        g = {"Wo": np.einsum("twh,twl->hl", both, dl), "bo": dl.sum((0, 1)), "E": np.zeros_like(p["E"])}
-        dboth = dl @ p["Wo"].T
-        for d, ds in (("f", dboth[:, :, :h_size]), ("b", dboth[:, :, h_size:])):
-            u = p[f"U{d}"]
-            du, dgiven = np.zeros_like(u), np.zeros((256, 3 * h_size), np.float32)
-            dh = np.zeros((codes.shape[1], h_size), np.float32)
-            for t, h, z, r, n in reversed(passes[d][1]):
-                dh = dh + ds[t]
-                m = mask[t][:, None]
-                live = np.where(m, dh, 0)
-                dn = live * (1 - z) * (1 - n * n)
-                drh = dn @ u[:, 2 * h_size :].T
-                dz = live * (h - n) * z * (1 - z)
-                dr = drh * h * r * (1 - r)
-                dzr = np.concatenate([dz, dr], axis=1)
-                du[:, : 2 * h_size] += h.T @ dzr
-                du[:, 2 * h_size :] += (r * h).T @ dn
-                np.add.at(dgiven, codes[t], np.concatenate([dzr, dn], axis=1))
-                dh = np.where(m, live * z + drh * r + dzr @ u[:, : 2 * h_size].T, dh)
-            g[f"U{d}"], g[f"b{d}"] = du, dgiven.sum(0)
-            g[f"W{d}"] = p["E"].T @ dgiven
-            g["E"] += dgiven @ p[f"W{d}"].T
+        p, size = self.p, self.hidden
+        kept: dict[str, list] = {"f": [], "b": []}
+        forth, back = (self.states(codes, lengths, d, kept=kept[d]) for d in "fb")
+        mask = np.arange(len(codes))[:, None] < lengths
+        share = mask * weight
+        share = share / share.sum()
+        both = np.concatenate([forth, back], axis=1)
+        flat = both.transpose(1, 0, 2).reshape(2 * size, -1)
+        e = p["Wo"] @ flat + p["bo"][:, None]
+        e -= e.max(axis=0)
+        prob = np.exp(e)
+        prob /= prob.sum(axis=0)
+        at = (np.broadcast_to(target, mask.shape).ravel(), np.arange(mask.size))
+        loss = float(-(np.log(prob[at] + 1e-12) * share.ravel()).sum())
+        prob[at] -= 1
+        prob *= share.ravel().astype(prob.dtype)
+        g = {"Wo": prob @ flat.T, "bo": prob.sum(axis=1), "E": np.zeros_like(p["E"])}
+        down = (p["Wo"].T @ prob).reshape(2 * size, *mask.shape).transpose(1, 0, 2)
+        order = np.argsort(codes, axis=None, kind="stable")
+        ranked = codes.ravel()[order]
+        cuts = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
+        for d, part in (("f", slice(0, size)), ("b", slice(size, 2 * size))):
+            u, du = p[f"U{d}"], np.zeros_like(p[f"U{d}"])
+            slopes = np.zeros((len(codes), 3 * size, codes.shape[1]), u.dtype)
+            dh = np.zeros((size, codes.shape[1]), u.dtype)
+            for t, n, h, gates, new, q in reversed(kept[d]):
+                now = dh[:, :n] + down[t, part, :n]
+                z, r = gates[:size], gates[size:]
+                dn = now * (1 - z) * (1 - new * new)
+                dz = now * (h - new) * z * (1 - z)
+                dr = dn * q * r * (1 - r)
+                slopes[t, :, :n] = np.concatenate([dz, dr, dn])
+                inner = np.concatenate([dz, dr, dn * r])
+                du += inner @ h.T
+                dh[:, :n] = now * z + u.T @ inner
+            by_code = slopes.transpose(0, 2, 1).reshape(-1, 3 * size)[order]
+            dgiven = np.zeros((3 * size, 256), u.dtype)
+            dgiven[:, ranked[cuts]] = np.add.reduceat(by_code, cuts, axis=0).T
+            g[f"U{d}"], g[f"b{d}"] = du, dgiven.sum(axis=1)
+            g[f"W{d}"] = dgiven @ p["E"].T
+            g["E"] += p[f"W{d}"].T @ dgiven
         return loss, g
 
-    def fit(self, words: list[bytes], target: np.ndarray, steps: int = 500, batch: int = 384, rate: float = 0.02, seed: int = 11) -> ByteGru:
+    def fit(self, pieces: list[bytes], target: np.ndarray, steps: int = 300, batch: int = 192, rate: float = 0.02, seed: int = 11) -> ByteGru:
         """Adam over random batches; classes weigh the same whatever their share."""
         r = np.random.default_rng(seed)
         share = np.bincount(target, minlength=len(self.labels)) / len(target)
@@ -151,9 +182,9 @@ class ByteGru:
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
         v = {k: np.zeros_like(x) for k, x in self.p.items()}
         for step in range(1, steps + 1):
-            at = r.integers(0, len(words), batch)
-            codes, mask = padded([words[i] for i in at])
-            _, g = self.gradients(codes, mask, target[at], weight[at])
+            at = sorted(r.integers(0, len(pieces), batch).tolist(), key=lambda i: -len(pieces[i]))
+            codes, lengths = side_by_side([pieces[i] for i in at])
+            _, g = self.gradients(codes, lengths, target[at], weight[at])
             norm = np.sqrt(sum(float((x * x).sum()) for x in g.values()))
             scale = min(1.0, 5.0 / (norm + 1e-9))
             now = rate * min(1.0, 2 * (1 - step / (steps + 1)))
@@ -164,99 +195,93 @@ class ByteGru:
                 self.p[k] -= (now * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
         return self
 
-    def word_sums(self, words: list[bytes], batch: int = 4096) -> np.ndarray:
-        """Sum of the position probabilities of each word, and the number of positions."""
-        parts = [(i, x) for i, w in enumerate(words) for x in pieces(w)]
-        parts.sort(key=lambda q: len(q[1]))
-        out = np.zeros((len(words), len(self.labels) + 1))
-        for lo in range(0, len(parts), batch):
-            some = parts[lo : lo + batch]
-            codes, mask = padded([x for _, x in some])
-            sums = np.concatenate([self.probabilities(codes, mask).sum(0), mask.sum(0)[:, None]], axis=1)
-            np.add.at(out, [i for i, _ in some], sums)
-        return out
+    def text_probabilities(self, texts: list[bytes], chunk: int = CHUNK, context: int = CONTEXT, side: int = SIDE) -> np.ndarray:
+        """(text, label): the mean over all positions of each text; zeros for an empty one."""
+        found = [(i, lo, hi) for i, raw in enumerate(texts) for lo, hi in stretches(len(raw), chunk)]
+        found.sort(key=lambda s: (s[1] - s[2], s[0], s[1]))
+        sums = np.zeros((len(texts), len(self.labels)))
+        for k in range(0, len(found), side):
+            some = found[k : k + side]
+            codes, lengths = side_by_side([texts[i][lo:hi] for i, lo, hi in some])
+            entry = {}
+            for d in "fb":
+                around = [texts[i][max(0, lo - context) : lo] if d == "f" else texts[i][hi : hi + context] for i, lo, hi in some]
+                order = sorted(range(len(some)), key=lambda j: -len(around[j]))
+                led, led_lengths = side_by_side([around[j] for j in order])
+                entry[d] = np.zeros((self.hidden, len(some)), np.float32)
+                if len(led):
+                    walked = self.states(led, led_lengths, d)
+                    last = walked[led_lengths - 1, :, np.arange(len(some))] if d == "f" else walked[0].T
+                    entry[d][:, order] = np.where(led_lengths > 0, last.T, 0)
+            forth = self.states(codes, lengths, "f", entry["f"])
+            back = self.states(codes, lengths, "b", entry["b"])
+            total = np.zeros((len(self.labels), len(some)))
+            for t in range(0, len(codes), 16):
+                mask = (np.arange(t, min(t + 16, len(codes)))[:, None] < lengths).astype(np.float32)
+                total += (self._softmax(forth[t : t + 16], back[t : t + 16]) * mask[:, None, :]).sum(axis=0)
+            np.add.at(sums, [i for i, _, _ in some], total.T)
+        return sums / np.maximum(1, [len(raw) for raw in texts])[:, None]
+
+    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+        """Label and pooled probability of every text."""
+        probabilities = self.text_probabilities([t.encode() if t and _letter(t) else b"" for t in texts])
+        best, pooled = probabilities.argmax(axis=1), probabilities.max(axis=1)
+        return [self.labels[k] if s > 0 else "und" for k, s in zip(best, pooled, strict=True)], np.round(np.minimum(1, pooled), 6).tolist()
 
 
-class Labeller:
-    """Document predictions with a memo of words."""
+def stretches(n: int, chunk: int = CHUNK) -> list[tuple[int, int]]:
+    """Cuts 0..n into stretches of near equal size, of at most ``chunk``."""
+    parts = -(-n // chunk)
+    edges = [n * k // parts for k in range(parts + 1)] if n else []
+    return list(zip(edges, edges[1:], strict=False))
 
-    def __init__(self, net: ByteGru):
-        self.net = net
-        self._clear()
 
-    def _clear(self) -> None:
-        self.at: dict[bytes, int] = {}
-        self.sums = np.zeros((0, len(self.net.labels) + 1))
+def learn(df: DataFrame, learn_rows: Column, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", rows: int = SAMPLE_ROWS, most_bytes: int = SAMPLE_BYTES, **fit) -> ByteGru | None:
+    """Train on whole texts of at most ``rows`` rows and ``most_bytes`` bytes for which ``learn_rows`` holds.
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        if len(self.at) > MEMO:
-            self._clear()
-        split = [words_of(t) if t and _letter(t) else None for t in texts]
-        new = {w for ws in split if ws for w in ws}
-        new.difference_update(self.at)
-        if new:
-            order = sorted(new)
-            self.at.update(zip(order, range(len(self.sums), len(self.sums) + len(order)), strict=True))
-            self.sums = np.concatenate([self.sums, self.net.word_sums(order)])
-        labels, scores = [], []
-        for ws in split:
-            if not ws:
-                labels.append("und")
-                scores.append(0.0)
-                continue
-            total = self.sums[np.fromiter(map(self.at.__getitem__, ws), dtype=np.int64, count=len(ws))].sum(0)
-            p = total[:-1] / total[-1]
-            k = int(p.argmax())
-            labels.append(self.net.labels[k])
-            scores.append(round(float(min(1.0, p[k])), 6))
-        return labels, scores
-
-
-def learn(df: DataFrame, learn_rows: Column, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", rows: int = SAMPLE_ROWS, **fit) -> ByteGru | None:
-    """Train on at most ``rows`` rows for which ``learn_rows`` holds, the least by a hash of the id.
-
-    Ids are chosen first, without reading texts; then the chosen texts are read.
+    Rows are ordered by a hash of the id. Ids and sizes are chosen first, without reading
+    texts to the driver; the texts of the chosen rows are cut to pieces on the executors.
     """
-    fits = df.filter(learn_rows & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
-    chosen = [r[0] for r in fits.select(id_col).distinct().orderBy(F.xxhash64(id_col), id_col).limit(rows).collect()]
-    if not chosen:
-        return None
-    got = df.filter(learn_rows & F.col(id_col).isin(chosen) & F.col(lang_col).isNotNull()).select(id_col, lang_col, F.col(text_col).cast("string"))
-    words, langs = [], []
-    for _, lang, text in sorted((tuple(r) for r in got.collect()), key=repr)[: 2 * rows]:
-        own = [x for w in words_of(text or "") for x in pieces(w)]
-        own = own[:: max(1, len(own) // SAMPLE_WORDS)]
-        words += own
-        langs += [lang] * len(own)
-    if not words:
+    text = F.col(text_col).cast("string")
+    fits = df.filter(learn_rows & F.col(lang_col).isNotNull() & text.isNotNull() & F.col(id_col).isNotNull())
+    sized = fits.groupBy(id_col).agg(F.sum(F.octet_length(text)).alias("size")).filter(F.col("size") <= most_bytes)
+    first = sized.orderBy(F.xxhash64(id_col), id_col).limit(rows)  # bounded by ``rows``
+    before = Window.orderBy(F.xxhash64(id_col), id_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    chosen = first.withColumn("run", F.sum("size").over(before)).filter(F.col("run") <= most_bytes).select(id_col)
+    read = fits.join(F.broadcast(chosen), id_col, "left_semi").select(F.col(lang_col).cast("string").alias("lang"), text.alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (s for b in batches for s in slices(b, 1, BATCH_BYTES)):
+            cut = [(lang, raw[lo:hi]) for lang, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if _letter(t) for raw in (t.encode(),) for lo, hi in stretches(len(raw), PIECE)]
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in cut], pa.string()), pa.array([x for _, x in cut], pa.binary())], names=["lang", "piece"])
+
+    cut = read.mapInArrow(run, "lang string, piece binary").toArrow()
+    if not cut.num_rows:
         return None
-    labels = sorted(set(langs))
-    target = np.array([labels.index(x) for x in langs])
-    return ByteGru.fresh(labels).fit(words, target, **fit)
+    pairs = sorted(zip(cut["lang"].to_pylist(), cut["piece"].to_pylist(), strict=True))
+    labels = sorted({lang for lang, _ in pairs})
+    place = {lang: k for k, lang in enumerate(labels)}
+    return ByteGru.fresh(labels).fit([x for _, x in pairs], np.array([place[x] for x, _ in pairs]), **fit)
 
 
 def identify(df: DataFrame, net: ByteGru | None, text_col: str = "text") -> DataFrame:
-    """All columns of ``df`` and lang_pred, score. Map only, over whole texts."""
+    """The columns of ``df`` and lang_pred, score. Map only, over whole texts."""
+    plain = df.select(*(c for c in df.columns if c.lower() not in ("lang_pred", "score")))
     if net is None:
-        return df.withColumns({"lang_pred": F.lit("und"), "score": F.lit(0.0)})
+        return plain.withColumns({"lang_pred": F.lit("und"), "score": F.lit(0.0)})
     labels, params = net.labels, net.p
-    text = F.col(text_col).cast("string").alias("__text")
-    names = df.columns
+    names = plain.columns
+    kept = text_col in names and plain.schema[text_col].dataType.simpleString() == "string"
+    read = plain if kept else plain.withColumn("__text", F.col(text_col).cast("string"))
+    at = names.index(text_col) if kept else len(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = hash(params["Wo"].tobytes())
-        if key not in _labellers:
-            _labellers.clear()
-            _labellers[key] = Labeller(ByteGru(labels, params))
-        labeller = _labellers[key]
-        for batch in (s for b in batches for s in slices(b, b.num_columns - 1, BATCH_BYTES)):
-            found, scores = labeller.predict(batch.column(batch.num_columns - 1).to_pylist())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.string()), pa.array(scores, pa.float64())], names=[*names, "lang_pred", "score"])
+        model = ByteGru(labels, params)
+        for batch in (s for b in batches for s in slices(b, at, BATCH_BYTES)):
+            found, scores = model.predict(batch.column(at).to_pylist())
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(found, pa.string()), pa.array(scores, pa.float64())], names=[*names, "lang_pred", "score"])
 
     from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-    schema = StructType([*df.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
-    return df.select("*", text).mapInArrow(run, schema)
-
-
-_labellers: dict[int, Labeller] = {}
+    schema = StructType([*plain.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    return read.mapInArrow(run, schema)
