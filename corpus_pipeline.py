@@ -13,8 +13,13 @@ from wagerlens.llm import decontaminate, lang_id, merge_replay, near_dup, suffix
 from wagerlens.llm._io import stage, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-#: Pooled probability below which no language is credible; an even split of four is 0.25.
-LEAST_LANGUAGE = 0.3
+#: How far a credible language's pooled probability stands above an even split, of the way to one.
+CREDIBLE = 0.05
+
+
+def least_language(labels: int) -> float:
+    """Pooled probability below which no language is credible, whatever the number of languages."""
+    return 1 / labels + CREDIBLE * (1 - 1 / labels)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,7 +29,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if net is None:  # nothing to learn from: nothing can be rejected but texts without letters
         return docs.filter(F.col("text").rlike(r"\p{L}")).select(*COLUMNS)
     found = lang_id.identify(docs.select(*COLUMNS), net)
-    return found.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE)).select(*COLUMNS)
+    return found.filter((F.col("lang_pred") != "und") & (F.col("score") >= least_language(len(net.labels)))).select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
