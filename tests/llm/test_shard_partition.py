@@ -61,7 +61,9 @@ def test_whole_result(spark):
     texts = [None, "", "é", "x" * 9000, *("".join(rnd.choice("ab c") for _ in range(rnd.randint(0, 60))) for _ in range(300))]
     rows = [(i if i != 7 else None, rnd.choice(texts[:40] if i % 3 else texts), "s", 1, "z") for i in range(700)]
     rows += rows[:5]
-    got = shard_documents(spark.createDataFrame(rows, SCHEMA), resolution=64).collect()
+    placed = shard_documents(spark.createDataFrame(rows, SCHEMA), resolution=64)
+    assert dict(placed.dtypes) == {"doc_id": "bigint", "size": "bigint", "text_crc32": "bigint", "law": "string", "shard": "int", "slot": "bigint", "grown_shard": "int"}
+    got = placed.collect()
     assert len(got) == len(rows)
     assert sorted((r.doc_id is None, r.doc_id or 0, r.size, r.text_crc32 is None, r.text_crc32 or 0) for r in got) == sorted(
         (i is None, i or 0, len((t or "").encode()) + 1, t is None, zlib.crc32((t or "").encode())) for i, t, *_ in rows

@@ -62,7 +62,7 @@ def shard_documents(
         F.col("crc").alias("text_crc32"),
         F.lit("bytes").alias("law"),
         F.col("shard").cast("int").alias("shard"),
-        (F.col("row") - F.col("first_row")).cast("int").alias("slot"),
+        (F.col("row") - F.col("first_row")).cast("long").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
     )
 
