@@ -2,22 +2,28 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Spark's own switch: shuffle files go when the execution that made them ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests, one machine) a temporary folder is
-    made and set as the checkpoint folder of the context.
+    Only on one machine (a local master, as in tests) a temporary folder is made where
+    the session names none; a cluster without the setting is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         named = spark.sparkContext.getCheckpointDir()
     if not named:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors reach")
         named = "file://" + tempfile.mkdtemp(prefix="wagerlens-")
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")
@@ -27,26 +33,45 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/wagerlens/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and return a reader of it.
 
-    Cuts the lineage: a lost executor costs a re-read, not a re-computation.
+    Cuts the lineage: a lost executor costs a re-read, not a re-computation. The plan's
+    shuffle files are dropped when it is written; nothing else can read them.
     """
     spark = df.sparkSession
     path = new_path(spark, name)
-    writer = df.write
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def free(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop shuffle files of plans that nobody holds any more."""
-    import gc
+_held: dict = {}
+
+
+def held(key, make):
+    """One encoder per worker process: another one takes its place."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
+def trim() -> None:
+    """Give memory that a task is done with back to the system: workers are reused, or idle."""
+    import ctypes
+
+    import pyarrow as pa
 
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not this C library
+        pass
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

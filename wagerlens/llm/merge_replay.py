@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wagerlens.llm._io import slices
+from wagerlens.llm._io import held, slices, trim
 
 #: Entries of a memo before it is dropped.
 MEMO = 300_000
@@ -63,6 +63,10 @@ class MergeReplay:
         order = np.argsort(np.array(keys, dtype=np.int64))
         self.pair_keys = np.array(keys, dtype=np.int64)[order]
         self.pair_rank = np.array(merged, dtype=np.int64)[order]
+        self.forget()
+
+    def forget(self) -> None:
+        """Drop the memos, as at the end of a task."""
         self.words: dict[str, bytes] = {}
         self.spaced: dict[str, bytes] = {}
 
@@ -203,10 +207,8 @@ class MergeReplay:
 
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         """Ids of every text as decimal numbers joined by one space."""
-        if len(self.words) > MEMO:
-            self.words = {}
-        if len(self.spaced) > MEMO:
-            self.spaced = {}
+        if max(len(self.words), len(self.spaced)) > MEMO:
+            self.forget()
         cut: list[tuple[list, list[str], list]] = []
         new: set[str] = set()
         for text in texts:
@@ -264,14 +266,8 @@ def segments(text: str) -> tuple[list[str], list[str]]:
     return ([first] if first else []), parts
 
 
-_made: dict[tuple[str, str], MergeReplay] = {}
-
-
 def replayer(path: str, pattern: str) -> MergeReplay:
-    """One encoder per worker process and vocabulary."""
-    if (path, pattern) not in _made:
-        _made[path, pattern] = MergeReplay(read_ranks(path), pattern)
-    return _made[path, pattern]
+    return held(("merge_replay", path, pattern), lambda: MergeReplay(read_ranks(path), pattern))
 
 
 OUTPUTS = {"n_tokens": "long", "ids": "array<int>", "decoded": "binary", "ids_sha256": "string", "decoded_sha256": "string"}
@@ -317,6 +313,8 @@ def encode_documents(
                 flat = np.array(b" ".join(filter(None, joined)).split(), dtype="S8").astype(np.int32)
                 made["ids"] = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
             yield pa.RecordBatch.from_arrays([batch.column(0), *(made[k] for k in cols)], names=["id", *cols])
+        bpe.forget()
+        trim()
 
     kind = df.schema[id_col].dataType.simpleString()
     schema = ", ".join([f"id {kind}", *(f"{k} {OUTPUTS[k]}" for k in asked)])

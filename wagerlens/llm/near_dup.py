@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wagerlens.llm._io import free, numbered, slices, stage
+from wagerlens.llm._io import numbered, slices, stage
 from wagerlens.llm.components import components
 
 BANDS, ROWS = 32, 4
@@ -191,7 +191,6 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
 
 def near_duplicates(df: DataFrame, size: int = 4, id_col: str = "doc_id", text_col: str = "text", hash_col: str | None = None) -> DataFrame:
     """id, n_shingles, component_id, kept of every row, and ``text_hash`` as ``hash_col`` if that is named."""
-    spark = df.sparkSession
     rows = stage(described(df, size, id_col, text_col), "near-rows")
     sets = rows.filter("n > 0 and id is not null")
     classes = sets.groupBy("n", "hi", "lo").agg(F.min(F.struct("id", "h")).alias("of"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
@@ -212,7 +211,6 @@ def near_duplicates(df: DataFrame, size: int = 4, id_col: str = "doc_id", text_c
     # the text that the class is named for, from the rows that repeat it
     texts = source.join(needed, ["id", "h"]).groupBy("rep").agg(F.min("text").alias("text")).withColumnRenamed("rep", "id")
     texts = stage(texts, "near-texts")
-    free(spark)
     links = stage(_confirmed(stars, texts, size), "near-links")
     found = components(links)
     opened = stage(_open(members, found, brief), "near-open")
@@ -220,7 +218,6 @@ def near_duplicates(df: DataFrame, size: int = 4, id_col: str = "doc_id", text_c
         rest = _rest(opened.filter(F.col("members") <= HOT), stars)
         links = stage(links.union(_confirmed(stage(rest, "near-rest"), texts, size)).union(_family_links(opened.filter(F.col("members") > HOT), texts, size)), "near-links")
         found = components(links)
-    free(spark)
     # ids of one class meet in the smallest id, classes in that of the smallest class
     heads = found.join(classes.select(F.col("rep").alias("component"), F.col("id").alias("head_id"), F.col("h").alias("head_h")), "component")
     of_set = classes.join(heads.withColumnRenamed("node", "rep"), "rep", "left").select("n", "hi", "lo", F.coalesce("head_id", "id").alias("component"), F.coalesce("head_h", "h").alias("head_h"))

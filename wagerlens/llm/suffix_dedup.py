@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wagerlens.llm import bwt
-from wagerlens.llm._io import free, numbered, slices, stage
+from wagerlens.llm._io import numbered, slices, stage
 
 GRAM = 32
 PIECE = 23
@@ -347,19 +347,15 @@ def repeated_spans(docs: DataFrame, length: int = 100) -> DataFrame:
 
     ``docs`` has ``ord`` (the order, unique) and ``text`` (not null).
     """
-    spark = docs.sparkSession
     met = stage(_met(_described(docs, length), length), "runs-met")
-    free(spark)
     candidates = met.filter("key is not null")
     pieces = stage(_pieces(docs, candidates, length), "pieces")
-    free(spark)
     large = stage(pieces.groupBy("pkey").agg(F.count("*").alias("n")).filter(F.col("n") > GROUP_MOST).select("pkey"), "pieces-large")
     spans = met.filter("key is null").select("ord", "start", "end")
     if not large.isEmpty():
         spans = spans.union(_single_windows(pieces.join(large, "pkey", "left_semi"), length))
         pieces = pieces.join(large, "pkey", "left_anti")
     merged = stage(_merged(pieces, length), "pieces-merged")
-    free(spark)
     spans = spans.union(merged)
     return stage(spans.groupBy("ord").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends")), "spans")
 

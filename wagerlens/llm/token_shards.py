@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wagerlens.llm import _library
-from wagerlens.llm._io import new_path, slices
+from wagerlens.llm._io import held, new_path, slices, trim
 
 #: Ids of a shard before the next is begun.
 SHARD_IDS = 32_000_000
@@ -216,13 +216,8 @@ class WordEncoder:
             self.memo[w] = self.memo.get(stem, b"") + self.memo.get(marks, b"")
 
 
-_encoders: dict[str, WordEncoder] = {}
-
-
 def word_encoder(path: str, separator: str) -> WordEncoder:
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path, separator)
-    return _encoders[path]
+    return held(("token_shards", path, separator), lambda: WordEncoder(path, separator))
 
 
 def write_shards(
@@ -269,6 +264,8 @@ def write_shards(
                 out = None
         if out is not None:
             close()
+        encoder.memo = {}
+        trim()
         cols = list(zip(*made, strict=True)) or [[]] * 5
         yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.string()), pa.array(cols[3], pa.int64()), pa.array(cols[4], pa.int64())], names=["part", "seq", "base", "records", "ids"])
 
