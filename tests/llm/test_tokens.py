@@ -7,7 +7,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from wagerlens.llm.token_count import Counter, count_tokens
-from wagerlens.llm.token_shards import PerfectHash, Shard, fingerprint, read_back, token_shards, write_shards
+from wagerlens.llm.token_shards import PerfectHash, Shard, fingerprint, lookup, read_back, token_shards, without_id, write_shards
 from wagerlens.llm._io import new_path
 
 WORDS = P.path("word_bpe_49k.json")
@@ -49,16 +49,15 @@ def test_shards_round_trip(spark):
     # small shards, and keyed access
     manifest = write_shards(df, new_path(spark, "t"), WORDS, 1, shard_ids=2000)
     assert len(manifest) > 1
-    assert sorted(read_back(spark, manifest).collect(), key=lambda r: r.start) == want
-    found = {}
-    for m in manifest:
-        shard = Shard(m["base"])
-        for i in (-50, rows[9][0], 10**9):
-            first, run = shard.find(np.array([i]))
-            if first[0] >= 0:
-                found[i] = (int(run[0]), shard.ids(int(first[0]), int(run[0])).tolist())
-    assert 10**9 not in found and found[-50] == (1, [1])
-    assert found[rows[9][0]][0] == 2
+    assert sorted(read_back(df, manifest).collect(), key=lambda r: r.start) == want
+    # a few keys over all shards, of which one has two records and one stands nowhere
+    asked = spark.createDataFrame([(-50,), (rows[9][0],), (10**9,), (None,), (-50,), (1111,)], "k long")
+    got = sorted(lookup(asked, manifest, "k").collect(), key=lambda r: r.start)
+    assert [tuple(r)[:4] for r in got] == [w for w in want if w[0] in (-50, rows[9][0], 1111)]
+    assert all(zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32 for r in got)
+    assert [tuple(r)[:4] for r in without_id(spark, manifest).collect()] == [w for w in want if w[0] is None]
+    # keys aren't stored: foreign ones are turned away by their fingerprints
+    assert all((Shard(m["base"]).find(np.arange(10**7, 10**7 + 5000))[1] == 0).all() for m in manifest)
     assert token_shards(spark.createDataFrame([], SCHEMA), WORDS).count() == 0
 
 

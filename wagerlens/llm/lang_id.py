@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wagerlens.llm._io import slices, trim
+from wagerlens.llm._io import held, slices, trim
 
 #: Rows that the network learns from, and bytes of their texts, at most; a row is taken whole or not.
 SAMPLE_ROWS, SAMPLE_BYTES = 3000, 8_000_000
@@ -276,7 +276,7 @@ def identify(df: DataFrame, net: ByteGru | None, text_col: str = "text") -> Data
     at = names.index(text_col) if kept else len(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = ByteGru(labels, params)
+        model = held(("lang_id", params["Wo"].tobytes()), lambda: ByteGru(labels, params))
         for batch in (s for b in batches for s in slices(b, at, BATCH_BYTES)):
             found, scores = model.predict(batch.column(at).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(found, pa.string()), pa.array(scores, pa.float64())], names=[*names, "lang_pred", "score"])

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wagerlens.llm import _library
-from wagerlens.llm._io import held, slices, trim
+from wagerlens.llm._io import held, slices
 from wagerlens.llm.merge_replay import WS, segments
 
 #: Characters of a text above which it is encoded in chunks.
@@ -145,8 +145,6 @@ def count_tokens(
         for batch in (s for b in batches for s in slices(b, 1, _library.BATCH_BYTES)):
             counts = tokens.count(batch.column(1).to_pylist(), huge)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(counts, pa.int64())], names=["id", "n_bytes", "n_tokens"])
-        tokens.memo = {}
-        trim()
 
     text = F.col(text_col).cast("string")
     read = df.select(F.col(id_col).alias("id"), text.alias("text"), F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes"))

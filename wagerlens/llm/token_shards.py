@@ -2,24 +2,25 @@
 
 A shard is two files. ``.bin`` holds the ids of its documents as little-endian
 unsigned integers, of 16 bits where the vocabulary allows, else of 32. ``.idx`` holds
-the record table (id, offset) and a minimal perfect hash: levels of bit arrays, in
+the offset of every record and a minimal perfect hash: levels of bit arrays, in
 which a key that shares its place with no other sets its bit and the rest go on to
 the next level. The rank of the bit is the key's slot, and the slot stores a 32-bit
 fingerprint, which turns foreign keys away, the first record and the number of
-records. A lookup costs a constant number of probes.
+records. A lookup costs a constant number of probes. Keys themselves aren't stored.
 
 Documents are range-partitioned and sorted by id, so the shards in order hold all
 documents in ascending order. A task streams its ids to files under names of its own
 and reports them; only reported files belong to the set, so a task that is run again
 after a loss, or twice, leaves no trace in the result. The manifest has one row per
-shard of up to ``SHARD_IDS`` ids.
+shard of up to ``SHARD_IDS`` ids, with the range of its keys: ``lookup`` deals keys to
+the shards that may hold them and finds every record through the index.
 
 The library sees white-space-free words once per memo (see ``_library``): its
 normaliser and pattern never join characters across white space, and texts that may
 hold a special token's string are given to it whole.
 
 Defined results: a null or empty text is the end id alone; rows with a null id come
-first and are not indexed; repeated ids stand side by side, in order of their text,
+first and are not indexed (``without_id`` reads them); repeated ids stand side by side, in order of their text,
 and their slot gives all; an empty table gives no shard; extra columns aren't read.
 """
 
@@ -38,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wagerlens.llm import _library
-from wagerlens.llm._io import held, new_path, slices, trim
+from wagerlens.llm._io import held, new_path, slices
 
 #: Ids of a shard before the next is begun.
 SHARD_IDS = 32_000_000
@@ -103,7 +104,7 @@ def fingerprint(keys: np.ndarray) -> np.ndarray:
 
 
 def index_bytes(ids: np.ndarray, null: np.ndarray, counts: np.ndarray, width: int) -> bytes:
-    """The .idx file: records in file order, and slots of the distinct non-null ids."""
+    """The .idx file: offsets in file order, null ids first, and slots of the distinct other ids."""
     offsets = np.concatenate(([0], np.cumsum(counts))).astype("<i8")
     at = np.flatnonzero(~null)
     keys, first, run = np.unique(ids[at], return_index=True, return_counts=True)
@@ -116,11 +117,9 @@ def index_bytes(ids: np.ndarray, null: np.ndarray, counts: np.ndarray, width: in
         "prints": fingerprint(keys)[by_slot],
         "first": at[first][by_slot].astype("<i8"),
         "run": run[by_slot].astype("<i8"),
-        "ids": ids.astype("<i8"),
-        "null": null.astype("u1"),
         "offsets": offsets,
     }
-    head = json.dumps({"width": width, "sizes": ph.sizes, "n": len(keys), "arrays": [[k, a.dtype.str, len(a)] for k, a in arrays.items()]}).encode()
+    head = json.dumps({"width": width, "sizes": ph.sizes, "n": len(keys), "nulls": int(null.sum()), "arrays": [[k, a.dtype.str, len(a)] for k, a in arrays.items()]}).encode()
     return b"".join([_MAGIC, struct.pack("<I", len(head)), head, *(a.tobytes() for a in arrays.values())])
 
 
@@ -139,6 +138,7 @@ class Shard:
             self.a[name] = np.frombuffer(raw, dtype=kind, count=size, offset=at)
             at += self.a[name].nbytes
         self.hash = PerfectHash(head["sizes"], self.a["bits"], head["n"])
+        self.nulls = head["nulls"]
         self.kind = np.dtype("<u2" if head["width"] == 2 else "<u4")
         self.file = fs.open_input_file(path + ".bin")
 
@@ -246,7 +246,8 @@ def write_shards(
             ids, null, counts = (np.concatenate(x) for x in zip(*records, strict=True))
             with fs.open_output_stream(f"{base}.idx") as f:
                 f.write(index_bytes(ids, null, counts, encoder.width))
-            made.append((part, len(made), f"{root}/{name}", len(ids), int(counts.sum())))
+            own = ids[~null]
+            made.append((part, len(made), f"{root}/{name}", len(ids), int(counts.sum()), int(null.sum()), *((int(own[0]), int(own[-1])) if len(own) else (None, None))))
 
         for batch in (s for b in batches for s in slices(b, 1, _library.BATCH_BYTES)):
             if out is None:
@@ -264,51 +265,104 @@ def write_shards(
                 out = None
         if out is not None:
             close()
-        encoder.memo = {}
-        trim()
-        cols = list(zip(*made, strict=True)) or [[]] * 5
-        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.string()), pa.array(cols[3], pa.int64()), pa.array(cols[4], pa.int64())], names=["part", "seq", "base", "records", "ids"])
+        cols = list(zip(*made, strict=True)) or [()] * len(kinds)
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds.values(), strict=True)], names=list(kinds))
 
-    found = ordered.mapInArrow(run, "part int, seq int, base string, records long, ids long").collect()
+    kinds = {"part": pa.int32(), "seq": pa.int32(), "base": pa.string(), **dict.fromkeys(("records", "ids", "nulls", "first_key", "last_key"), pa.int64())}
+    found = ordered.mapInArrow(run, "part int, seq int, base string, records long, ids long, nulls long, first_key long, last_key long").collect()  # one row a shard
     manifest, start = [], 0
     for r in sorted(found, key=lambda r: (r["part"], r["seq"])):
-        manifest.append({"base": r["base"], "records": r["records"], "ids": r["ids"], "start": start})
+        manifest.append({**{k: r[k] for k in ("base", "records", "ids", "nulls", "first_key", "last_key")}, "start": start})
         start += r["ids"]
     return manifest
 
 
-def read_back(spark: SparkSession, manifest: list[dict]) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 of every record, from the files, by key."""
-    schema = "doc_id long, start long, n_tokens long, ids_crc32 long"
-    if not manifest:
-        return spark.createDataFrame([], schema)
-    shards = spark.createDataFrame([(m["base"], m["start"]) for m in manifest], "base string, start long").repartition(len(manifest))
+#: Columns of a record that is read.
+_READ = {"doc_id": "long", "start": "long", "n_tokens": "long", "ids_crc32": "long", "ids": "array<long>"}
+
+
+def _rows(shard: Shard, start: int, keys: np.ndarray, records: np.ndarray, null: bool, payload: bool, most: int = 2000) -> Iterator[pa.RecordBatch]:
+    """The ``records`` (ascending) of ``keys``; records that stand side by side are read at once."""
+    cuts = np.flatnonzero(np.diff(records) != 1) + 1
+    for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(records)], strict=True):
+        for a in range(lo, hi, most):
+            b = min(hi, a + most)
+            raw = shard.ids(int(records[a]), b - a).astype("<u4")
+            offsets = shard.a["offsets"][records[a] : records[a] + b - a + 1]
+            cut = (offsets - offsets[0]).tolist()
+            view = memoryview(raw.tobytes())
+            crc = [zlib.crc32(view[4 * x : 4 * y]) for x, y in zip(cut, cut[1:], strict=False)]
+            columns = [pa.array(keys[a:b], pa.int64(), mask=np.full(b - a, null)), pa.array(offsets[:-1] + start), pa.array(np.diff(offsets)), pa.array(crc, pa.int64())]
+            if payload:
+                columns.append(pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(raw.astype(np.int64))))
+            yield pa.RecordBatch.from_arrays(columns, names=list(_READ)[: len(columns)])
+
+
+def _schema(payload: bool) -> str:
+    return ", ".join(f"{k} {v}" for k, v in list(_READ.items())[: 5 if payload else 4])
+
+
+def lookup(keys: DataFrame, manifest: list[dict], id_col: str = "doc_id", payload: bool = True) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 and, with ``payload``, ids of every record of the distinct ``keys``.
+
+    Keys go to the shards whose range holds them; there each is found through the index
+    and its records are read by their offsets. Keys that no shard holds give no row.
+    """
+    spark = keys.sparkSession
+    shards = [m for m in manifest if m["first_key"] is not None]
+    if not shards:
+        return spark.createDataFrame([], _schema(payload))
+    first, last = (np.array([m[k] for m in shards], dtype=np.int64) for k in ("first_key", "last_key"))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = np.asarray(batch.column(0))
+            lo, hi = np.searchsorted(last, ids, "left"), np.searchsorted(first, ids, "right")
+            n = np.maximum(hi - lo, 0)  # several only for an id whose records cross an edge
+            shard = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            yield pa.RecordBatch.from_arrays([pa.array(shard.astype(np.int32)), pa.array(np.repeat(ids, n))], names=["shard", "id"])
+
+    asked = keys.select(F.col(id_col).cast("long").alias("id")).filter("id is not null").distinct()
+    dealt = asked.mapInArrow(deal, "shard int, id long").repartition("shard").sortWithinPartitions("shard", "id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        opened, at = None, -1
+        for batch in batches:
+            which, ids = np.asarray(batch.column(0)), np.asarray(batch.column(1))
+            for k in np.unique(which):
+                if k != at:
+                    opened, at = Shard(shards[k]["base"]), k
+                own = ids[which == k]
+                record, n = opened.find(own)
+                order = np.argsort(record, kind="stable")
+                own, record, n = (x[order][n[order] > 0] for x in (own, record, n))
+                place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                yield from _rows(opened, shards[k]["start"], np.repeat(own, n), np.repeat(record, n) + place, False, payload)
+
+    return dealt.mapInArrow(run, _schema(payload))
+
+
+def without_id(spark: SparkSession, manifest: list[dict], payload: bool = True) -> DataFrame:
+    """The records of rows without an id, which no key leads to: the first ones of their shards."""
+    some = [(m["base"], m["start"]) for m in manifest if m["nulls"]]
+    if not some:
+        return spark.createDataFrame([], _schema(payload))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for base, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 shard = Shard(base)
-                keys, null, offsets = shard.a["ids"], shard.a["null"].astype(bool), shard.a["offsets"]
-                # every key goes through the index; its records stand side by side
-                first, run = shard.find(keys)
-                here = np.arange(len(keys))
-                if not (null | ((first >= 0) & (first <= here) & (here < first + run))).all():
-                    raise ValueError(f"{base}: the index misses a key")
-                for lo in range(0, len(keys), 2000):
-                    hi = min(len(keys), lo + 2000)
-                    raw = shard.ids(lo, hi - lo).astype("<u4")
-                    cut = offsets[lo : hi + 1] - offsets[lo]
-                    view = memoryview(raw.tobytes())
-                    crc = [zlib.crc32(view[4 * a : 4 * b]) for a, b in zip(cut.tolist(), cut[1:].tolist(), strict=False)]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(keys[lo:hi], pa.int64(), mask=null[lo:hi]), pa.array(offsets[lo:hi] + start), pa.array(np.diff(offsets[lo : hi + 1])), pa.array(crc, pa.int64())],
-                        names=["doc_id", "start", "n_tokens", "ids_crc32"],
-                    )
-
-    return shards.mapInArrow(run, schema)
+                yield from _rows(shard, start, np.zeros(shard.nulls, np.int64), np.arange(shard.nulls), True, payload)
+
+    return spark.createDataFrame(some, "base string, start long").repartition(len(some)).mapInArrow(run, _schema(payload))
+
+
+def read_back(keys: DataFrame, manifest: list[dict], id_col: str = "doc_id") -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 of every record: by key, and those without an id."""
+    return lookup(keys, manifest, id_col, payload=False).unionByName(without_id(keys.sparkSession, manifest, payload=False))
 
 
 def token_shards(df: DataFrame, tokenizer_path: str, end_id: int = 1) -> DataFrame:
     """Write the shards of ``df`` to the shared folder and read all records back."""
     root = new_path(df.sparkSession, "token-shards")
-    return read_back(df.sparkSession, write_shards(df, root, tokenizer_path, end_id))
+    return read_back(df, write_shards(df, root, tokenizer_path, end_id))
