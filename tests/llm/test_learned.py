@@ -130,3 +130,49 @@ def test_quality_held_out(spark):
     assert out[1000].score == out[1001].score
     assert quality_pu.learn(docs, labels.limit(0), F.lit(True)) is None
     assert quality_pu.score(docs.select("doc_id", "text").limit(0), net).count() == 0
+
+
+def test_risk_and_its_gradient():
+    r = np.random.default_rng(8)
+    xp, xu = r.standard_normal((40, 5)), r.standard_normal((60, 5)) + 0.4
+    net = quality_pu.PuNet.fresh(xu, 3, r)
+
+    def plain(prior):
+        loss = {}
+        for name, x in (("p", xp), ("u", xu)):
+            loss[name, 1], loss[name, -1] = ([], [])
+            for row in x:
+                t = net.logits(row[None])[0]
+                for sign in (1, -1):
+                    loss[name, sign].append(np.log(1 + np.exp(-sign * t)))
+        mean = {k: sum(v) / len(v) for k, v in loss.items()}
+        return prior * mean["p", 1], mean["u", -1] - prior * mean["p", -1]
+
+    for prior, below in ((0.3, False), (3.0, True)):  # a prior over 1 makes the estimate negative
+        right, wrong, g = net.risk(xp, xu, prior)
+        assert np.allclose((right, wrong), plain(prior)) and (wrong < 0) == below
+        for k in ("W", "b", "w", "c"):
+            at = tuple(r.integers(0, n) for n in net.p[k].shape)
+            keep, eps, sides = net.p[k][at], 1e-5, []
+            for step in (eps, -eps):
+                net.p[k][at] = keep + step
+                a, b = plain(prior)
+                sides.append(-b if below else a + b)
+            net.p[k][at] = keep
+            assert abs((sides[0] - sides[1]) / (2 * eps) - g[k][at]) < 1e-6
+
+
+def test_prior_from_positives_and_unlabelled():
+    r = np.random.default_rng(4)
+    for share in (0.2, 0.5, 0.85):
+        positive = r.standard_normal((3000, 4)) + 2.5
+        rest = r.standard_normal((4000, 4))
+        unlabelled = np.where((r.random(4000) < share)[:, None], r.standard_normal((4000, 4)) + 2.5, rest)
+        assert abs(quality_pu.estimated_prior(positive, unlabelled) - share) < 0.07
+
+
+def test_clashing_columns_are_replaced(spark):
+    rows = spark.createDataFrame([(1, "a b", "kept", "x", 7)], "doc_id long, text string, trusted string, Score string, predicted int")
+    net = quality_pu.PuNet.fresh(np.ones((2, quality_pu.N_FEATURES)), 2, np.random.default_rng(1))
+    for out in (quality_pu.score(rows, net), quality_pu.score(rows, None)):
+        assert out.columns == ["doc_id", "text", "trusted", "score", "predicted"] and out.first().trusted == "kept"
