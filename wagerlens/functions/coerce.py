@@ -50,11 +50,11 @@ def to_identifier(c: Column) -> Column:
 
 
 def relaxed_json(c: Column) -> Column:
-    """JSON text from the quoted, doubled-quote or single-quoted forms of the extracts."""
-    text = F.regexp_replace(F.trim(c.cast("string")), r'^"(.*)"$', "$1")
-    text = F.replace(text, F.lit('""'), F.lit('"'))
-    single = F.replace(F.replace(text, F.lit("'"), F.lit('"')), F.lit("None"), F.lit("null"))
-    return F.when(F.try_parse_json(text).isNotNull(), text).when(F.try_parse_json(single).isNotNull(), single)
+    """JSON text from the plain, quoted, doubled-quote or single-quoted forms of the extracts."""
+    plain = F.regexp_replace(F.trim(c.cast("string")), r'^"(.*)"$', "$1")
+    doubled = F.replace(plain, F.lit('""'), F.lit('"'))
+    single = F.replace(F.replace(doubled, F.lit("'"), F.lit('"')), F.lit("None"), F.lit("null"))
+    return F.coalesce(*(F.when(F.try_parse_json(text).isNotNull(), text) for text in (plain, doubled, single)))
 
 
 def json_list(c: Column, fields: dict[str, str]) -> Column:

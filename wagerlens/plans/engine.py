@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections import Counter
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wagerlens.plans.features import DAY_US, FEATURES, Window, compose, fuse, needed
+from wagerlens.oracles import independent
 from wagerlens.sources.domain import ORACLE_CTES, domain_tables, oracle_order
 
 #: Days since the epoch: 2024-01-08 to 2024-01-22, target window up to 2024-03-01.
@@ -18,6 +20,9 @@ DEFAULT = Window(19730, 19744)
 #: Balance below which a player counts as run dry.
 LEAST_BALANCE = 2
 
+#: The home country, as the club table names it.
+HOME = 3
+
 #: Columns whose absence means "unknown" and stays null; all other numbers become 0.
 UNKNOWN = ("f25", "f26", "f27", "f28", "f44", "f45", "f48", "f51")
 
@@ -48,6 +53,7 @@ def numbers(window: Window) -> dict[str, object]:
         **window.names,
         "least": LEAST_BALANCE,
         "ref_day": day.year * 10_000 + day.month * 100 + day.day,
+        "home": HOME,
         "y0": window.last_day * DAY_US,
         "y1": (window.last_day + 40) * DAY_US,
     }
@@ -58,9 +64,11 @@ SHARED = ("txw", "betw", "sesw", "bet_player", "ses_player", "first_bettor", "li
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; a temporary folder only where the session names none."""
+    """``spark.checkpoint.dir``; a temporary folder only on one machine, where the session names none."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors reach")
         named = "file://" + tempfile.mkdtemp(prefix="wagerlens-")
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")
@@ -118,7 +126,13 @@ class FeatureContext:
 
 
 def oracle(name: str, window: Window = DEFAULT) -> str:
-    """The query for ``name`` in DuckDB's SQL over the registered tables."""
+    """The query for ``name`` in DuckDB's SQL over the registered tables.
+
+    Where there is a text of its own for it, that; else the plan over the other adapters.
+    """
+    own = independent(name, window)
+    if own:
+        return "WITH " + ",\n".join([*(f"{b} AS ({ORACLE_CTES[b]})" for b in oracle_order(own[0])), own[1]])
     plans, body, base = compose(name, numbers(window), "duckdb")
     adapters = [f"{b} AS ({ORACLE_CTES[b]})" for b in oracle_order(tuple(base))]
     return "WITH " + ",\n".join([*adapters, *([plans] if plans else [])]) + "\n" + body

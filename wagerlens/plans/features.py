@@ -11,9 +11,34 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from datetime import date
 
 DAY_US = 86_400_000_000
 
+#: Statuses of profiles, names of football and spans of limits.
+STATUSES = ("ACTIVE", "TRIAL", "SUSPENDED", "SUSPENDED_DEATH", "BLOCKED", "SELF_EXCLUDED_TEMP", "SELF_EXCLUDED_INDEF", "OTHER")
+EXCLUDED = ("SELF_EXCLUDED_TEMP", "SELF_EXCLUDED_INDEF")
+UNCERTAIN = ("SUSPENDED", "SUSPENDED_DEATH", "BLOCKED", "OTHER")
+FOOTBALL = ("FOOTBALL", "VOETBAL", "FUSSBALL", "CALCIO", "FUTBOL", "SOCCER")
+#: Months of the exclusion bitmaps: the first one and their number.
+FIRST_MONTH, MONTHS = (2023, 8), 24
+
+
+def day_number(year: int, month: int, day: int = 1) -> int:
+    """Days since the epoch."""
+    return (date(year, month, day) - date(1970, 1, 1)).days
+
+
+def month_edges() -> list[tuple[str, int, int]]:
+    """(name, first microsecond, first microsecond after) of every month of the bitmaps."""
+    first = FIRST_MONTH[0] * 12 + FIRST_MONTH[1] - 1
+    starts = [(k // 12, k % 12 + 1) for k in range(first, first + MONTHS + 1)]
+    return [(f"{y}_{m:02d}", day_number(y, m) * DAY_US, day_number(*after) * DAY_US) for (y, m), after in zip(starts, starts[1:], strict=False)]
+
+
+def _in(values: tuple[str, ...]) -> str:
+    return "(" + ", ".join(f"'{v}'" for v in values) + ")"
+
 
 @dataclass(frozen=True)
 class Window:
@@ -69,8 +94,12 @@ VIEWS: dict[str, str] = {
     # bet and session groups that a movement belongs to
     "linked": "SELECT player, tx_id, 'bet' AS kind, pk FROM bet_link UNION SELECT player, tx_id, 'ses' AS kind, pk FROM ses_link",
     "link_count": "SELECT player, tx_id, count(*) AS groups, min(kind) AS kind, min(pk) AS pk FROM linked GROUP BY player, tx_id",
-    "limit_line": """SELECT player, us, value, lag(value) OVER (PARTITION BY player, kind, span ORDER BY us, value) AS before
-        FROM (SELECT l.*, max(CASE WHEN kind = 'PARTICIPATION' THEN 1 ELSE 0 END) OVER (PARTITION BY player) AS takes_part FROM lim l WHERE us >= {x0} AND us < {x1}) l
+    # limits by second: those on participation where a player has any with a span, else all others but game types
+    "limit_events": """SELECT player, kind, at, value, CASE WHEN kind <> 'PARTICIPATION' THEN span WHEN span IN ('DAY', 'DAILY') THEN 'DAY' WHEN span IN ('WEEK', 'WEEKLY') THEN 'WEEK' WHEN span IN ('MONTH', 'MONTHLY') THEN 'MONTH' ELSE span END AS span
+        FROM (SELECT player, upper(kind) AS kind, CAST(floor(us / 1000000) AS BIGINT) * 1000000 AS at, value, upper(span) AS span FROM lim WHERE value IS NOT NULL) l
+        WHERE at >= {x0} AND at < {x1} AND kind <> 'GAME_TYPE' AND (kind <> 'PARTICIPATION' OR span IS NOT NULL)""",
+    "limit_line": """SELECT player, at, value, lag(value) OVER (PARTITION BY player, kind, span ORDER BY at, value) AS before
+        FROM (SELECT *, max(CASE WHEN kind = 'PARTICIPATION' THEN 1 ELSE 0 END) OVER (PARTITION BY player) AS takes_part FROM limit_events) l
         WHERE takes_part = 0 OR kind = 'PARTICIPATION'""",
     # net stakes by hour bucket: refunds scale the stakes of their group down
     "stake_groups": """SELECT t.player, coalesce(l.kind, 'own') AS kind, coalesce(l.pk, t.tx_id) AS pk,
@@ -88,24 +117,36 @@ VIEWS: dict[str, str] = {
         sum(CASE WHEN staked > 0 THEN morning * greatest(0, 1 - refunded / staked) ELSE 0 END) AS morning,
         sum(CASE WHEN staked > 0 THEN evening * greatest(0, 1 - refunded / staked) ELSE 0 END) AS evening FROM stake_groups GROUP BY player""",
     "interaction_hours": """SELECT l.player, b.hour FROM betw b JOIN bet_link l ON b.pk = l.pk UNION ALL SELECT l.player, s.hour FROM sesw s JOIN ses_link l ON s.pk = l.pk""",
-    # wagers by segment: bets, else the type of the session's game
+    # wagers by segment: every successful movement that takes money, stakes whatever their sign; bets, else the type of the session's game
     "segments": """SELECT t.player, CASE WHEN b.tx_id IS NOT NULL THEN 'BET' ELSE coalesce(CASE WHEN s.type IN ('SLOTS', 'CASINO', 'BINGO', 'VIRTUAL_SPORTS') THEN s.type END, 'OTHER') END AS segment,
         sum(abs(t.amount)) AS wager FROM txw t LEFT JOIN (SELECT DISTINCT tx_id FROM bet_link) b ON t.tx_id = b.tx_id
         LEFT JOIN (SELECT l.tx_id, max(g.type) AS type FROM ses_link l JOIN ses x ON l.pk = x.pk JOIN game g ON x.game_id = g.game_id GROUP BY l.tx_id) s ON t.tx_id = s.tx_id
-        WHERE t.status = 'SUCCESSFUL' AND t.type = 'STAKE' GROUP BY 1, 2""",
+        WHERE t.status = 'SUCCESSFUL' AND (t.amount < 0 OR t.type = 'STAKE' AND t.amount > 0) GROUP BY 1, 2""",
     "shares": "SELECT player, segment, wager / sum(wager) OVER (PARTITION BY player) AS share FROM segments",
+    # countries of the clubs that a leg's event names; the club table is a dictionary, read as one list
+    "club_list": "SELECT {club_list} AS clubs FROM club WHERE club IS NOT NULL",
+    "leg_clubs": "SELECT g.pk, g.sport, upper(g.event) AS event, (SELECT clubs FROM club_list) AS clubs FROM betw b JOIN leg g ON b.pk = g.pk",
+    "leg_countries": "SELECT pk, sport, {named_countries} AS countries FROM leg_clubs",
     "bet_legs": "SELECT b.pk, count(g.part_id) AS legs FROM betw b LEFT JOIN leg g ON b.pk = g.pk GROUP BY b.pk",
     "first_bettor": "SELECT pk, min(player) AS player FROM bet_link GROUP BY pk",
-    # settled or refunded bets without a prize, and the next one placed strictly later
-    "bet_flags": """SELECT b.operator, b.bet_id, t.player, min(b.us) AS placed, max(CASE WHEN t.type = 'STAKE' THEN 1 ELSE 0 END) AS staked,
-        max(CASE WHEN t.type IN ('WINNING', 'CASH_OUT') THEN 1 ELSE 0 END) AS paid, min(CASE WHEN t.type = 'VOID_BET' THEN t.us END) AS void_us,
-        max(CASE WHEN b.status = 'BET_SETTLED' THEN 1 ELSE 0 END) AS settled, min(CASE WHEN b.status = 'BET_SETTLED' THEN b.extracted_us END) AS settled_us
-        FROM bet b JOIN bet_link l ON b.pk = l.pk JOIN tx t ON l.tx_id = t.tx_id AND l.player = t.player AND t.operator = b.operator
-        WHERE t.status = 'SUCCESSFUL' AND b.us < {x1} AND t.us < {x1} GROUP BY b.operator, b.bet_id, t.player""",
-    "losses": """SELECT operator, player, closed FROM (SELECT *, coalesce(void_us, CASE WHEN settled = 1 AND settled_us < {x1} THEN settled_us END) AS closed FROM bet_flags WHERE staked = 1 AND paid = 0) f
-        WHERE closed >= placed AND closed >= {x0}""",
+    # a bet by operator and id over all its versions: first placement, first report as settled, last known status
+    "bet_versions": """SELECT operator, bet_id, min(CASE WHEN us < {x1} THEN us END) AS placed, min(CASE WHEN upper(trim(status)) = 'BET_SETTLED' AND extracted_us < {x1} THEN extracted_us END) AS settled_us,
+        CASE WHEN min(CASE WHEN k = 1 AND extracted_us < {x1} THEN upper(trim(status)) END) = max(CASE WHEN k = 1 AND extracted_us < {x1} THEN upper(trim(status)) END) THEN min(CASE WHEN k = 1 AND extracted_us < {x1} THEN upper(trim(status)) END) END AS last_status
+        FROM (SELECT *, rank() OVER (PARTITION BY operator, bet_id ORDER BY CASE WHEN extracted_us < {x1} THEN extracted_us END DESC NULLS LAST) AS k FROM bet WHERE bet_id IS NOT NULL) b GROUP BY operator, bet_id""",
+    "bet_refs": "SELECT DISTINCT b.operator, b.bet_id, l.player, l.tx_id FROM bet_link l JOIN bet b ON l.pk = b.pk WHERE b.bet_id IS NOT NULL",
+    # movements with the bets that they may belong to: several leave all of them unknown
+    "bet_moves": """SELECT r.operator, r.bet_id, r.player, t.type, t.us, t.amount, count(*) OVER (PARTITION BY t.player, t.tx_id, t.operator) AS choices
+        FROM bet_refs r JOIN tx t ON r.player = t.player AND r.tx_id = t.tx_id AND (t.operator IS NULL OR r.operator IS NULL OR r.operator = t.operator)
+        WHERE upper(trim(t.status)) = 'SUCCESSFUL' AND t.type IN ('STAKE', 'WINNING', 'CASH_OUT', 'VOID_BET') AND (t.us IS NULL OR t.us < {x1})""",
+    "bet_known": """SELECT m.operator, m.bet_id, m.player, m.type, m.us, m.amount, v.placed, v.settled_us, v.last_status,
+        CASE WHEN m.choices > 1 OR m.us IS NULL OR m.us < v.placed THEN 'unknown' WHEN m.type = 'CASH_OUT' THEN 'cashed' WHEN m.amount IS NULL OR m.type = 'WINNING' AND m.amount < 0 THEN 'unknown' WHEN m.amount <> 0 THEN m.type END AS part
+        FROM bet_moves m JOIN bet_versions v ON m.operator IS NOT DISTINCT FROM v.operator AND m.bet_id = v.bet_id""",
+    "bet_flags": """SELECT operator, bet_id, player, min(placed) AS placed, max(CASE WHEN part = 'STAKE' THEN 1 ELSE 0 END) AS staked, max(CASE WHEN part IN ('unknown', 'cashed', 'WINNING') THEN 1 ELSE 0 END) AS no_loss,
+        min(CASE WHEN part = 'VOID_BET' THEN us END) AS void_us, min(CASE WHEN last_status = 'BET_SETTLED' THEN settled_us END) AS settled_us FROM bet_known GROUP BY operator, bet_id, player""",
+    "losses": """SELECT operator, player, closed FROM (SELECT *, coalesce(void_us, settled_us) AS closed FROM bet_flags WHERE staked = 1 AND no_loss = 0) f WHERE closed >= placed AND closed >= {x0}""",
     "bet_line": """SELECT operator, player, closed AS us, 1 AS kind FROM losses UNION ALL SELECT operator, player, placed AS us, 0 AS kind FROM bet_flags WHERE staked = 1 AND placed >= {x0}""",
-    "next_bets": """SELECT player, kind, us, min(CASE WHEN kind = 0 THEN us END) OVER (PARTITION BY operator, player ORDER BY us RANGE BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next_us FROM bet_line""",
+    # read backwards in time the frame grows by a row at a time
+    "next_bets": """SELECT player, kind, us, min(CASE WHEN kind = 0 THEN us END) OVER (PARTITION BY operator, player ORDER BY -us RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS next_us FROM bet_line""",
     "big_wins": """SELECT player, us, tx_id FROM (SELECT player, us, tx_id, row_number() OVER (PARTITION BY player ORDER BY abs(amount) DESC, us, tx_id) AS k FROM txw WHERE type = 'WINNING' AND status = 'SUCCESSFUL') w WHERE k = 1""",
     "around_win": """SELECT s.player, s.stake, CASE WHEN s.us <= w.us THEN 0 ELSE 1 END AS later,
         row_number() OVER (PARTITION BY s.player, CASE WHEN s.us <= w.us THEN 0 ELSE 1 END ORDER BY CASE WHEN s.us <= w.us THEN -s.us ELSE s.us END, CASE WHEN s.us <= w.us THEN -s.tx_id ELSE s.tx_id END) AS k
@@ -136,6 +177,40 @@ def _segment(name: str, segment: str) -> str:
     return f"SELECT f.player, CAST(coalesce(max(CASE WHEN s.segment = '{segment}' AND s.share >= 0.7 THEN 1 ELSE 0 END), 0) AS BIGINT) AS {name} FROM f1 f LEFT JOIN shares s ON f.player = s.player GROUP BY f.player"
 
 
+def _fixed_window(name: str, prefix: str, bounds: tuple[int, int] | None) -> str:
+    """Deposits, active days and exclusions of a window; with the feature window all players, without data unknown."""
+    lo, hi = bounds or ("{x0}", "{x1}")
+    dep, wd = f"type = 'DEPOSIT' AND amount IS NOT NULL", f"type = 'WITHDRAWAL' AND amount IS NOT NULL"
+    moves = f"""SELECT player, count_if({dep}) AS deposits, count(DISTINCT dayno) AS days, var_samp(CASE WHEN {dep} THEN abs(amount) END) AS spread,
+        sum(CASE WHEN {wd} THEN abs(amount) WHEN {dep} THEN -abs(amount) ELSE 0 END) AS net FROM tx WHERE us >= {lo} AND us < {hi} AND lower(status) = 'successful' GROUP BY player"""
+    seen = f"SELECT player, count_if(status = 'SELF_EXCLUDED_TEMP') AS exclusions FROM prof WHERE modified_us >= {lo} AND modified_us < {hi} GROUP BY player"
+    known = "w.player IS NOT NULL"
+    columns = {
+        "deposits": "CAST(coalesce(w.deposits, 0) AS BIGINT)",
+        "active_days": "CAST(coalesce(w.days, 0) AS BIGINT)",
+        "active_days_per_deposit": _r("CASE WHEN w.deposits > 0 THEN w.days / CAST(w.deposits AS DOUBLE) ELSE 0 END"),
+        "temp_exclusions": "CAST(coalesce(w.exclusions, 0) AS BIGINT)",
+        "deposit_variance": _r("coalesce(w.spread, 0)"),
+        "withdrawn_less_deposited": _r("coalesce(w.net, 0)"),
+    }
+    picks = ", ".join(f"CASE WHEN {known} THEN {v} END AS {prefix}_{k}" for k, v in columns.items())
+    everyone = "SELECT player FROM tx UNION SELECT player FROM prof"
+    inside = f"(SELECT coalesce(m.player, q.player) AS player, m.deposits, m.days, m.spread, m.net, q.exclusions FROM ({moves}) m FULL OUTER JOIN ({seen}) q ON m.player = q.player)"
+    return f"SELECT e.player, {picks} FROM ({everyone}) e {'JOIN' if bounds else 'LEFT JOIN'} {inside} w ON e.player = w.player"
+
+
+def _bitmaps() -> str:
+    """Months with an exclusion, where a run of them starts and ends, and months with an uncertain status; one row per player with a profile in them."""
+    edges = month_edges()
+    flags = [f"max(CASE WHEN modified_us >= {lo} AND modified_us < {hi} AND status IN {_in(which)} THEN 1 ELSE 0 END) AS {letter}{i}" for letter, which in (("o", EXCLUDED), ("u", UNCERTAIN)) for i, (_, lo, hi) in enumerate(edges)]
+    picks = []
+    for i, (name, _, _) in enumerate(edges):
+        starts = f"o{i}" if i == 0 else f"o{i} * (1 - o{i - 1})"
+        ends = f"o{i}" if i == len(edges) - 1 else f"o{i} * (1 - o{i + 1})"
+        picks += [f"CAST({x} AS BIGINT) AS y_2{letter}_{name}_{what}" for letter, what, x in (("a", "observed", f"o{i}"), ("b", "start", starts), ("c", "end", ends), ("d", "uncertain", f"u{i}"))]
+    return f"SELECT player, {', '.join(picks)} FROM (SELECT player, {', '.join(flags)} FROM prof WHERE modified_us >= {edges[0][1]} AND modified_us < {edges[-1][2]} GROUP BY player) m"
+
+
 FEATURES: dict[str, str] = {
     "f0": f"SELECT player, {_r('sum(amount)')} AS f0_net_winloss FROM txw WHERE {_OK} AND type IN {_NET} GROUP BY player",
     "f1": "SELECT player, count(DISTINCT dayno) AS f1_active_days FROM txw WHERE type = 'STAKE' GROUP BY player",
@@ -162,14 +237,13 @@ FEATURES: dict[str, str] = {
     "f15": f"SELECT a.player, {_r('CASE WHEN b.f14_active_period_span > 0 THEN CAST(a.f1_active_days AS DOUBLE) / b.f14_active_period_span END')} AS f15_active_day_fraction FROM f1 a JOIN f14 b ON a.player = b.player",
     "f16": f"""SELECT player, CAST(greatest(1, max(CASE WHEN us >= {{x0}} THEN dayno END) - min(dayno)) AS BIGINT) AS f16_account_age FROM tx
         WHERE {_OK} AND upper(trim(type)) IN ('STAKE', 'DEPOSIT', 'WITHDRAWAL') AND us < {{x1_incl}} GROUP BY player HAVING max(CASE WHEN us >= {{x0}} THEN dayno END) IS NOT NULL""",
-    "f17": """SELECT p.player, nullif(count(DISTINCT c.country), 0) AS f17_number_of_bet_countries FROM betw b JOIN bet_player p ON b.pk = p.pk JOIN leg g ON b.pk = g.pk
-        LEFT JOIN (SELECT e.event, c.country FROM (SELECT DISTINCT event FROM leg) e JOIN club c ON upper(e.event) LIKE '%' || upper(c.club) || '%') c ON g.event = c.event GROUP BY p.player""",
+    "f17": """SELECT player, nullif(count(DISTINCT country), 0) AS f17_number_of_bet_countries FROM (SELECT p.player, {each_country} AS country FROM leg_countries c JOIN bet_player p ON c.pk = p.pk) c GROUP BY player""",
     "f18": "SELECT p.player, nullif(count(DISTINCT nullif(trim(g.sport), '')), 0) AS f18_number_of_bet_sports FROM betw b JOIN bet_player p ON b.pk = p.pk JOIN leg g ON b.pk = g.pk GROUP BY p.player",
     "f19": "SELECT p.player, nullif(max(l.legs), 0) AS f19_max_bet_parts FROM bet_legs l JOIN bet_player p ON l.pk = p.pk GROUP BY p.player",
-    "f20": f"""SELECT l.player, {_r('sum(d.home) / CAST(count(*) AS DOUBLE)')} AS f20_domestic_bets_pct FROM (
-        SELECT b.pk, max(CASE WHEN upper(g.event) LIKE '%GERMANY%' OR upper(g.event) LIKE '%FRANCE%' THEN 1 ELSE 0 END) AS home FROM betw b JOIN leg g ON b.pk = g.pk WHERE lower(g.sport) = 'football' GROUP BY b.pk) d JOIN bet_link l ON d.pk = l.pk GROUP BY l.player""",
-    "f22": "SELECT player, count(DISTINCT CASE WHEN value > before THEN us END) AS f22_limit_increases FROM limit_line GROUP BY player",
-    "f23": "SELECT player, count(DISTINCT CASE WHEN value < before THEN us END) AS f23_limit_decreases FROM limit_line GROUP BY player",
+    "f20": f"""SELECT l.player, {_r('sum(d.home) / CAST(count(*) AS DOUBLE)')} AS f20_domestic_bets_pct FROM (SELECT pk, max(CASE WHEN {{at_home}} THEN 1 ELSE 0 END) AS home
+        FROM leg_countries WHERE upper(sport) IN {_in(FOOTBALL)} GROUP BY pk) d JOIN bet_link l ON d.pk = l.pk GROUP BY l.player""",
+    "f22": "SELECT player, count(DISTINCT CASE WHEN value > before THEN at END) AS f22_limit_increases FROM limit_line GROUP BY player",
+    "f23": "SELECT player, count(DISTINCT CASE WHEN value < before THEN at END) AS f23_limit_decreases FROM limit_line GROUP BY player",
     "f24": "SELECT player, count(DISTINCT instrument) AS f24_payment_method_variety FROM txw WHERE type IN ('DEPOSIT', 'WITHDRAWAL') GROUP BY player",
     "f25": """SELECT player, CASE WHEN max(CASE WHEN status IS NULL THEN 1 ELSE 0 END) = 1 THEN NULL
         ELSE count_if(status IN ('SELF_EXCLUDED_TEMP', 'SELF_EXCLUDED_INDEF') AND (before IS NULL OR before NOT IN ('SELF_EXCLUDED_TEMP', 'SELF_EXCLUDED_INDEF'))) END AS f25_voluntary_suspensions FROM status_steps GROUP BY player""",
@@ -209,7 +283,8 @@ FEATURES: dict[str, str] = {
     "f49": f"""SELECT p.player, {_r('avg(CASE WHEN g.live = 1 THEN 1e0 ELSE 0e0 END)')} AS f49_percentage_live_bets FROM betw b JOIN bet_player p ON b.pk = p.pk
         LEFT JOIN (SELECT pk, max(CASE WHEN lower(trim(live)) IN ('true', '1', 'yes', 'ja') THEN 1 ELSE 0 END) AS live FROM leg GROUP BY pk) g ON b.pk = g.pk GROUP BY p.player""",
     "f50": f"SELECT p.player, {_r('avg(CASE WHEN l.legs = 1 THEN 1e0 ELSE 0e0 END)')} AS f50_single_bet_percentage FROM bet_legs l JOIN first_bettor p ON l.pk = p.pk GROUP BY p.player",
-    "f51": f"SELECT player, {_r('median((next_us - us) / 1000000.0)')} AS f51_median_seconds_loss_to_next_bet FROM next_bets WHERE kind = 1 GROUP BY player",
+    "f51": f"""SELECT p.player, {_r('median((n.next_us - n.us) / 1000000.0)')} AS f51_median_seconds_loss_to_next_bet FROM (SELECT DISTINCT player FROM bet_link WHERE player IS NOT NULL) p
+        LEFT JOIN (SELECT * FROM next_bets WHERE kind = 1 AND next_us IS NOT NULL) n ON p.player = n.player GROUP BY p.player""",
     "f52": """SELECT player, CASE WHEN count_if(later = 0) >= 5 AND count_if(later = 1) >= 5 AND avg(CASE WHEN later = 1 THEN stake END) >= 2 * avg(CASE WHEN later = 0 THEN stake END) THEN 1e0 ELSE 0e0 END AS f52_big_win_wager_increase_count
         FROM around_win WHERE k <= 10 GROUP BY player""",
     "f53": f"SELECT player, {_r('abs(sum(CASE WHEN half = 2 THEN stake ELSE -stake END)) / count(*)')} AS f53_abs_gradient_wagered_around_median_date FROM stake_line GROUP BY player",
@@ -238,12 +313,19 @@ FEATURES: dict[str, str] = {
     "var6": "SELECT player, count_if(n >= 5) AS var6a_days_5, count_if(n >= 25) AS var6b_days_25, count_if(n >= 100) AS var6c_days_100 FROM day_sums GROUP BY player",
     "var7": "SELECT player, count(*) AS var7a_limits, count_if(kind = 'DEPOSIT') AS var7b_deposit, count_if(kind = 'LOGIN') AS var7c_login, count_if(kind = 'BALANCE') AS var7d_balance FROM lim WHERE us >= {x0} AND us < {x1} GROUP BY player",
     "var8a": "SELECT player, dob AS var8a_birth_day FROM (SELECT player, dob, row_number() OVER (PARTITION BY player ORDER BY coalesce(modified_us, extracted_us) DESC, pk) AS k FROM prof) p WHERE k = 1",
-    "var10": """SELECT player, CAST(max(CASE WHEN status = 'ACTIVE' THEN 1 ELSE 0 END) AS BIGINT) AS var10a_active, CAST(max(CASE WHEN status = 'SUSPENDED' THEN 1 ELSE 0 END) AS BIGINT) AS var10c_suspended,
-        CAST(max(CASE WHEN status = 'SELF_EXCLUDED_TEMP' THEN 1 ELSE 0 END) AS BIGINT) AS var10f_excluded_temp FROM prof WHERE modified_us IS NULL OR (modified_us >= {x0} AND modified_us < {x1}) GROUP BY player""",
+    "var9a": "SELECT player, count(DISTINCT account) AS var9a_bank_accounts FROM account GROUP BY player",
+    "var10": "SELECT player, "
+    + ", ".join(f"CAST(max(CASE WHEN upper(trim(status)) = '{x}' THEN 1 ELSE 0 END) AS BIGINT) AS var10{k}_{x.lower()}" for k, x in zip("abcdefgh", STATUSES, strict=True))
+    + " FROM prof WHERE status IS NOT NULL AND (modified_us IS NULL OR (modified_us >= {x0} AND modified_us < {x1})) GROUP BY player",
     "var10i": f"SELECT player, {_r('avg(eod_balance)')} AS var10i_mean_balance FROM prof WHERE extracted_us >= {{x0}} AND extracted_us < {{x1}} GROUP BY player",
     "var10kl": f"SELECT player, count_if(upper(status) = 'UNSUCCESSFUL') AS var10k_unsuccessful, {_r('''count_if(upper(status) = 'SUCCESSFUL') / CAST(count(*) AS DOUBLE)''')} AS var10l_success_ratio FROM txw GROUP BY player",
-    "var14": """SELECT p.player, count(DISTINCT s.session_id) AS var14a_sessions, CAST(sum(s.rounds) AS BIGINT) AS var14b_rounds FROM sesw s JOIN ses_player p ON s.pk = p.pk GROUP BY p.player""",
+    "var11": "SELECT player, count(complaint_id) AS var11_complaints FROM complaint WHERE us >= {x0} AND us < {x1} GROUP BY player",
+    "var12": "SELECT player, count(*) AS var12_interventions FROM contact WHERE us >= {x0} AND us < {x1} GROUP BY player",
+    "var13": """SELECT p.player, count(DISTINCT coalesce(nullif(trim(g.type), ''), CAST(s.game_id AS STRING))) AS var13_game_types FROM sesw s JOIN ses_player p ON s.pk = p.pk LEFT JOIN game g ON s.game_id = g.game_id GROUP BY p.player""",
+    "var14": f"""SELECT p.player, count(*) AS var14a_sessions, CAST(coalesce(sum(s.rounds), 0) AS BIGINT) AS var14b_rounds, {_r('avg(CASE WHEN s.end_us >= s.us THEN (s.end_us - s.us) / 1000000.0 END)')} AS var14c_mean_session_seconds,
+        {_r('coalesce(sum(CASE WHEN s.end_us >= s.us THEN (s.end_us - s.us) / 1000000.0 END), 0)')} AS var14d_session_seconds FROM sesw s JOIN ses_player p ON s.pk = p.pk GROUP BY p.player""",
     "var15": "SELECT p.player, count(*) AS var15a_bets, count_if(l.legs > 1) AS var15b_combined_bets FROM bet_legs l JOIN first_bettor p ON l.pk = p.pk GROUP BY p.player",
+    "var16": "SELECT c.player, CAST(sum(coalesce(r.n, 0)) AS BIGINT) AS var16_responses FROM complaint c LEFT JOIN (SELECT row_id, count(*) AS n FROM response GROUP BY row_id) r ON c.row_id = r.row_id WHERE c.us >= {x0} AND c.us < {x1} GROUP BY c.player",
     "var17": "SELECT player, count_if(status = 'SELF_EXCLUDED_TEMP') AS var17_temp_exclusions FROM prof WHERE extracted_us >= {x0} AND extracted_us < {x1} GROUP BY player",
     "var18": "SELECT player, count(DISTINCT floor(extracted_us / 86400000000)) AS var18_extraction_days FROM prof WHERE extracted_us >= {x0} AND extracted_us < {x1} GROUP BY player",
     "var19": "SELECT player, count_if(dow >= 5) AS var19a_weekend, count_if(hour >= 22 OR hour < 6) AS var19b_night FROM txw GROUP BY player",
@@ -260,17 +342,24 @@ FEATURES: dict[str, str] = {
         for n in (30, 60, 300, 600)
     )
     + " FROM deposit_days d JOIN last_days m ON d.player = m.player GROUP BY d.player",
-    "flexible_x": f"""SELECT t.player, CAST(sum(CASE WHEN type = 'DEPOSIT' AND {_OK} THEN 1 ELSE 0 END) AS BIGINT) AS x_deposits, count(DISTINCT dayno) AS x_active_days,
-        {_r(f"CASE WHEN count_if(type = 'DEPOSIT' AND {_OK}) < 2 THEN 0 ELSE var_samp(CASE WHEN type = 'DEPOSIT' AND {_OK} THEN amount END) END")} AS x_deposit_variance,
-        {_r(f"sum(CASE WHEN type = 'WITHDRAWAL' AND {_OK} THEN abs(amount) WHEN type = 'DEPOSIT' AND {_OK} THEN -abs(amount) ELSE 0 END)")} AS x_withdrawn_less_deposited FROM txw t GROUP BY t.player""",
+    **{name: _fixed_window(name, prefix, bounds) for name, prefix, bounds in (("flexible_x", "x", None), ("april_may", "x_am", (day_number(2025, 4) * DAY_US, day_number(2025, 6) * DAY_US)))},
     "self_exclusion_y": """SELECT player, CASE WHEN count(CASE WHEN modified_us >= {y0} AND modified_us < {y1} THEN 1 END) = 0 THEN NULL
         ELSE CAST(max(CASE WHEN modified_us >= {y0} AND modified_us < {y1} AND status LIKE 'SELF_EXCLUDED%' THEN 1 ELSE 0 END) AS BIGINT) END AS y_self_exclusion FROM prof GROUP BY player""",
-    "monthly_exclusion": """SELECT player, month, CAST(max(CASE WHEN status LIKE 'SELF_EXCLUDED%' THEN 1 ELSE 0 END) AS BIGINT) AS observed,
-        CAST(max(CASE WHEN status LIKE 'SELF_EXCLUDED%' THEN 1 ELSE 0 END) - coalesce(lag(max(CASE WHEN status LIKE 'SELF_EXCLUDED%' THEN 1 ELSE 0 END)) OVER (PARTITION BY player ORDER BY month), 0) AS BIGINT) AS edge
-        FROM (SELECT player, status, CAST(floor(modified_us / 2629800000000) AS BIGINT) AS month FROM prof) p GROUP BY player, month""",
+    "june_july": f"SELECT player, CAST(max(CASE WHEN status IN {_in(EXCLUDED)} THEN 1 ELSE 0 END) AS BIGINT) AS y_self_exclusion_june_july FROM prof WHERE modified_us >= {day_number(2025, 6) * DAY_US} AND modified_us < {day_number(2025, 8) * DAY_US} GROUP BY player",
+    # the status counts at the first profile of each extraction time; an exclusion counts while it is the last or the last but one
+    "ever_excluded": f"""SELECT player, CAST(y AS BIGINT) AS y_1b_ever_excluded, status AS y_1c_last_status, extracted_us AS y_1d_extracted_us, n AS y_1x_profiles,
+        CAST(CASE WHEN status IN {_in((*EXCLUDED, 'ACTIVE'))} THEN 1 ELSE 0 END AS BIGINT) AS y_1e_certain, CAST(CASE WHEN status IN {_in((*EXCLUDED, 'ACTIVE'))} THEN y END AS BIGINT) AS y_1_final
+        FROM (SELECT *, CASE WHEN status IN {_in(EXCLUDED)} OR lag(status) OVER (PARTITION BY player ORDER BY extracted_us) IN {_in(EXCLUDED)} THEN 1 ELSE 0 END AS y, row_number() OVER (PARTITION BY player ORDER BY extracted_us DESC) AS from_last
+        FROM (SELECT *, row_number() OVER (PARTITION BY player, extracted_us ORDER BY pk) AS k, count(*) OVER (PARTITION BY player) AS n FROM prof WHERE extracted_us IS NOT NULL) p WHERE k = 1) q WHERE from_last = 1""",
+    "monthly_exclusion": _bitmaps(),
+    "time_eas": "SELECT DISTINCT player, 0e0 AS time_eas FROM tx",
+    "nr_of_bank_accounts": "SELECT player, count(DISTINCT account) AS nr_of_bank_accounts FROM account GROUP BY player",
+    "nr_of_risk_classes": "SELECT player, count(DISTINCT class) AS nr_of_risk_classes FROM risk GROUP BY player",
+    "complaint_variance": f"""SELECT player, count(*) AS number_of_complaints, {_r('coalesce(var_samp(CAST(n AS DOUBLE)), 0)')} AS variance_in_number_of_responses_per_complaint
+        FROM (SELECT c.player, c.complaint_id, count(DISTINCT r.response_id) AS n FROM complaint c LEFT JOIN response r ON c.row_id = r.row_id GROUP BY c.player, c.complaint_id) c GROUP BY player""",
 }
 
-BASE = ("tx", "bet", "bet_link", "leg", "ses", "ses_link", "game", "prof", "lim", "club")
+BASE = ("tx", "bet", "bet_link", "leg", "ses", "ses_link", "game", "prof", "lim", "club", "account", "risk", "complaint", "response", "contact")
 
 
 def needed(name: str, given: frozenset[str] = frozenset(), extra: dict[str, str] | None = None) -> tuple[list[str], list[str]]:
@@ -315,6 +404,25 @@ def fuse(keys: list[str]) -> tuple[list[str], dict[str, str]]:
     return [*extra, *names], extra
 
 
+#: What the two engines spell differently.
+_SPARK = {
+    "q25": "percentile(gap, 0.25)",
+    "q75": "percentile(gap, 0.75)",
+    "club_list": "collect_list(named_struct('club', upper(club), 'country', country))",
+    "named_countries": "transform(filter(clubs, c -> contains(event, c.club)), c -> c.country)",
+    "each_country": "explode_outer(c.countries)",
+    "at_home": "array_contains(countries, {home})",
+}
+_DUCKDB = {
+    "q25": "quantile_cont(gap, 0.25)",
+    "q75": "quantile_cont(gap, 0.75)",
+    "club_list": "list({'club': upper(club), 'country': country})",
+    "named_countries": "list_transform(list_filter(clubs, lambda c: contains(event, c.club)), lambda c: c.country)",
+    "each_country": "unnest(CASE WHEN len(c.countries) = 0 THEN [NULL] ELSE c.countries END)",
+    "at_home": "list_contains(countries, {home})",
+}
+
+
 def _plain_counts(sql: str) -> str:
     """count_if(x) as count(CASE WHEN x THEN 1 END)."""
     while (at := sql.find("count_if(")) >= 0:
@@ -330,11 +438,10 @@ def compose(name: str, numbers: dict[str, object], engine: str = "spark", given:
     """(common table expressions, query, names of the tables that it reads)."""
     plans, base = needed(name, given, extra)
     known = {**VIEWS, **FEATURES, **(extra or {})}
-    q = "percentile(gap, {p})" if engine == "spark" else "quantile_cont(gap, {p})"
-    values = {**numbers, "q25": q.format(p=0.25), "q75": q.format(p=0.75)}
+    values = {**numbers, **(_SPARK if engine == "spark" else _DUCKDB)}
 
     def fill(plan: str) -> str:
-        sql = re.sub(r"\{(\w+)\}", lambda m: str(values[m[1]]), known[plan])
+        sql = re.sub(r"\{(\w+)\}", lambda m: str(values[m[1]]), re.sub(r"\{(\w+)\}", lambda m: str(values[m[1]]), known[plan]))
         return sql if engine == "spark" else _plain_counts(sql)  # there count_if is wider than bigint
 
     return ",\n".join(f"{p} AS ({fill(p)})" for p in plans), fill(name), base

@@ -12,7 +12,12 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wagerlens.functions import json_readers
+from wagerlens.operators.links import KINDS, limit_events
+
 ZONE = "Europe/Amsterdam"
+#: Moves the dates of orders to the years that the windows lie in.
+SHIFT_US = 788918400000000
 
 _EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 
@@ -31,7 +36,12 @@ def with_time(df: DataFrame, ts: str) -> DataFrame:
 
 
 def domain_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """tx, bet, bet_link, leg, ses, ses_link, game, prof, lim, club."""
+    """tx, bet, bet_link, leg, ses, ses_link, game, prof, lim, club, account, risk, complaint, response, contact.
+
+    Accounts, risk classes and responses are made as the extracts have them, JSON in
+    several spellings, and read by the lenient readers; limits come as a header and a
+    child table of each kind.
+    """
     def read(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -67,7 +77,7 @@ def domain_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "us + (k % 90 + 1) * 60000000 as extracted_us",
         "stake",
     )
-    ses = heads.filter("g % 2 = 1").selectExpr("pk", "operator", "pk as session_id", "us", "k % 24 as game_id", "k % 7 as rounds")
+    ses = heads.filter("g % 2 = 1").selectExpr("pk", "operator", "pk as session_id", "us", "k % 24 as game_id", "k % 7 as rounds", "us + (k % 200 - 10) * 60000000 as end_us")
     civil = "convert_timezone('UTC', '" + ZONE + "', timestampadd(MICROSECOND, us, " + _EPOCH + "))"
     bet, ses = (d.withColumn("hour", F.expr(f"hour({civil})")) for d in (bet, ses))
     link = grouped.select("pk", "player", "tx_id", "operator", "g", "k")
@@ -77,7 +87,7 @@ def domain_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "pk",
         "tx_id as part_id",
         "concat('FC ', name, ' - Visitors') as event",
-        "case k % 3 when 0 then 'Football' when 1 then 'Tennis' else 'Basketball' end as sport",
+        "case k % 6 when 0 then 'Football' when 1 then 'Tennis' when 2 then 'Voetbal' when 3 then 'Soccer' else 'Basketball' end as sport",
         "1 + k / 20 as odds",
         "cast(k % 2 as string) as live",
     )
@@ -91,17 +101,24 @@ def domain_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "round(o_totalprice % 200, 2) as eod_balance",
         "(1930 + o_custkey % 85) * 10000 + (1 + o_custkey % 12) * 100 + 1 + o_custkey % 28 as dob",
     )
-    lim = (
-        read("lineitem")
-        .join(read("orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .selectExpr(
-            "o_custkey as player",
-            "case l_returnflag when 'A' then 'DEPOSIT' when 'N' then 'LOGIN' else 'PARTICIPATION' end as kind",
-            f"timestampdiff(MICROSECOND, {_EPOCH}, l_shipdate) + 788918400000000 as us",
-            "l_quantity as value",
-            "case l_linenumber % 3 when 0 then 'DAY' when 1 then 'WEEK' else 'MONTH' end as span",
-        )
+    lines = read("lineitem").selectExpr(
+        "l_orderkey as limit_pk",
+        "case l_linenumber % 4 when 0 then case when l_orderkey % 5 = 0 then 'PARTICIPATION' else 'DEPOSIT' end when 1 then 'DEPOSIT' when 2 then 'LOGIN' else case when l_orderkey % 9 = 0 then 'GAME_TYPE' else 'BALANCE' end end as kind",
+        f"timestampdiff(MICROSECOND, {_EPOCH}, l_shipdate) + {SHIFT_US} + (l_orderkey % 3) * 400000 as us",
+        "l_quantity as value",
+        "case l_partkey % 4 when 0 then 'day' when 1 then 'DAILY' when 2 then 'Week' end as span",
+    )
+    headers = read("orders").selectExpr("o_orderkey as pk", "case when o_orderkey % 13 > 0 then o_custkey end as player")
+    lim = limit_events(headers, {k: lines.filter(F.col("kind") == k).drop("kind") for k in KINDS})
+    raw_accounts = read("customer").selectExpr(
+        "c_custkey as player",
+        """case c_custkey % 4 when 0 then concat('[{"Bank_Account_ID":"a', c_custkey % 50, '"},{"Bank_Account_ID":"b', c_custkey, '"},{"Bank_Account_ID":""}]')
+           when 1 then concat("{'Bank_Account_ID': 'a", c_custkey % 50, "'}") when 2 then concat('[{""Bank_Account_ID"":""c', c_custkey, '""}]') else 'null' end as accounts""",
     )
+    orders = read("orders").selectExpr("o_orderkey as row_id", "o_custkey as player", f"timestampdiff(MICROSECOND, {_EPOCH}, o_orderdate) + {SHIFT_US} as us")
+    raw_risk = orders.selectExpr("player", """case row_id % 4 when 0 then '"{""RG_Class_Value"": ""NO_RISK"", ""RG_Class_Datetime"": ""2017""}"' when 1 then '{"RG_Class_Value": "LOW"}' when 2 then "{'RG_Class_Value': 'HIGH'}" else '[]' end as flag""")
+    complaints = orders.filter("row_id % 7 = 0").selectExpr("row_id", "player", "concat('c', row_id % 40) as complaint_id", "us", """case row_id % 4 when 0 then '[{"Response": null}]'
+        else concat('[{"Response":[', array_join(transform(sequence(1, cast(row_id % 4 as int)), i -> concat('{"Response_ID":"r', i, '"}')), ','), ']}]') end as responses""")
     return {
         "tx": tx,
         "bet": bet,
@@ -113,6 +130,11 @@ def domain_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "prof": prof,
         "lim": lim,
         "club": nations.selectExpr("name as club", "region as country"),
+        "account": raw_accounts.select("player", F.explode(json_readers.bank_accounts(F.col("accounts"))).alias("account")),
+        "risk": raw_risk.select("player", json_readers.risk_class(F.col("flag")).alias("class")).filter("class is not null"),
+        "complaint": complaints.drop("responses"),
+        "response": complaints.select("row_id", F.explode(json_readers.response_ids(F.col("responses"))).alias("response_id")),
+        "contact": orders.filter("row_id % 11 = 0").select("player", "us"),
     }
 
 
@@ -133,12 +155,12 @@ ORACLE_CTES = {
     "heads": "SELECT player * 1000000 + g AS pk, player, operator, g, min(us) AS us, min(k) AS k, sum(amount) AS stake FROM grouped GROUP BY player, operator, g",
     "bet": """SELECT pk, operator, pk AS bet_id, us, CASE k % 4 WHEN 0 THEN 'BET_PLACED' WHEN 1 THEN 'BET_SETTLED' WHEN 2 THEN 'BET_CANCELLED' ELSE 'BET_UPDATED' END AS status,
         us + (k % 90 + 1) * 60000000 AS extracted_us, stake, extract(hour FROM make_timestamp(us) AT TIME ZONE 'UTC' AT TIME ZONE 'Europe/Amsterdam') AS hour FROM heads WHERE g % 2 = 0""",
-    "ses": """SELECT pk, operator, pk AS session_id, us, k % 24 AS game_id, k % 7 AS rounds,
+    "ses": """SELECT pk, operator, pk AS session_id, us, k % 24 AS game_id, k % 7 AS rounds, us + (k % 200 - 10) * 60000000 AS end_us,
         extract(hour FROM make_timestamp(us) AT TIME ZONE 'UTC' AT TIME ZONE 'Europe/Amsterdam') AS hour FROM heads WHERE g % 2 = 1""",
     "bet_link": "SELECT player * 1000000 + g AS pk, player, tx_id FROM grouped WHERE g % 2 = 0",
     "ses_link": "SELECT player * 1000000 + g AS pk, player, tx_id FROM grouped WHERE g % 2 = 1",
     "leg": """SELECT player * 1000000 + g AS pk, tx_id AS part_id, 'FC ' || upper(n_name) || ' - Visitors' AS event,
-        CASE k % 3 WHEN 0 THEN 'Football' WHEN 1 THEN 'Tennis' ELSE 'Basketball' END AS sport, 1 + k / 20 AS odds, CAST(k % 2 AS VARCHAR) AS live
+        CASE k % 6 WHEN 0 THEN 'Football' WHEN 1 THEN 'Tennis' WHEN 2 THEN 'Voetbal' WHEN 3 THEN 'Soccer' ELSE 'Basketball' END AS sport, 1 + k / 20 AS odds, CAST(k % 2 AS VARCHAR) AS live
         FROM grouped JOIN nation ON k % 25 = n_nationkey WHERE g % 2 = 0""",
     "game": """SELECT range AS game_id, CASE range % 5 WHEN 0 THEN 'SLOTS' WHEN 1 THEN 'CASINO' WHEN 2 THEN 'BINGO' WHEN 3 THEN 'VIRTUAL_SPORTS' ELSE 'TABLE' END AS type,
         'game ' || (range % 9) AS name FROM range(24)""",
@@ -146,9 +168,16 @@ ORACLE_CTES = {
         epoch_us(o_orderdate) + 788918400000000 + (o_orderkey % 3) * 86400000000 AS extracted_us,
         CASE o_orderstatus WHEN 'F' THEN 'SELF_EXCLUDED_TEMP' WHEN 'O' THEN 'ACTIVE' ELSE 'SUSPENDED' END AS status, round(o_totalprice % 200, 2) AS eod_balance,
         (1930 + o_custkey % 85) * 10000 + (1 + o_custkey % 12) * 100 + 1 + o_custkey % 28 AS dob FROM orders""",
-    "lim": """SELECT o_custkey AS player, CASE l_returnflag WHEN 'A' THEN 'DEPOSIT' WHEN 'N' THEN 'LOGIN' ELSE 'PARTICIPATION' END AS kind,
-        epoch_us(l_shipdate) + 788918400000000 AS us, l_quantity AS value, CASE l_linenumber % 3 WHEN 0 THEN 'DAY' WHEN 1 THEN 'WEEK' ELSE 'MONTH' END AS span
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+    "lim": """SELECT player, kind, us, CASE WHEN kind <> 'GAME_TYPE' THEN value END AS value, CASE WHEN kind <> 'BALANCE' THEN span END AS span FROM (
+        SELECT o_custkey AS player, CASE WHEN l_linenumber % 4 = 1 THEN 'DEPOSIT' WHEN l_linenumber % 4 = 2 THEN 'LOGIN' WHEN l_linenumber % 4 = 3 AND l_orderkey % 9 = 0 THEN 'GAME_TYPE' WHEN l_linenumber % 4 = 3 THEN 'BALANCE'
+            WHEN l_orderkey % 5 = 0 THEN 'PARTICIPATION' ELSE 'DEPOSIT' END AS kind, epoch_us(l_shipdate) + 788918400000000 + (l_orderkey % 3) * 400000 AS us, l_quantity AS value,
+        CASE l_partkey % 4 WHEN 0 THEN 'DAY' WHEN 1 THEN 'DAILY' WHEN 2 THEN 'WEEK' END AS span FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderkey % 13 > 0) x""",
+    "account": """SELECT c_custkey AS player, 'a' || (c_custkey % 50) AS account FROM customer WHERE c_custkey % 4 IN (0, 1) UNION ALL SELECT c_custkey, 'b' || c_custkey FROM customer WHERE c_custkey % 4 = 0
+        UNION ALL SELECT c_custkey, 'c' || c_custkey FROM customer WHERE c_custkey % 4 = 2""",
+    "risk": "SELECT o_custkey AS player, CASE o_orderkey % 4 WHEN 0 THEN 'NO_RISK' WHEN 1 THEN 'LOW' ELSE 'HIGH' END AS class FROM orders WHERE o_orderkey % 4 < 3",
+    "complaint": "SELECT o_orderkey AS row_id, o_custkey AS player, 'c' || (o_orderkey % 40) AS complaint_id, epoch_us(o_orderdate) + 788918400000000 AS us FROM orders WHERE o_orderkey % 7 = 0",
+    "response": "SELECT o_orderkey AS row_id, 'r' || i AS response_id FROM orders JOIN range(1, 4) t(i) ON i <= o_orderkey % 4 WHERE o_orderkey % 7 = 0",
+    "contact": "SELECT o_custkey AS player, epoch_us(o_orderdate) + 788918400000000 AS us FROM orders WHERE o_orderkey % 11 = 0",
     "club": "SELECT upper(n_name) AS club, n_regionkey AS country FROM nation",
 }
 #: Which adapters an adapter reads.
