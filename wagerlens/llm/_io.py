@@ -29,6 +29,18 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+#: Bytes of an Arrow batch and rows of a column batch of the scan, where the session has Spark's defaults.
+_BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "4194304b"), "spark.sql.parquet.columnarReaderBatchSize": ("4096", "512")}
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Batches for rows that hold whole texts: both sides of a Python worker keep a batch or
+    two in memory, and a scan keeps a vector of texts. Settings of the user's own stay."""
+    for name, (default, small) in _BATCHES.items():
+        if spark.conf.get(name) in (default, default.rstrip("b")):
+            spark.conf.set(name, small)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/wagerlens/{name}-{uuid.uuid4().hex}"
 
@@ -40,6 +52,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     shuffle files are dropped when it is written; nothing else can read them.
     """
     spark = df.sparkSession
+    small_batches(spark)
     path = new_path(spark, name)
     before = spark.conf.get(_CLEANUP)
     spark.conf.set(_CLEANUP, "true")
@@ -75,6 +88,7 @@ def trim() -> None:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
