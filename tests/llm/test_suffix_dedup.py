@@ -36,6 +36,11 @@ def test_merged_transforms_equal_plain_grouping():
         got, want = defaultdict(set), defaultdict(set)
         for x, y, z in zip(*(v.tolist() for v in bwt.repeated(strings, length, r.choice([5, 20, 1000]))), strict=True):
             got[z].add((x, y))
+        for step in (1, 3):  # symbols of a round
+            again = defaultdict(set)
+            for x, y, z in zip(*(v.tolist() for v in bwt.repeated(strings, length, 20, step)), strict=True):
+                again[z].add((x, y))
+            assert sorted(map(sorted, again.values())) == sorted(map(sorted, got.values()))
         for i, t in enumerate(strings):
             for k in range(len(t) - length + 1):
                 want[t[k : k + length]].add((i, k))
@@ -102,6 +107,17 @@ def test_equals_brute_force(spark, monkeypatch, seed, most):
     assert sorted(tuple(x) for x in got) == want
 
 
+def test_what_repeats_once_is_found_by_the_merged_transforms_alone(spark):
+    r = random.Random(7)
+    texts = ["".join(r.choice("abcdef ") for _ in range(r.randint(150, 900))) for _ in range(40)]
+    rows = [(k, t) for k, t in enumerate([*texts, *texts[:20], *(t[60:] + "end" for t in texts[20:])])]
+    docs = spark.createDataFrame(rows, "ord long, text string")
+    met = suffix_dedup._met(suffix_dedup._described(docs, 100), 100)
+    assert met.filter("key is null").count() == 0  # hashes settle nothing here
+    got = remove_repeats(docs.withColumnRenamed("ord", "doc_id"), outputs=("n_bytes", "n_removed", "n_spans", "kept_sha256")).collect()
+    assert sorted(tuple(x) for x in got) == brute(rows) and sum(x.n_removed for x in got) > 10_000
+
+
 def test_null_and_repeated_ids_and_an_empty_table(spark):
     long = "".join(chr(97 + (k * k + k // 7) % 26) for k in range(150))
     rows = [(None, long, "s", 1, 1), (4, long, "s", 1, 1), (4, long, "s", 1, 1), (2, "other " + long, "s", 1, 1)]

@@ -1,22 +1,24 @@
 """Removal of repeated byte strings: every 100-byte string that starts earlier already.
 
 The answer is exact over the whole corpus, and no task ever holds more than a bounded
-piece of it:
+piece of it. Hashes deal strings that may be equal to one place and group what is equal
+in whole; what repeats is decided by merged transforms:
 
 1. Every 100-byte window of a text is assigned to an anchor, the least 32-byte gram
    inside it by a hash, leftmost of equal ones. The anchor depends on the window's bytes
    alone, so equal windows have equal anchors. The windows of one anchor start side by
    side; this run is the unit that moves, as two hashes, an id and a place (no text).
-   Within a task equal runs are met at once: all but the first are repeats.
-2. Runs meet by anchor. Equal runs but the first are repeats. Runs that differ but
-   share an anchor are the only ones in which a window may repeat unseen so far.
-3. Their bytes are fetched and cut into pieces of up to ``PIECE`` windows, which meet by
-   a hash of the bytes that all windows of the piece hold. Equal pieces but the first
-   are repeats.
-4. What is left differs near its edges only. Each batch of groups becomes shards with a
-   Burrows-Wheeler transform each; these are merged by interleave refinement (see
-   ``bwt``), and the blocks after 100 rounds are the strings of 100 bytes that occur
-   more than once. All their places but the first are repeats.
+2. Runs meet by anchor. Of equal runs the first two stand for all: the first is where
+   their strings start, and what the second repeats all further ones repeat. A run whose
+   anchor no other run has is done with.
+3. The bytes of the others are fetched and cut into pieces of up to ``PIECE`` windows,
+   which meet by a hash of the bytes that all windows of the piece hold; of equal pieces
+   again the first two stand for all. Where more than ``GROUP_MOST`` meet, each of their
+   windows is a piece of its own.
+4. Each batch of groups is dealt to shards with a Burrows-Wheeler transform each, equal
+   pieces to different ones; these are merged by interleave refinement (see ``bwt``),
+   and the blocks after 100 symbols are the strings that occur more than once. All their
+   places but the first are repeats.
 5. Repeats are united per document.
 
 Order is by id, then place. Defined results: a null text is empty; texts of fewer bytes
@@ -36,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wagerlens.llm import bwt
-from wagerlens.llm._io import numbered, slices, stage
+from wagerlens.llm._io import numbered, slices, stage, trim
 
 GRAM = 32
 PIECE = 23
@@ -46,8 +48,8 @@ BATCH_BYTES = 4_000_000
 RUNS = 1_500_000
 #: Bytes of pieces that one merge takes, and of one of its shards.
 MERGE_BYTES, SHARD_BYTES = 2_000_000, 500_000
-#: Pieces of a group that a task gathers.
-GROUP_MOST = 20_000
+#: Pieces of a group beyond which its windows go apart.
+GROUP_MOST = 8_000
 
 _rng = np.random.default_rng(977)
 _TABLES = _rng.integers(0, 2**63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -107,12 +109,14 @@ def runs(raw: np.ndarray, doc_starts: np.ndarray, length: int) -> dict[str, np.n
     return {"key": h[a].view(np.int64), "content": content.view(np.int64), "doc": d, "start": first - doc_starts[d], "windows": windows, "anchor": a - doc_starts[d]}
 
 
-def _firsts(key: np.ndarray, order: tuple[np.ndarray, ...]) -> np.ndarray:
-    """Mask of the rows that come first, by ``order``, of those with their ``key``."""
+def _places(key: np.ndarray, order: tuple[np.ndarray, ...]) -> np.ndarray:
+    """Place of each row, by ``order``, among those with its ``key``: 0, 1, ..."""
     by = np.lexsort((*reversed(order), key))
     k = key[by]
-    out = np.zeros(len(key), dtype=bool)
-    out[by[np.r_[True, k[1:] != k[:-1]]]] = True
+    start = np.r_[True, k[1:] != k[:-1]]
+    out = np.empty(len(key), dtype=np.int64)
+    at = np.arange(len(key))
+    out[by] = at - np.maximum.accumulate(np.where(start, at, 0))
     return out
 
 
@@ -134,8 +138,8 @@ def _batch(**columns) -> pa.RecordBatch:
 
 
 def _described(docs: DataFrame, length: int) -> DataFrame:
-    """Rows key, content, ord, start, windows: the first run of its kind in the task; and,
-    with null content and windows as an end, the repeats found in the task."""
+    """Rows key, content, ord, start, windows: the first two runs of their kind in the task; and,
+    with null content and windows as an end, the further ones."""
     schema = "key long, content long, ord long, start long, windows long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,7 +149,7 @@ def _described(docs: DataFrame, length: int) -> DataFrame:
             key, content, ord_, start, windows = (np.concatenate(x) for x in zip(*held, strict=True))
             held.clear()
             both = (mix(key.view(np.uint64)) + content.view(np.uint64)).view(np.int64)
-            first = _firsts(both, (ord_, start))
+            first = _places(both, (ord_, start)) < 2
             yield from _in_parts(_batch(key=key[first], content=content[first], ord=ord_[first], start=start[first], windows=windows[first]))
             o, s, e = _spans(ord_[~first], start[~first], (start + windows + length - 1)[~first])
             if len(o):
@@ -193,57 +197,50 @@ def _buffers(texts: list[bytes], length: int, most: int = 1 << 22) -> Iterator[t
 
 
 def _met(described: DataFrame, length: int) -> DataFrame:
-    """Rows ord, start, end: repeats (key null), or runs of an anchor with several contents."""
+    """Rows key, ord, start, end: the first two runs of each content of an anchor that several
+    runs have (``end``: their windows); and, with null key, the spans of further ones."""
     schema = "key long, ord long, start long, end long"
     sorted_ = described.repartition("key").sortWithinPartitions("key", "content", "ord", "start")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_key = last_content = None
-        waiting = None  # the first run of the last key, while it has one content only
+        last, seen = None, 0  # the last (key, content), and its rows so far
+        waiting = None  # the only run so far of the last key
         for batch in batches:
-            content_null = np.asarray(batch.column(1).is_null())
-            if not batch.num_rows:
-                continue
+            told = np.asarray(batch.column(1).is_null())
             key, ord_, start, windows = (np.asarray(batch.column(k)) for k in (0, 2, 3, 4))
-            if content_null.any():
-                yield _batch(key=pa.nulls(int(content_null.sum()), pa.int64()), ord=ord_[content_null], start=start[content_null], end=windows[content_null])
-            live = ~content_null
-            key, ord_, start, windows = key[live], ord_[live], start[live], windows[live]
-            content = np.asarray(batch.column(1).fill_null(0))[live]
-            if not len(key):
+            if told.any():
+                yield _batch(key=pa.nulls(int(told.sum()), pa.int64()), ord=ord_[told], start=start[told], end=windows[told])
+            content = np.asarray(batch.column(1).fill_null(0))[~told]
+            key, ord_, start, windows = (x[~told] for x in (key, ord_, start, windows))
+            n = len(key)
+            if not n:
                 continue
-            new_key = np.r_[last_key is None or key[0] != last_key, key[1:] != key[:-1]]
-            new_class = new_key | np.r_[last_content is None or content[0] != last_content, content[1:] != content[:-1]]
-            again = ~new_class
+            at = np.arange(n)
+            new_key = np.r_[last is None or key[0] != last[0], key[1:] != key[:-1]]
+            new_class = new_key | np.r_[last is None or content[0] != last[1], content[1:] != content[:-1]]
+            place = at - np.maximum.accumulate(np.where(new_class, at, 0))
+            if not new_class[0]:  # the last class runs on
+                ends = np.flatnonzero(new_class)
+                place[: int(ends[0]) if len(ends) else n] += seen
+            group = np.cumsum(new_key)
+            several = (np.bincount(group) > 1)[group]
+            if not new_key[0]:  # the last key runs on: it has more than one run
+                several |= group == group[0]
+                if waiting is not None:
+                    yield _batch(**{k: np.array([v], dtype=np.int64) for k, v in zip(("key", "ord", "start", "end"), waiting, strict=True)})
+                    waiting = None
+            elif waiting is not None:
+                waiting = None  # it stayed alone
+            go = several & (place < 2)
+            if go.any():
+                yield _batch(key=key[go], ord=ord_[go], start=start[go], end=windows[go])
+            again = place >= 2
             if again.any():
                 o, s, e = _spans(ord_[again], start[again], (start + windows + length - 1)[again])
                 yield _batch(key=pa.nulls(len(o), pa.int64()), ord=o, start=s, end=e)
-            # classes per key within the batch; the key that runs on from before counts its own
-            group = np.cumsum(new_key)
-            classes = np.bincount(group, weights=new_class, minlength=group[-1] + 1).astype(np.int64)
-            carried = not new_key[0]
-            several = classes > 1
-            if carried:
-                several[0] = classes[0] >= 1  # its first class came before
-            reps = new_class & several[group]
-            emit = [np.flatnonzero(reps)]
-            head = []
-            if carried and several[0] and waiting is not None:
-                head = [waiting]
-                waiting = None
-            at = emit[0]
-            out = {"key": key[at], "ord": ord_[at], "start": start[at], "end": windows[at]}
-            if head:
-                out = {k: np.r_[np.int64(head[0][j]), v] for j, (k, v) in enumerate(out.items())}
-            if len(out["key"]):
-                yield _batch(**out)
-            end_group = group[-1]
-            if not (carried and end_group == 0):  # the last key began in this batch
-                waiting = None
-                if not several[end_group]:
-                    i = int(np.flatnonzero(new_class & (group == end_group))[0])
-                    waiting = (key[i], ord_[i], start[i], windows[i])
-            last_key, last_content = key[-1], content[-1]
+            if not several[-1]:
+                waiting = (key[-1], ord_[-1], start[-1], windows[-1])
+            last, seen = (key[-1], content[-1]), int(place[-1]) + 1
 
     return sorted_.mapInArrow(run, schema)
 
@@ -291,7 +288,7 @@ def _merged(pieces: DataFrame, length: int) -> DataFrame:
     def settle(strings: list[bytes], ord_: list[int], start: list[int]) -> pa.RecordBatch:
         own, offset, block = bwt.repeated(strings, length, SHARD_BYTES)
         o, s = np.array(ord_)[own], np.array(start)[own] + offset
-        late = ~_firsts(block, (o, s)) if len(block) else np.zeros(0, dtype=bool)
+        late = _places(block, (o, s)) > 0 if len(block) else np.zeros(0, dtype=bool)
         o, s, e = _spans(o[late], s[late], s[late] + length)
         return _batch(ord=o, start=s, end=e)
 
@@ -300,7 +297,7 @@ def _merged(pieces: DataFrame, length: int) -> DataFrame:
         ord_: list[int] = []
         start: list[int] = []
         group = 0  # where the pieces of the last key begin
-        size = 0
+        size = equal = 0
         last_key = None
         for batch in batches:
             again: list[tuple[int, int, int]] = []
@@ -313,10 +310,14 @@ def _merged(pieces: DataFrame, length: int) -> DataFrame:
                     if size > MERGE_BYTES:
                         yield settle(strings, ord_, start)
                         strings, ord_, start, size = [], [], [], 0
-                    last_key, group = key, len(strings)
+                    last_key, group, equal = key, len(strings), 0
                 elif piece == strings[-1]:
-                    again.append((o, s, s + len(piece)))
-                    continue
+                    equal += 1
+                    if equal > 1:  # two stand for all
+                        again.append((o, s, s + len(piece)))
+                        continue
+                else:
+                    equal = 0
                 strings.append(piece)
                 ord_.append(o)
                 start.append(s)
@@ -328,18 +329,16 @@ def _merged(pieces: DataFrame, length: int) -> DataFrame:
             strings.pop(), ord_.pop(), start.pop()
         if strings:
             yield settle(strings, ord_, start)
+        trim()
 
     return sorted_.mapInArrow(run, "ord long, start long, end long")
 
 
-def _single_windows(pieces: DataFrame, length: int) -> DataFrame:
-    """Rows ord, start, end: repeats among pieces of any number, window by window."""
+def _apart(pieces: DataFrame, length: int) -> DataFrame:
+    """Every window of the pieces as a piece of its own, dealt by its bytes."""
     each = pieces.select("ord", "start", "piece", F.explode(F.sequence(F.lit(0), F.octet_length("piece") - length)).alias("k"))
     window = F.expr(f"substring(piece, k + 1, {int(length)})")
-    rows = each.select("ord", (F.col("start") + F.col("k")).alias("start"), F.xxhash64(window).alias("h"), F.xxhash64(F.lit(977), window, F.lit(31)).alias("g"))
-    first = rows.groupBy("h", "g").agg(F.min(F.struct("ord", "start")).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    late = rows.join(first, ["h", "g"]).filter(F.struct("ord", "start") > F.col("first"))
-    return late.select("ord", "start", (F.col("start") + length).alias("end"))
+    return each.select(F.xxhash64(window).alias("pkey"), window.alias("piece"), "ord", (F.col("start") + F.col("k")).alias("start"))
 
 
 def repeated_spans(docs: DataFrame, length: int = 100) -> DataFrame:
@@ -348,15 +347,11 @@ def repeated_spans(docs: DataFrame, length: int = 100) -> DataFrame:
     ``docs`` has ``ord`` (the order, unique) and ``text`` (not null).
     """
     met = stage(_met(_described(docs, length), length), "runs-met")
-    candidates = met.filter("key is not null")
-    pieces = stage(_pieces(docs, candidates, length), "pieces")
+    pieces = stage(_pieces(docs, met.filter("key is not null"), length), "pieces")
     large = stage(pieces.groupBy("pkey").agg(F.count("*").alias("n")).filter(F.col("n") > GROUP_MOST).select("pkey"), "pieces-large")
-    spans = met.filter("key is null").select("ord", "start", "end")
     if not large.isEmpty():
-        spans = spans.union(_single_windows(pieces.join(large, "pkey", "left_semi"), length))
-        pieces = pieces.join(large, "pkey", "left_anti")
-    merged = stage(_merged(pieces, length), "pieces-merged")
-    spans = spans.union(merged)
+        pieces = pieces.join(large, "pkey", "left_anti").unionByName(_apart(pieces.join(large, "pkey", "left_semi"), length))
+    spans = met.filter("key is null").select("ord", "start", "end").union(stage(_merged(pieces, length), "pieces-merged"))
     return stage(spans.groupBy("ord").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends")), "spans")
 
 
