@@ -29,8 +29,8 @@ from wagerlens.llm._io import held, slices
 from wagerlens.llm.merge_replay import WS, segments
 
 #: Characters of a text above which it is encoded in chunks.
-HUGE = 4_096
-CHUNK = 4_096
+HUGE = 8_192
+CHUNK = 8_192
 OVERLAP = 256
 
 _stable = re.compile(rf"(?<=[^{WS}])[ \t\n\r]").finditer
