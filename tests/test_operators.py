@@ -1,7 +1,9 @@
 """Cleaning, files, versions, labels, merging and streaming on literal rows."""
 
 import datetime
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from wagerlens.functions import coerce
@@ -87,8 +89,79 @@ def test_merging_sampling_and_splits(spark):
     assert split.groupBy("key").agg(F.countDistinct("held_out").alias("n")).filter("n > 1").count() == 0
     assert sorted(sum(merging.operator_folds(list("abcde"), 2), [])) == list("abcde")
     assert merging.operator_folds(list("abcde"), 2) == merging.operator_folds(list("edcba"), 2)
-    sketch = merging.kmv_distinct(spark.range(20_000).select((F.col("id") % 2).alias("g"), (F.col("id") % 8000).alias("v")), ["g"], "v", 256).collect()
-    assert all(abs(r.distinct_estimate - 4000) < 1200 for r in sketch)
+    sketch = merging.distinct_sketch(spark.range(20_000).select((F.col("id") % 2).alias("g"), (F.col("id") % 8000).alias("v")), ["g"], "v", 9)
+    assert all(abs(r.distinct_estimate - 4000) < 800 for r in sketch.collect())
+    assert abs(merging.merged_sketches(sketch, []).first()[0] - 8000) < 1600  # the groups hold different values
+    assert merging.distinct_sketch(spark.range(300).selectExpr("id % 100 as v"), [], "v").first().distinct_estimate == 100
+
+
+def test_undersampling_is_exact_and_holds_no_sample(spark):
+    y = spark.range(30_000).select(F.col("id").alias("player"), (F.col("id") % 10 == 0).cast("int").alias("y"))
+    out = merging.undersample(y, "y", 4)
+    assert dict(map(tuple, out.groupBy("y").count().collect())) == {1: 3000, 0: 12_000}
+    assert "TakeOrdered" not in out._jdf.queryExecution().toString()
+    least = [r[0] for r in y.filter("y = 0").orderBy(F.xxhash64(F.lit(42), "player"), "player").limit(12_000).collect()]
+    assert {r[0] for r in out.filter("y = 0").collect()} == set(least)
+    assert merging.undersample(y.filter("y = 0"), "y", 4).count() == 0 and merging.undersample(y.limit(0), "y", 2).count() == 0
+    assert merging.undersample(y, "y", 100).count() == 30_000
+
+
+def test_next_event_costs_what_a_key_holds(spark):
+    n = 60_000
+    rows = spark.range(n).selectExpr("1 as k", "id * 10 as us")
+    began = time.perf_counter()
+    got = merging.next_event(rows, rows, ["k"]).agg(F.count("*"), F.count("next_us"), F.max(F.col("next_us") - F.col("us"))).first()
+    assert tuple(got) == (n, n - 1, 10) and time.perf_counter() - began < 20
+
+
+def test_folds_hold_both_classes_and_people_stay_whole(spark):
+    rows = spark.range(1000).selectExpr("cast(id % 230 as string) as key", "cast(id % 230 < 23 as int) as y")
+    out = merging.stratified_folds(rows, "key", "y", 5)
+    assert out.count() == 1000 and out.groupBy("key").agg(F.countDistinct("fold").alias("n")).filter("n > 1").count() == 0
+    people = out.select("key", "y", "fold").distinct().groupBy("y", "fold").count().collect()
+    assert {r["count"] for r in people if r.y == 1} == {4, 5} and len([r for r in people if r.y == 0]) == 5
+
+
+def test_merged_rows_for_modelling(spark):
+    a = spark.createDataFrame([(1, 1.0), (2, 2.0)], "player long, x double")
+    y = spark.createDataFrame([(1, 1), (1, 0)], "player long, y_t int")
+    stats = spark.createDataFrame([(5.0,)], "m double")
+    out = merging.merged_scenario([a, a], y, "y_t", None, [stats, stats])
+    assert out.columns == ["player", "p0_x", "p1_x", "y_t", "p0_stats_m", "p1_stats_m"] and {r.player: r.y_t for r in out.collect()} == {1: 1, 2: None}
+    assert merging.only_variables(out, ["x"]).columns == ["player", "p0_x", "p1_x"]
+    assert merging.extract_targets(out).columns == ["player", "y_t"]
+    keyed = out.withColumn("key", F.col("player").cast("string"))
+    assert [r.player for r in merging.without_reserved(keyed, keyed.filter("player = 1")).collect()] == [2]
+    assert versions.only_active(out.withColumn("active_flag", F.expr("case player when 1 then false end"))).count() == 1
+
+
+def test_cleaning_job(spark, tmp_path):
+    from wagerlens.operators import cleaning
+    from wagerlens.sources import files
+
+    assert cleaning.parse_spec("meta:dateTimeUTC|null") == cleaning.Spec(("dateTimeUTC",), True, True)
+    raw = spark.createDataFrame([("1.0", "x", "12/31/2024 01:02:03"), ("b", None, "soon"), ("", "N/A", None)], "ID string, name string, Player_Profile_DOB string")
+    out = cleaning.clean_table(raw, {"id": "Int", "name": "UID|null"})
+    assert [tuple(r)[:2] for r in out.collect()] == [("1", "x"), ("b", None), (None, None)]
+    got = {r["name"]: tuple(r)[1:] for r in cleaning.violations(raw, {"id": "Int", "name": "UID|null", "gone": "Int"}).collect()}
+    assert got == {"id": (False, 1, 1, "warning"), "name": (False, 0, 0, "none"), "gone": (True, 0, 0, "error")}
+    with pytest.raises(ValueError, match="gone"):
+        cleaning.clean_table(raw, {"gone": "Int"})
+    assert [r[2] for r in cleaning.tenant_filtered(raw, "w", "Player_Profile").collect()] == ["2024-12-31 01:02:03", None, None]
+    assert cleaning.tenant_filtered(raw, "w", "bets").collect() == raw.collect() and cleaning.tenant_report(raw, "z", "x").count() == 0
+    for _ in range(2):  # the second run takes the first one's place
+        report = cleaning.clean_job(raw, {"id": "Int"}, f"{tmp_path}/clean_1")
+    assert report.count() == 1 and spark.read.parquet(f"{tmp_path}/clean_1").count() == 3
+    cleaning.clean_job(raw.limit(1), {"id": "Int"}, f"{tmp_path}/clean_12")
+    assert files.newest(spark, str(tmp_path), r"clean_\d+").endswith("clean_12") and files.newest(spark, f"{tmp_path}/none", ".*") is None
+    assert files.missing_tables({"a": ["x"], "b": []}, ["a", "b", "c"]) == ["b", "c"]
+    assert [r[0] for r in files.decimal_points(spark.createDataFrame([("1,5",), ("a,b",)], "v string"), ["v"]).collect()] == ["1.5", "a,b"]
+    assert [tuple(r) for r in cleaning.passed_on(spark.createDataFrame([("7.0", " none ")], "pk_id string, v string")).collect()] == [("7", None)]
+
+
+def test_layout_is_audited(spark, tmp_path):
+    df = spark.sql("select * from values (timestamp'2024-01-05', 1), (timestamp'2024-02-01', 2), (null, 3) as t(ts, id)")
+    assert versions.audited_monthly(df, "ts", f"{tmp_path}/m") == {"rows": 3, "months": 3}
 
 
 def test_civil_time_over_both_clock_changes(spark):

@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wagerlens.functions import coerce
-from wagerlens.operators import merging, modelling, outliers, versions
-from wagerlens.plans.engine import DEFAULT, FeatureContext, oracle, oracle_scenario, stats_row
+from wagerlens.functions import coerce, json_readers
+from wagerlens.operators import cleaning, links, merging, modelling, outliers, reports, versions
+from wagerlens.plans.engine import DEFAULT, SCENARIOS, FeatureContext, oracle, oracle_scenario, shared_folder, stats_row
 from wagerlens.plans.features import DAY_US, FEATURES, Window
 from wagerlens.sources.domain import ORACLE_CTES, ZONE, domain_tables, oracle_order, with_time
 
@@ -76,16 +76,18 @@ def outlier_cubes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outliers.player_cubes(domain_tables(spark, sf_dir)["tx"], "us")
 
 
+#: Bands and factors that the small tables have something in.
+_BANDS, _MINUTES = ((1, 1.5, None, 1.8), (2, 0.5, 1.5, 1.6)), 1.5
+
+
 def outlier_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
     tx = domain_tables(spark, sf_dir)["tx"]
-    return outliers.label_bins(tx, "us", bands=((1, 1.5, None, 1.8), (2, 0.5, 1.5, 1.6)), minute_factor=1.5)
+    return outliers.label_bins(tx, "us", bands=_BANDS, minute_factor=_MINUTES)
 
 
 def outlier_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     tx = domain_tables(spark, sf_dir)["tx"]
-    bins = outliers.label_bins(tx, "us", bands=((1, 1.5, None, 1.8), (2, 0.5, 1.5, 1.6)), minute_factor=1.5)
-    again = outliers.recurring_minutes(tx, "us", score=1.0)
-    return outliers.labelled(tx, bins, again, "us").groupBy("outlier_label").agg(F.count("*").alias("n"))
+    return outliers.label_times(tx, "us", bands=_BANDS, minute_factor=_MINUTES, score=1.0).groupBy("outlier_label").agg(F.count("*").alias("n"))
 
 
 def bulk_import_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,7 +131,7 @@ def next_bet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def distinct_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merging.kmv_distinct(domain_tables(spark, sf_dir)["tx"], ["dayno"], "player")
+    return merging.distinct_sketch(domain_tables(spark, sf_dir)["tx"], ["dayno"], "player").select("dayno", F.col("distinct_estimate").cast("double").alias("distinct_estimate"))
 
 
 def all_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,36 +141,95 @@ def all_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def descriptive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tx = domain_tables(spark, sf_dir)["tx"]
-    return tx.groupBy("type", "status").agg(
-        F.count("*").alias("n"),
-        F.round(F.avg("amount"), 6).alias("mean"),
-        F.round(F.stddev_samp("amount"), 6).alias("std"),
-        F.round(F.percentile("amount", F.lit(0.25)), 6).alias("q1"),
-        F.round(F.median("amount"), 6).alias("q2"),
-        F.round(F.percentile("amount", F.lit(0.75)), 6).alias("q3"),
-        F.round(F.corr("amount", F.col("k").cast("double")), 6).alias("corr_k"),
-    )
+    return reports.described(domain_tables(spark, sf_dir)["tx"], ["type", "status"], "amount", "k")
 
 
 def threshold_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Confusion counts at every score threshold of a one-feature model, in one window."""
-    from pyspark.sql import Window as W
-
-    scored = _read(spark, sf_dir, "labels").join(_read(spark, sf_dir, "documents").select("doc_id", "n_chars"), "doc_id").select((F.col("n_chars") % 97).alias("score"), F.col("quality").alias("y"))
-    per = scored.groupBy("score").agg(F.sum("y").alias("p"), F.sum(1 - F.col("y")).alias("n"))
-    # one row per distinct score, of at most 97
-    down = W.orderBy(F.desc("score")).rowsBetween(W.unboundedPreceding, W.currentRow)
-    every = W.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    return per.select(
-        "score",
-        F.sum("p").over(down).alias("tp"),
-        F.sum("n").over(down).alias("fp"),
-        (F.sum("p").over(every) - F.sum("p").over(down)).alias("fn"),
-        (F.sum("n").over(every) - F.sum("n").over(down)).alias("tn"),
+    """Confusion counts and rates at every score threshold of a one-feature model."""
+    scored = _read(spark, sf_dir, "labels").join(_read(spark, sf_dir, "documents").select("doc_id", "n_chars"), "doc_id").select((F.col("n_chars") % 97 / 97).alias("score"), F.col("quality").alias("y"))
+    out = modelling.threshold_table(scored, "score", "y")
+    return out.select("threshold", "tp", "fp", "fn", "tn", *(F.round(c, 6).alias(c) for c in ("sensitivity", "specificity", "ppv", "npv", "f1", "mcc", "youden")))
+
+
+# ------------------------------------------------------------------ readers, cleaning and links
+
+
+def json_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Movements of sessions from JSON in three shapes: the first owner of each movement."""
+    rows = _read(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey as pk",
+        "o_orderkey * 10 as us",
+        """case o_orderkey % 4 when 0 then concat('[{"Transaction_ID":"t', o_orderkey % 500, '","Player_Profile_ID":"', o_custkey, '"},{"TxId":"u', o_orderkey, '","PlayerId":"', o_custkey, '"}]')
+           when 1 then concat("{'Game_Transactions': {'Transaction': [{'TransactionId': 't", o_orderkey % 500, "', 'Player_ID': '", o_custkey, "'}]}}")
+           when 2 then concat('{""Transactions"": [{""Transaction_ID"": ""t', o_orderkey % 500, '""}]}') else 'none' end as raw""",
+    )
+    entries = rows.select("pk", "us", F.inline(json_readers.transaction_entries(F.col("raw"))))
+    return links.owners_of_movements(entries)
+
+
+def limit_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lim = domain_tables(spark, sf_dir)["lim"]
+    return lim.groupBy("kind", F.coalesce("span", F.lit("none")).alias("span")).agg(F.count("*").alias("n"), F.countDistinct("player").alias("players"), F.sum("value").alias("total"), F.count("text").alias("texts"))
+
+
+def bet_parts_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest version of every leg, by operator, bet and part."""
+    leg = _read(spark, sf_dir, "lineitem").selectExpr("l_suppkey % 3 as operator", "l_orderkey % 50 as bet_pk", "l_linenumber as part_id", "l_shipdate as created", "l_orderkey as row_id", "l_quantity as odds")
+    return versions.latest_wins(leg, ["operator", "bet_pk", "part_id"], ["created"], ["row_id", "odds"]).select("operator", "bet_pk", "part_id", "row_id", "odds")
+
+
+_SCHEMA = {"id0": "Int", "Amount": "Decimal|null", "day": "date|dateTimeUTC", "flag": "boolean|null|optional", "note": "stringMedium", "extra": "UID|optional"}
+
+
+def _raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _read(spark, sf_dir, "orders").selectExpr(
+        "concat(o_orderkey, '.0') as ID0",
+        "case o_orderkey % 5 when 0 then ' ' when 1 then 'much' else cast(cast(o_totalprice as decimal(18,2)) as string) end as amount",
+        "case o_orderkey % 3 when 0 then date_format(o_orderdate, 'yyyy/MM/dd') when 1 then 'soon' else '' end as day",
+        "case o_orderkey % 4 when 0 then ' TRUE' when 1 then '0' else 'NaN' end as flag",
+        "concat(' n', o_orderkey % 7, ' ') as note",
     )
 
 
+def cleaned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.clean_table(_raw_orders(spark, sf_dir), _SCHEMA)
+
+
+def cleaning_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.violations(_raw_orders(spark, sf_dir), _SCHEMA)
+
+
+def _tenant_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _read(spark, sf_dir, "orders").selectExpr("o_orderkey as id0", "case o_orderkey % 6 when 0 then 'N/A' when 1 then null else cast(o_custkey as string) end as Transaction_Amount", "case when o_orderkey % 4 = 0 then ' ' else '7' end as game_session_rounds_won")
+
+
+def tenant_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = cleaning.tenant_filtered(_tenant_rows(spark, sf_dir), "b", "transactions")
+    return out.groupBy("game_session_rounds_won").agg(F.count("*").alias("n"), F.count("Transaction_Amount").alias("amounts"))
+
+
+def tenant_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.tenant_report(_tenant_rows(spark, sf_dir), "b", "transactions")
+
+
+def risk_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return FeatureContext.of(spark, sf_dir).per_player("var10j")
+
+
+def modelling_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two periods, the activity flag, a target and the statistics of one operator."""
+    ctx, before = FeatureContext.of(spark, sf_dir), FeatureContext.of(spark, sf_dir, EARLIER)
+    lookup = versions.last_status(ctx.tables["prof"], [CUTOFFS[1]])
+    return merging.merged_scenario([ctx.feature("f1"), before.feature("f1")], ctx.feature("self_exclusion_y"), "y_self_exclusion", lookup, [stats_row(ctx.feature("f1"))])
+
+
+def folds_with_both_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """People per fold and class: sizes that differ by one at most."""
+    y = FeatureContext.of(spark, sf_dir).feature("self_exclusion_y").filter("y_self_exclusion is not null")
+    rows = merging.stratified_folds(y.withColumn("key", F.col("player").cast("string")), "key", "y_self_exclusion", 4)
+    return rows.groupBy("y_self_exclusion").agg(F.count("*").alias("people"), F.countDistinct("fold").alias("folds")).select("y_self_exclusion", "people", "folds")
+
+
 def cleaned_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw spellings made from the orders, read back leniently."""
     raw = _read(spark, sf_dir, "orders").selectExpr(
@@ -195,9 +256,13 @@ def json_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def monthly_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows per month of the sorted layout, as written."""
-    orders = _read(spark, sf_dir, "orders")
-    return orders.groupBy(F.coalesce(F.date_format("o_orderdate", "yyyy_MM"), F.lit("none")).alias("ym")).agg(F.count("*").alias("n"), F.date_format(F.min("o_orderdate"), "yyyy-MM-dd").alias("first_day"), F.date_format(F.max("o_orderdate"), "yyyy-MM-dd").alias("last_day"))
+    """Rows per month of the sorted layout, as written and read back."""
+    import uuid
+
+    path = f"{shared_folder(spark)}/wagerlens/monthly-{uuid.uuid4().hex}"
+    versions.write_monthly(_read(spark, sf_dir, "orders"), "o_orderdate", path, ["o_orderkey"])
+    back = spark.read.parquet(path)
+    return back.groupBy(F.col("ym").cast("string").alias("ym")).agg(F.count("*").alias("n"), F.date_format(F.min("o_orderdate"), "yyyy-MM-dd").alias("first_day"), F.date_format(F.max("o_orderdate"), "yyyy-MM-dd").alias("last_day"))
 
 
 def model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -205,10 +270,13 @@ def model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     ctx = FeatureContext.of(spark, sf_dir)
     y = ctx.feature("self_exclusion_y").filter("y_self_exclusion is not null")
     rows = y.join(ctx.feature("f0"), "player", "left").join(ctx.feature("f1"), "player", "left").join(ctx.feature("var10i"), "player", "left")
-    rows = merging.person_folds(rows.withColumn("key", F.col("player").cast("string")), "key", 2).na.fill(0).cache()
+    import uuid
+
+    path = f"{shared_folder(spark)}/wagerlens/model-{uuid.uuid4().hex}"
+    merging.person_folds(rows.withColumn("key", F.col("player").cast("string")), "key", 2).na.fill(0).write.parquet(path)  # read by every trial
+    rows = spark.read.parquet(path)
     grid = modelling.expand_grid({"model": "logistic", "maxIter": 5, "regParam": [0.1, 1.0]})
     trials = modelling.cross_validate(rows, ["f0_net_winloss", "f1_active_days", "var10i_mean_balance"], "y_self_exclusion", grid, folds=2)
-    rows.unpersist()
     return spark.createDataFrame([(t["model"], float(t["regParam"]), round(t["areaUnderROC_mean"], 6)) for t in trials], "model string, reg_param double, auc double")
 
 
@@ -216,7 +284,6 @@ def streamed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly counts by a stream over the events that ends when its input does."""
     import uuid
 
-    from wagerlens.plans.engine import shared_folder
     from wagerlens.streaming.events import deduplicated, windowed
 
     source = _read(spark, sf_dir, "events")
@@ -236,6 +303,47 @@ def streamed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return last.select(F.date_format("window_start", "yyyy-MM-dd HH:mm").alias("hour_start"), "type", "last.n", F.round("last.amount", 6).alias("amount"))
 
 
+def _outlier_bins_sql() -> str:
+    """Bins level by level, in the words of the rules."""
+    day, hour, minute = 86_400_000_000, 3_600_000_000, 60_000_000
+    parts = [
+        f"m AS (SELECT DISTINCT player, us // {day} AS day, us // {hour} AS hour, us // {minute} AS minute FROM tx)",
+        "d AS (SELECT day, CAST(count(DISTINCT player) AS DOUBLE) AS p FROM m GROUP BY day)",
+        "dm AS (SELECT median(p) AS med FROM d)",
+        "dd AS (SELECT median(abs(p - med)) AS mad FROM d, dm)",
+        "ds AS (SELECT day, round(0.6745 * (p - med) / if(mad = 0, 1, mad), 6) AS score FROM d, dm, dd)",
+        "h AS (SELECT day, hour, count(DISTINCT player) AS p FROM m GROUP BY ALL)",
+        "mi AS (SELECT day, hour, minute, count(DISTINCT player) AS p FROM m GROUP BY ALL)",
+    ]
+    rows = []
+    for label, low, high, factor in _BANDS:
+        top = "" if high is None else f" AND score <= {high}"
+        parts += [
+            f"d{label} AS (SELECT day FROM ds WHERE score > {low}{top})",
+            f"h{label} AS (SELECT day, hour FROM h a WHERE day IN (SELECT day FROM d{label}) AND p > {factor} * (SELECT avg(p) FROM h b WHERE b.day = a.day))",
+            f"m{label} AS (SELECT day, hour, minute FROM mi a WHERE hour IN (SELECT hour FROM h{label}) AND p > {_MINUTES} * (SELECT avg(p) FROM mi b WHERE b.hour = a.hour))",
+        ]
+        rows += [
+            f"SELECT {label} AS label, 'minute' AS level, minute AS bin FROM m{label}",
+            f"SELECT {label}, 'hour', hour FROM h{label} WHERE hour NOT IN (SELECT hour FROM m{label})",
+            f"SELECT {label}, 'day', day FROM d{label} WHERE day NOT IN (SELECT day FROM h{label})",
+        ]
+    return ", " + ", ".join(parts) + ", bins AS (" + " UNION ALL ".join(rows) + ")"
+
+
+def _outlier_labels_sql() -> str:
+    return _outlier_bins_sql() + """,
+        touched AS (SELECT if(level = 'day', bin, if(level = 'hour', bin // 24, bin // 1440)) AS day FROM bins),
+        per AS (SELECT us // 2592000000000 AS month, us // 86400000000 AS day, us % 86400000000 // 60000000 AS mod, CAST(count(DISTINCT player) AS DOUBLE) AS p FROM tx WHERE us // 86400000000 NOT IN (SELECT day FROM touched) GROUP BY ALL),
+        usual AS (SELECT month, mod, median(p) AS u FROM per GROUP BY ALL),
+        um AS (SELECT month, median(u) AS med FROM usual GROUP BY month),
+        ud AS (SELECT month, median(abs(u - med)) AS mad FROM usual JOIN um USING (month) GROUP BY month),
+        again AS (SELECT month, mod FROM usual JOIN um USING (month) JOIN ud USING (month) WHERE round(0.6745 * (u - med) / if(mad = 0, 1, mad), 6) > 1.0),
+        marked AS (SELECT coalesce((SELECT max(label) FROM bins WHERE level = 'day' AND bin = us // 86400000000 OR level = 'hour' AND bin = us // 3600000000 OR level = 'minute' AND bin = us // 60000000),
+            if((us // 2592000000000, us % 86400000000 // 60000000) IN (SELECT (month, mod) FROM again), 3, 0)) AS outlier_label FROM tx)
+        SELECT outlier_label, count(*) AS n FROM marked GROUP BY outlier_label"""
+
+
 _OPERATORS: dict[str, tuple[Query, str | None]] = {
     "dedup_transactions": (
         dedup_transactions,
@@ -268,8 +376,48 @@ _OPERATORS: dict[str, tuple[Query, str | None]] = {
         _with(("tx",), """SELECT month, day, hour, count(DISTINCT player) AS players FROM (SELECT player, CAST(floor(us / 2592000000000) AS BIGINT) AS month, CAST(floor(us / 86400000000) AS BIGINT) AS day, CAST(floor(us / 3600000000) AS BIGINT) AS hour FROM tx)
         GROUP BY GROUPING SETS ((month), (month, day), (month, day, hour))"""),
     ),
-    "outlier_bins": (outlier_bins, None),
-    "outlier_labels": (outlier_labels, None),
+    "outlier_bins": (outlier_bins, _with(("tx",), _outlier_bins_sql() + " SELECT label, level, bin FROM bins")),
+    "outlier_labels": (outlier_labels, _with(("tx",), _outlier_labels_sql())),
+    "json_transactions": (
+        json_transactions,
+        """WITH e AS (SELECT 't' || (o_orderkey % 500) AS tx_id, o_custkey, o_orderkey FROM orders WHERE o_orderkey % 4 < 2 UNION ALL SELECT 'u' || o_orderkey, o_custkey, o_orderkey FROM orders WHERE o_orderkey % 4 = 0)
+        SELECT tx_id, CAST(arg_min(o_custkey, o_orderkey) AS VARCHAR) AS player FROM e GROUP BY tx_id""",
+    ),
+    "limit_union": (limit_union, _with(("lim",), "SELECT kind, coalesce(span, 'none') AS span, count(*) AS n, count(DISTINCT player) AS players, sum(value) AS total, count(*) FILTER (kind = 'GAME_TYPE') AS texts FROM lim GROUP BY ALL")),
+    "bet_parts_once": (
+        bet_parts_once,
+        """SELECT l_suppkey % 3 AS operator, l_orderkey % 50 AS bet_pk, l_linenumber AS part_id, r.row_id, r.odds FROM (SELECT l_suppkey, l_orderkey, l_linenumber, {'row_id': l_orderkey, 'odds': l_quantity} AS r,
+        row_number() OVER (PARTITION BY l_suppkey % 3, l_orderkey % 50, l_linenumber ORDER BY l_shipdate DESC, l_orderkey DESC, l_quantity DESC) AS k FROM lineitem) WHERE k = 1""",
+    ),
+    "cleaned_table": (
+        cleaned_table,
+        """SELECT CAST(o_orderkey AS VARCHAR) AS id0, CASE o_orderkey % 5 WHEN 0 THEN NULL WHEN 1 THEN 'much' ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) END AS amount,
+        CASE o_orderkey % 3 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN 'soon' END AS day, CASE o_orderkey % 4 WHEN 0 THEN 'true' WHEN 1 THEN 'false' END AS flag, 'n' || (o_orderkey % 7) AS note FROM orders""",
+    ),
+    "cleaning_violations": (
+        cleaning_violations,
+        """WITH c AS (SELECT count(*) FILTER (o_orderkey % 5 = 1) AS much, count(*) FILTER (o_orderkey % 3 = 1) AS soon, count(*) FILTER (o_orderkey % 3 = 2) AS gone FROM orders)
+        SELECT 'id0' AS name, false AS absent, CAST(0 AS BIGINT) AS missing, CAST(0 AS BIGINT) AS unreadable, 'none' AS severity UNION ALL SELECT 'amount', false, 0, much, 'warning' FROM c UNION ALL SELECT 'day', false, gone, soon, 'warning' FROM c
+        UNION ALL SELECT 'flag', false, 0, 0, 'none' UNION ALL SELECT 'note', false, 0, 0, 'none' UNION ALL SELECT 'extra', true, 0, 0, 'warning'""",
+    ),
+    "tenant_rules": (tenant_rules, "SELECT if(o_orderkey % 4 = 0, '0', '7') AS game_session_rounds_won, count(*) AS n, count(*) AS amounts FROM orders WHERE o_orderkey % 6 > 1 GROUP BY 1"),
+    "tenant_audit": (
+        tenant_audit,
+        """WITH c AS (SELECT count(*) AS n, count(*) FILTER (o_orderkey % 6 < 2) AS a, count(*) FILTER (o_orderkey % 4 = 0) AS b FROM orders)
+        SELECT 'drop' AS rule, 'transaction_amount' AS column, a AS n, round(a / n, 6) AS share, a / n > 0.1 AS too_many FROM c UNION ALL SELECT 'fill', 'game_session_rounds_won', b, round(b / n, 6), false FROM c""",
+    ),
+    "var10j": (risk_classes, "SELECT o_custkey AS player, CAST(bool_or(o_orderkey % 4 = 2) AS BIGINT) AS var10j_rg_HIGH, CAST(bool_or(o_orderkey % 4 = 1) AS BIGINT) AS var10j_rg_LOW, CAST(bool_or(o_orderkey % 4 = 0) AS BIGINT) AS var10j_rg_NO_RISK FROM orders WHERE o_orderkey % 4 < 3 GROUP BY 1"),
+    "modelling_rows": (
+        modelling_rows,
+        f"""WITH now AS ({oracle('f1')}), past AS ({oracle('f1', EARLIER)}), y AS ({oracle('self_exclusion_y')}), st AS ({_with(('prof',), f"SELECT player, arg_max(status, (modified_us, pk)) AS status FROM prof WHERE modified_us < {CUTOFFS[1]} GROUP BY player")}),
+        c AS (SELECT round(avg(f1_active_days), 6) AS a, round(stddev_samp(f1_active_days), 6) AS b, CAST(min(f1_active_days) AS DOUBLE) AS d, CAST(max(f1_active_days) AS DOUBLE) AS e FROM now)
+        SELECT n.player, n.f1_active_days AS p0_f1_active_days, p.f1_active_days AS p1_f1_active_days, coalesce(st.status NOT IN ('SELF_EXCLUDED_TEMP', 'SELF_EXCLUDED_INDEF', 'SUSPENDED_DEATH', 'BLOCKED'), false) AS active_flag, y.y_self_exclusion,
+        a AS p0_stats_f1_active_days_mean, b AS p0_stats_f1_active_days_std, d AS p0_stats_f1_active_days_min, e AS p0_stats_f1_active_days_max FROM now n JOIN past p ON n.player = p.player LEFT JOIN st ON n.player = st.player LEFT JOIN y ON n.player = y.player, c""",
+    ),
+    "folds_with_both_classes": (
+        folds_with_both_classes,
+        f"SELECT y_self_exclusion, count(*) AS people, least(4, count(*)) AS folds FROM ({oracle('self_exclusion_y')}) WHERE y_self_exclusion IS NOT NULL GROUP BY 1",
+    ),
     "bulk_import_hours": (
         bulk_import_hours,
         _with(("tx",), """, d AS (SELECT CAST(floor(us / 86400000000) AS BIGINT) AS day, count(*) AS n FROM tx GROUP BY 1), m AS (SELECT median(n) AS med FROM d), a AS (SELECT median(abs(n - med)) AS mad FROM d, m),
@@ -310,9 +458,10 @@ _OPERATORS: dict[str, tuple[Query, str | None]] = {
     ),
     "threshold_metrics": (
         threshold_metrics,
-        """WITH s AS (SELECT n_chars % 97 AS score, quality AS y FROM labels JOIN documents USING (doc_id)), t AS (SELECT DISTINCT score FROM s)
-        SELECT t.score, CAST(sum(CASE WHEN s.score >= t.score THEN y ELSE 0 END) AS BIGINT) AS tp, CAST(sum(CASE WHEN s.score >= t.score THEN 1 - y ELSE 0 END) AS BIGINT) AS fp,
-        CAST(sum(CASE WHEN s.score < t.score THEN y ELSE 0 END) AS BIGINT) AS fn, CAST(sum(CASE WHEN s.score < t.score THEN 1 - y ELSE 0 END) AS BIGINT) AS tn FROM t, s GROUP BY t.score""",
+        """WITH s AS (SELECT round(n_chars % 97 / 97, 4) AS score, CAST(quality AS DOUBLE) AS y FROM labels JOIN documents USING (doc_id)), t AS (SELECT DISTINCT score AS threshold FROM s),
+        c AS (SELECT threshold, sum(y) FILTER (score >= threshold) AS tp, count(*) FILTER (score >= threshold) - sum(y) FILTER (score >= threshold) AS fp, coalesce(sum(y) FILTER (score < threshold), 0) AS fn, count(*) FILTER (score < threshold) - coalesce(sum(y) FILTER (score < threshold), 0) AS tn FROM t, s GROUP BY threshold)
+        SELECT threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, CAST(fn AS BIGINT) AS fn, CAST(tn AS BIGINT) AS tn, round(tp / nullif(tp + fn, 0), 6) AS sensitivity, round(tn / nullif(tn + fp, 0), 6) AS specificity, round(tp / nullif(tp + fp, 0), 6) AS ppv, round(tn / nullif(tn + fn, 0), 6) AS npv,
+        round(2 * tp / nullif(2 * tp + fp + fn, 0), 6) AS f1, round((tp * tn - fp * fn) / nullif(sqrt((tp + fp) * (tp + fn) * (tn + fp) * (tn + fn)), 0), 6) AS mcc, round(tp / nullif(tp + fn, 0) + tn / nullif(tn + fp, 0) - 1, 6) AS youden FROM c""",
     ),
     "cleaned_values": (
         cleaned_values,
@@ -329,13 +478,6 @@ _OPERATORS: dict[str, tuple[Query, str | None]] = {
     "monthly_layout": (monthly_layout, "SELECT strftime(o_orderdate, '%Y_%m') AS ym, count(*) AS n, strftime(min(o_orderdate), '%Y-%m-%d') AS first_day, strftime(max(o_orderdate), '%Y-%m-%d') AS last_day FROM orders GROUP BY 1"),
 }
 
-_SCENARIO_COLUMNS = {
-    "core": {"f0": ["f0_net_winloss"], "f1": ["f1_active_days"], "f2": ["f2_net_loss_per_day"], "f3": ["f3_total_wagered"], "f4": ["f4_average_wager_per_day"], "f6": ["f6_age"], "f7": ["f7_rtp_deviation"], "f8": ["f8_interactions_per_day"], "f9": ["f9_big_wins_per_day"], "f10": ["f10_canceled_withdrawals_per_day"]},
-    "balance_probe": {"f0": ["f0_net_winloss"], "f26": ["f26_balance_drop_frequency"]},
-    "flexible": {"flexible_x": ["x_deposits", "x_active_days", "x_deposit_variance", "x_withdrawn_less_deposited"], "self_exclusion_y": ["y_self_exclusion"]},
-}
-
-
 def _feature(name: str) -> Query:
     return lambda spark, sf_dir: FeatureContext.of(spark, sf_dir).feature(name)
 
@@ -346,13 +488,13 @@ def _scenario(name: str) -> Query:
 
 def queries() -> dict[str, Query]:
     out = {k: _feature(k) for k in FEATURES}
-    out |= {f"scenario_{k}": _scenario(k) for k in [*_SCENARIO_COLUMNS, "production", "basic"]}
+    out |= {f"scenario_{k}": _scenario(k) for k in SCENARIOS}
     return out | {k: q for k, (q, _) in _OPERATORS.items()}
 
 
 def oracle_sql() -> dict[str, str]:
     out = {k: oracle(k) for k in FEATURES}
-    out |= {f"scenario_{k}": oracle_scenario(k, columns) for k, columns in _SCENARIO_COLUMNS.items()}
+    out |= {f"scenario_{k}": oracle_scenario(k) for k in SCENARIOS}
     return out | {k: sql for k, (_, sql) in _OPERATORS.items() if sql}
 
 

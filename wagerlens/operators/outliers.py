@@ -17,9 +17,9 @@ def robust_scores(df: DataFrame, value: str, by: list[str] | None = None) -> Dat
     """Adds med, mad and score of ``value``, over all rows or within ``by``."""
     keys = by or []
     med = df.groupBy(*keys).agg(F.median(value).alias("med"))
-    joined = df.join(F.broadcast(med), keys) if keys else df.crossJoin(F.broadcast(med))  # one row
+    joined = df.join(med, keys) if keys else df.crossJoin(F.broadcast(med))  # one row; keyed medians join as their size has it
     mads = joined.groupBy(*keys).agg(F.median(F.abs(F.col(value) - F.col("med"))).alias("mad"))
-    joined = joined.join(F.broadcast(mads), keys) if keys else joined.crossJoin(F.broadcast(mads))
+    joined = joined.join(mads, keys) if keys else joined.crossJoin(F.broadcast(mads))
     scale = F.when(F.col("mad") == 0, 1.0).otherwise(F.col("mad"))
     return joined.withColumn("score", F.round(0.6745 * (F.col(value) - F.col("med")) / scale, 6))
 
@@ -70,17 +70,29 @@ def label_bins(df: DataFrame, us: str = "extracted_us", player: str = "player",
     return out
 
 
-def recurring_minutes(df: DataFrame, us: str = "extracted_us", player: str = "player", score: float = 8.0) -> DataFrame:
-    """(month, minute_of_day): minutes whose median of distinct players over days stands out in their month."""
-    per_day = (
-        df.filter(F.col(us).isNotNull())
-        .groupBy(F.floor(F.col(us) / (30 * DAY)).cast("long").alias("month"), F.floor(F.col(us) / DAY).cast("long").alias("day"), F.floor((F.col(us) % DAY) / MINUTE).cast("long").alias("minute_of_day"))
-        .agg(F.countDistinct(player).alias("players"))
-    )
+def touched_days(bins: DataFrame) -> DataFrame:
+    """Days in which any labelled day, hour or minute lies."""
+    per = F.when(F.col("level") == "day", F.col("bin")).when(F.col("level") == "hour", F.floor(F.col("bin") / 24)).otherwise(F.floor(F.col("bin") / 1440))
+    return bins.select(per.cast("long").alias("day")).distinct()
+
+
+def recurring_minutes(df: DataFrame, us: str = "extracted_us", player: str = "player", score: float = 8.0, touched: DataFrame | None = None) -> DataFrame:
+    """(month, minute_of_day): minutes whose median of distinct players over days stands out in
+    their month; ``touched`` days, those with other labels, are left out."""
+    rows = df.filter(F.col(us).isNotNull()).select(player, F.floor(F.col(us) / (30 * DAY)).cast("long").alias("month"), F.floor(F.col(us) / DAY).cast("long").alias("day"), F.floor((F.col(us) % DAY) / MINUTE).cast("long").alias("minute_of_day"))
+    if touched is not None:
+        rows = rows.join(touched, "day", "left_anti")
+    per_day = rows.groupBy("month", "day", "minute_of_day").agg(F.countDistinct(player).alias("players"))
     usual = per_day.groupBy("month", "minute_of_day").agg(F.median("players").alias("usual"))
     return robust_scores(usual, "usual", ["month"]).filter(F.col("score") > score).select("month", "minute_of_day")
 
 
+def label_times(df: DataFrame, us: str = "extracted_us", player: str = "player", bands=((1, 70.0, None, 10.0), (2, 20.0, 70.0, 5.0)), minute_factor: float = 5.0, score: float = 8.0) -> DataFrame:
+    """The whole job: labels 1 and 2 by bins, label 3 on the days that those don't touch, then every row's label."""
+    bins = label_bins(df, us, player, bands, minute_factor)
+    return labelled(df, bins, recurring_minutes(df, us, player, score, touched_days(bins)), us)
+
+
 def labelled(df: DataFrame, bins: DataFrame, recurring: DataFrame, us: str = "extracted_us") -> DataFrame:
     """Adds outlier_label: 3 for recurring minutes, over it 1, over it 2 from bins; else 0."""
     out = df.withColumns({n: F.floor(F.col(us) / w).cast("long") for n, w in (("__day", DAY), ("__hour", HOUR), ("__minute", MINUTE), ("__month", 30 * DAY))}).withColumn("__mod", F.floor((F.col(us) % DAY) / MINUTE).cast("long"))

@@ -16,6 +16,16 @@ def summary(df: DataFrame, leave: tuple[str, ...] = ("player",)) -> DataFrame:
     return df.agg(F.array(*each).alias("rows")).select(F.inline("rows"))
 
 
+def described(df: DataFrame, by: list[str], column: str, other: str | None = None) -> DataFrame:
+    """Per group: rows, mean, deviation and exact quartiles of a column, and its correlation with another."""
+    x = F.col(column)
+    picks = [F.count("*").alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), *(F.percentile(x, F.lit(q)).alias(n) for n, q in (("q1", 0.25), ("q2", 0.5), ("q3", 0.75)))]
+    if other:
+        picks.append(F.corr(x, F.col(other).cast("double")).alias(f"corr_{other}"))
+    out = df.groupBy(*by).agg(*picks)
+    return out.select(*by, "n", *(F.round(c, 6).alias(c) for c in out.columns if c not in (*by, "n")))
+
+
 def target_balance(df: DataFrame, target: str) -> DataFrame:
     return df.groupBy(target).agg(F.count("*").alias("n"))
 

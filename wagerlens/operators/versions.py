@@ -49,3 +49,26 @@ def active_flag(features: DataFrame, lookup: DataFrame, inactive: tuple[str, ...
     """Adds ACTIVE_FLAG: whether the last known status is one of play; unknown players aren't active."""
     flagged = lookup.select("player", (~F.col("last_status").isin(*inactive)).alias("active_flag"))
     return features.join(flagged, "player", "left").withColumn("active_flag", F.coalesce("active_flag", F.lit(False)))
+
+
+def only_active(df: DataFrame, flag: str = "active_flag") -> DataFrame:
+    """Rows whose flag isn't false; an unknown flag stays."""
+    return df.filter(F.coalesce(F.col(flag), F.lit(True)))
+
+
+#: Column that each table is laid out by; tables without one are copied as they stand.
+SORT_COLUMNS = {"tx": "ts", "bet": "us", "ses": "us", "prof": "modified_us", "lim": "us"}
+
+
+def audited_monthly(df: DataFrame, ts: str, path: str, ties: list[str] | None = None) -> dict[str, int]:
+    """``write_monthly`` and a count: rows written must be rows read, and no month may be out of order."""
+    spark = df.sparkSession
+    write_monthly(df, ts, path, ties)
+    rows_in, back = df.count(), spark.read.parquet(path)
+    rows_out = back.count()
+    if rows_in != rows_out:
+        raise ValueError(f"{rows_in} rows in, {rows_out} out")
+    strange = back.filter((F.col("ym") != "none") & (F.col("ym") != F.date_format(ts, "yyyy_MM"))).count()
+    if strange:
+        raise ValueError(f"{strange} rows stand in a month that isn't theirs")
+    return {"rows": rows_out, "months": back.select("ym").distinct().count()}

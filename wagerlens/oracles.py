@@ -112,7 +112,7 @@ _BODIES: dict[str, tuple[tuple[str, ...], str]] = {
         FROM refs r JOIN bets b USING (operator, bet_id) JOIN moved m ON m.player = r.player AND m.tx_id = r.tx_id AND m.operator = r.operator GROUP BY ALL),
     closed AS (SELECT o.operator, o.player, o.placed, coalesce(o.void_at, CASE WHEN l.status = 'BET_SETTLED' THEN o.settled END) AS ended FROM outcome o LEFT JOIN last_ l USING (operator, bet_id) WHERE stake AND NOT out_),
     waits AS (SELECT player, (SELECT min(o.placed) FROM outcome o WHERE o.operator = c.operator AND o.player = c.player AND o.stake AND o.placed >= {x0} AND o.placed > c.ended) - ended AS wait FROM closed c WHERE ended >= placed AND ended >= {x0})
-    SELECT player, round((SELECT median(wait / 1e6) FROM waits w WHERE w.player = p.player), 6) AS f51_median_seconds_loss_to_next_bet FROM (SELECT DISTINCT player FROM bet_link) p""",
+    SELECT player, (SELECT median(CAST(wait AS DOUBLE)) FROM waits w WHERE w.player = p.player) / 1e6 AS f51_median_seconds_loss_to_next_bet FROM (SELECT DISTINCT player FROM bet_link) p""",
     ),
     "flexible_x": (("tx", "prof"), _windowed("x", "{x0}", "{x1}", True)),
     "april_may": (("tx", "prof"), _windowed("x_am", _us(date(2025, 4, 1)), _us(date(2025, 6, 1)), False)),

@@ -28,21 +28,39 @@ UNKNOWN = ("f25", "f26", "f27", "f28", "f44", "f45", "f48", "f51")
 
 _CORE = ["f0", "f1", "f2", "f3", "f4", "f6", "f7", "f8", "f9", "f10"]
 _WIDE = [k for k in FEATURES if k[0] == "f" and k[1:].isdigit()]
-_BASIC = [k for k in FEATURES if k.startswith("var")]
+_BASIC = [*(k for k in FEATURES if k.startswith("var")), "var10j"]
+_MORE = ["f11", "f12", "f14", "f15"]
+_AMOUNTS = ["f0", "f1", "f3", "f2", "f4", "f8", *_MORE]
+_ACCOUNTS = ["nr_of_bank_accounts", "nr_of_risk_classes"]
 #: Named lists of features.
 SCENARIOS: dict[str, list[str]] = {
-    "amounts": ["transaction_amount_sum", "transaction_amount_sum_in_games"],
+    "legacy_1": ["avg_nr_of_game_transactions"],
+    "legacy_2": ["transaction_amount_sum", "transaction_amount_sum_in_games"],
+    "legacy_3": ["transaction_amount_sum", "transaction_amount_sum_in_games", "time_eas"],
+    "legacy_4": [*_ACCOUNTS, "latest_limits"],
+    "legacy_5": ["avg_nr_of_game_transactions", "avg_nr_of_bet_parts_per_bet", "latest_limits"],
+    "legacy_6": [*_ACCOUNTS, "avg_nr_of_game_transactions", "avg_nr_of_bet_parts_per_bet", "latest_limits", "complaint_variance"],
+    "local_test": [*_ACCOUNTS, "avg_nr_of_game_transactions", "latest_limits", "complaint_variance", "ever_excluded"],
+    "tenant_b": [*_ACCOUNTS, "latest_limits", "complaint_variance", "transactions", "ever_excluded"],
+    "transactions_and_target": ["transactions", "ever_excluded"],
+    "monthly_target": ["monthly_exclusion"],
+    "two_months": ["april_may", "june_july"],
     "target_only": ["self_exclusion_y"],
     "flexible": ["flexible_x", "self_exclusion_y"],
-    "core": _CORE,
-    "core_suspensions": [*_CORE, "f25"],
     "balance_probe": ["f0", "f26"],
-    "unknown_probe": ["f25", "f26", "f27", "f28", "f44", "f45"],
+    "balance_probe_target": ["f0", "f26", "self_exclusion_y"],
+    "core": _CORE,
+    "core_target": [*_AMOUNTS, "self_exclusion_y"],
+    "core_suspensions": [*_AMOUNTS, "f25", "self_exclusion_y"],
     "production": [*_WIDE, "self_exclusion_y"],
+    "unknown_probe": ["f1", "f8", "f29", "f40", "f41", "f51"],
+    "stats_probe": ["f0", "f3", "f25", "f12", "f11"],
+    "stake_and_time": ["var1a", "var14", "self_exclusion_y"],
     "basic": _BASIC,
     "basic_target": [*_BASIC, "self_exclusion_y"],
-    "stake_and_time": ["var1a", "var3a", "var19"],
 }
+#: Features that aren't one row per player, in the form that a scenario takes them.
+_WIDENED = {"latest_limits": ("kind", ("BALANCE", "DEPOSIT", "LOGIN"), ("value", "span"))}
 
 
 def numbers(window: Window) -> dict[str, object]:
@@ -85,6 +103,22 @@ class FeatureContext:
     def of(cls, spark: SparkSession, sf_dir: str, window: Window = DEFAULT) -> FeatureContext:
         return cls(domain_tables(spark, sf_dir), window)
 
+    def one_hot(self, name: str, table: str, column: str, prefix: str) -> DataFrame:
+        """One column per value that the table holds: a pivot whose values are read first."""
+        values = [r[0] for r in self.tables[table].select(column).filter(F.col(column).isNotNull()).distinct().orderBy(column).collect()]  # classes
+        seen = self.tables[table].groupBy("player").pivot(column, values).agg(F.lit(1))
+        return seen.select("player", *(F.coalesce(F.col(f"`{v}`"), F.lit(0)).cast("long").alias(f"{prefix}{v}") for v in values))
+
+    def per_player(self, name: str, extra: dict[str, str] | None = None) -> DataFrame:
+        """The feature as one row per player."""
+        if name == "var10j":
+            return self.one_hot(name, "risk", "class", "var10j_rg_")
+        df = self.feature(name, extra)
+        if name not in _WIDENED:
+            return df
+        by, values, columns = _WIDENED[name]
+        return df.groupBy("player").agg(*(F.max(F.when(F.col(by) == v, F.col(c))).alias(f"{name}_{v.lower()}_{c}") for v in values for c in columns))
+
     def feature(self, name: str, extra: dict[str, str] | None = None) -> DataFrame:
         given = frozenset(self.tables)
         plans, body, base = compose(name, numbers(self.window), given=given, extra=extra)
@@ -115,10 +149,11 @@ class FeatureContext:
         Shared plans are staged, features over the same rows are one aggregation, and
         the frames meet on the player: a spine and left joins.
         """
-        keys = SCENARIOS[name]
+        pivots = [k for k in SCENARIOS[name] if k == "var10j"]
+        keys = [k for k in SCENARIOS[name] if k not in pivots]
         ctx = self.staged(keys)
         names, extra = fuse(keys)
-        frames = [ctx.feature(k, extra) for k in names]
+        frames = [ctx.per_player(k, extra) for k in [*names, *pivots]]
         spine = reduce(DataFrame.union, [f.select("player") for f in frames]).distinct()
         out = reduce(lambda a, b: a.join(b, "player", "left"), frames, spine)
         zero = [c for c, t in out.dtypes if c != "player" and t != "string" and not c.startswith(tuple(f"{u}_" for u in UNKNOWN))]
@@ -138,14 +173,30 @@ def oracle(name: str, window: Window = DEFAULT) -> str:
     return "WITH " + ",\n".join([*adapters, *([plans] if plans else [])]) + "\n" + body
 
 
-def oracle_scenario(name: str, columns: dict[str, list[str]], window: Window = DEFAULT) -> str:
-    """The scenario in DuckDB's SQL; ``columns`` names the columns of each feature."""
+def oracle_scenario(name: str, window: Window = DEFAULT) -> str:
+    """The scenario in DuckDB's SQL: every player that a feature knows, its columns beside each
+    other, unknown where ``UNKNOWN``, else 0."""
     keys = SCENARIOS[name]
-    subs = [f"q_{k} AS ({oracle(k, window)})" for k in keys]
+    subs = [f"q_{k} AS ({_oracle_per_player(k, window)})" for k in keys]
     spine = " UNION ".join(f"SELECT player FROM q_{k}" for k in keys)
-    picks = [c if k in UNKNOWN else f"coalesce({c}, 0) AS {c}" for k in keys for c in columns[k]]
     joins = " ".join(f"LEFT JOIN q_{k} USING (player)" for k in keys)
-    return "WITH " + ",\n".join(subs) + f", spine AS ({spine}) SELECT player, {', '.join(picks)} FROM spine {joins}"
+    # columns that stay as they are: those that may be unknown, and text
+    plain = "^(" + "|".join((*(f"{u}_" for u in UNKNOWN), "latest_limits_.*_span$", "y_1c_last_status$")) + ")"
+    kept = f"COLUMNS(lambda c: c <> 'player' AND regexp_matches(c, '{plain}')), " if {*UNKNOWN, "latest_limits", "ever_excluded"} & set(keys) else ""
+    others = f", coalesce(COLUMNS(lambda c: c <> 'player' AND NOT regexp_matches(c, '{plain}')), 0)" if set(keys) - set(UNKNOWN) else ""
+    return "WITH " + ",\n".join(subs) + f", spine AS ({spine}), wide AS (SELECT * FROM spine {joins}) SELECT player, {kept.removesuffix(', ')}{others if kept else others.removeprefix(', ')} FROM wide"
+
+
+def _oracle_per_player(name: str, window: Window) -> str:
+    if name == "var10j":
+        tables, classes = oracle_order(("risk",)), ("HIGH", "LOW", "NO_RISK")  # fixed values: the classes that the adapter makes
+        picks = ", ".join(f"CAST(bool_or(class = '{c}') AS BIGINT) AS var10j_rg_{c}" for c in classes)
+        return "WITH " + ", ".join(f"{b} AS ({ORACLE_CTES[b]})" for b in tables) + f" SELECT player, {picks} FROM risk GROUP BY player"
+    if name in _WIDENED:
+        by, values, columns = _WIDENED[name]
+        picks = ", ".join(f"max({c}) FILTER ({by} = '{v}') AS {name}_{v.lower()}_{c}" for v in values for c in columns)
+        return f"SELECT player, {picks} FROM ({oracle(name, window)}) GROUP BY player"
+    return oracle(name, window)
 
 
 def stats_row(df: DataFrame) -> DataFrame:

@@ -90,7 +90,7 @@ VIEWS: dict[str, str] = {
     "refills": """SELECT *, max(CASE WHEN ok THEN us END) OVER (PARTITION BY player ORDER BY us ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS ok_us
         FROM (SELECT *, deposits > 0 AND before < {least} AND falls_before > 0 AS ok FROM drops) d""",
     "fallen": """SELECT player, CAST(sum(fell) AS BIGINT) AS falls, CAST(coalesce(sum(CASE WHEN ok THEN deposits END), 0) AS BIGINT) AS refills,
-        median(CASE WHEN ok AND (ok_us IS NULL OR ok_us < fell_us) THEN (us - fell_us) / 1000000.0 END) AS seconds FROM refills GROUP BY player""",
+        median(CASE WHEN ok AND (ok_us IS NULL OR ok_us < fell_us) THEN CAST(us - fell_us AS DOUBLE) END) / 1e6 AS seconds FROM refills GROUP BY player""",
     # bet and session groups that a movement belongs to
     "linked": "SELECT player, tx_id, 'bet' AS kind, pk FROM bet_link UNION SELECT player, tx_id, 'ses' AS kind, pk FROM ses_link",
     "link_count": "SELECT player, tx_id, count(*) AS groups, min(kind) AS kind, min(pk) AS pk FROM linked GROUP BY player, tx_id",
@@ -249,7 +249,7 @@ FEATURES: dict[str, str] = {
         ELSE count_if(status IN ('SELF_EXCLUDED_TEMP', 'SELF_EXCLUDED_INDEF') AND (before IS NULL OR before NOT IN ('SELF_EXCLUDED_TEMP', 'SELF_EXCLUDED_INDEF'))) END AS f25_voluntary_suspensions FROM status_steps GROUP BY player""",
     "f26": f"SELECT f.player, {_r('b.falls / CAST(f.f1_active_days AS DOUBLE)')} AS f26_balance_drop_frequency FROM f1 f LEFT JOIN fallen b ON f.player = b.player",
     "f27": f"SELECT f.player, {_r('CASE WHEN b.falls > 0 THEN b.refills / CAST(f.f1_active_days AS DOUBLE) END')} AS f27_deposits_after_low_per_day FROM f1 f LEFT JOIN fallen b ON f.player = b.player",
-    "f28": f"SELECT player, {_r('seconds')} AS f28_median_seconds_low_to_deposit FROM fallen",
+    "f28": f"SELECT player, seconds AS f28_median_seconds_low_to_deposit FROM fallen",
     "f29": f"""SELECT f.player, {_r('nullif(s.n, 0) / CAST(f.f1_active_days AS DOUBLE)')} AS f29_sessions_per_day FROM f1 f LEFT JOIN (
         SELECT p.player, count(DISTINCT s.session_id) AS n FROM sesw s JOIN ses_player p ON s.pk = p.pk GROUP BY p.player) s ON f.player = s.player""",
     "f30": f"SELECT l.player, {_r('count(*) / CAST(count(DISTINCT s.session_id) AS DOUBLE)')} AS f30_avg_interactions_per_session FROM sesw s JOIN ses_link l ON s.pk = l.pk GROUP BY l.player",
@@ -274,16 +274,16 @@ FEATURES: dict[str, str] = {
     "f43": f"SELECT player, {_r('avg(CASE WHEN hour >= 16 THEN 1e0 ELSE 0e0 END)')} AS f43_evening_interaction_percentage FROM interaction_hours GROUP BY player",
     "f44": f"SELECT player, {_r('CASE WHEN unclear = 0 AND total > 0 THEN morning / total END')} AS f44_morning_stakes_percentage FROM net_stakes",
     "f45": f"SELECT player, {_r('CASE WHEN unclear = 0 AND total > 0 THEN evening / total END')} AS f45_evening_stakes_percentage FROM net_stakes",
-    "f46": f"""SELECT p.player, {_r('median(CASE WHEN b.extracted_us > b.us THEN (b.extracted_us - b.us) / 1000000.0 END)')} AS f46_median_seconds_bet_placed_to_resolved
+    "f46": f"""SELECT p.player, median(CASE WHEN b.extracted_us > b.us THEN CAST(b.extracted_us - b.us AS DOUBLE) END) / 1e6 AS f46_median_seconds_bet_placed_to_resolved
         FROM betw b JOIN bet_player p ON b.pk = p.pk WHERE upper(trim(b.status)) IN ('BET_SETTLED', 'BET_CANCELLED') GROUP BY p.player""",
-    "f47": f"SELECT p.player, {_r('median(({x1} - s.us) / 1000000.0)')} AS f47_median_seconds_session_start_to_period_end FROM sesw s JOIN ses_player p ON s.pk = p.pk GROUP BY p.player",
+    "f47": f"SELECT p.player, median(CAST({{x1}} - s.us AS DOUBLE)) / 1e6 AS f47_median_seconds_session_start_to_period_end FROM sesw s JOIN ses_player p ON s.pk = p.pk GROUP BY p.player",
     "f48": f"""SELECT player, {_r('sum(cashed) / CAST(count(*) AS DOUBLE)')} AS f48_percentage_bets_with_cashout FROM (
         SELECT l.player, b.bet_id, max(CASE WHEN b.status = 'BET_CANCELLED' THEN 1 ELSE 0 END) AS cancelled, max(CASE WHEN t.type = 'VOID_BET' THEN 1 ELSE 0 END) AS voided, max(CASE WHEN t.type = 'CASH_OUT' THEN 1 ELSE 0 END) AS cashed
         FROM betw b JOIN bet_link l ON b.pk = l.pk LEFT JOIN tx t ON l.tx_id = t.tx_id AND l.player = t.player AND t.status = 'SUCCESSFUL' GROUP BY l.player, b.bet_id) e WHERE cancelled = 0 AND voided = 0 GROUP BY player""",
     "f49": f"""SELECT p.player, {_r('avg(CASE WHEN g.live = 1 THEN 1e0 ELSE 0e0 END)')} AS f49_percentage_live_bets FROM betw b JOIN bet_player p ON b.pk = p.pk
         LEFT JOIN (SELECT pk, max(CASE WHEN lower(trim(live)) IN ('true', '1', 'yes', 'ja') THEN 1 ELSE 0 END) AS live FROM leg GROUP BY pk) g ON b.pk = g.pk GROUP BY p.player""",
     "f50": f"SELECT p.player, {_r('avg(CASE WHEN l.legs = 1 THEN 1e0 ELSE 0e0 END)')} AS f50_single_bet_percentage FROM bet_legs l JOIN first_bettor p ON l.pk = p.pk GROUP BY p.player",
-    "f51": f"""SELECT p.player, {_r('median((n.next_us - n.us) / 1000000.0)')} AS f51_median_seconds_loss_to_next_bet FROM (SELECT DISTINCT player FROM bet_link WHERE player IS NOT NULL) p
+    "f51": f"""SELECT p.player, median(CAST(n.next_us - n.us AS DOUBLE)) / 1e6 AS f51_median_seconds_loss_to_next_bet FROM (SELECT DISTINCT player FROM bet_link WHERE player IS NOT NULL) p
         LEFT JOIN (SELECT * FROM next_bets WHERE kind = 1 AND next_us IS NOT NULL) n ON p.player = n.player GROUP BY p.player""",
     "f52": """SELECT player, CASE WHEN count_if(later = 0) >= 5 AND count_if(later = 1) >= 5 AND avg(CASE WHEN later = 1 THEN stake END) >= 2 * avg(CASE WHEN later = 0 THEN stake END) THEN 1e0 ELSE 0e0 END AS f52_big_win_wager_increase_count
         FROM around_win WHERE k <= 10 GROUP BY player""",

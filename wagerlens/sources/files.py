@@ -68,3 +68,23 @@ def find_tables(names: list[str], tables: list[str]) -> dict[str, list[str]]:
 def requirements(columns: dict[str, dict[str, list[str]]]) -> list[tuple[str, str]]:
     """(table, column) that any of the features needs, each once."""
     return sorted({(t, c) for need in columns.values() for t, cs in need.items() for c in cs})
+
+
+def newest(spark: SparkSession, folder: str, pattern: str, by: str = "name") -> str | None:
+    """Path of the newest entry of a folder whose name matches: by its name (time stamps), or by ``by="time"``."""
+    here = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = here.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(here):
+        return None
+    found = [(natural_key(e.getPath().getName()) if by == "name" else e.getModificationTime(), str(e.getPath())) for e in fs.listStatus(here) if re.fullmatch(pattern, e.getPath().getName())]
+    return max(found)[1] if found else None
+
+
+def missing_tables(found: dict[str, list[str]], tables: list[str]) -> list[str]:
+    """Tables without a file."""
+    return [t for t in tables if not found.get(t)]
+
+
+def decimal_points(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Text with a decimal comma as text with a point, where it is a number."""
+    return df.withColumns({c: F.when(F.col(c).rlike(r"^-?\d+,\d+$"), F.replace(F.col(c), F.lit(","), F.lit("."))).otherwise(F.col(c)) for c in columns})

@@ -9,6 +9,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def swap_in(df: DataFrame, path: str) -> None:
+    """Write beside ``path`` and take its place only when the whole table is there.
+
+    ``df`` may read ``path`` itself. Readers see the old table, or for a moment none, never half of one.
+    """
+    jvm = df.sparkSession._jvm
+    new, old = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
+    df.write.parquet(new)
+    here, there, gone = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, new, old))
+    fs = here.getFileSystem(df.sparkSession._jsc.hadoopConfiguration())
+    if fs.exists(here) and not fs.rename(here, gone):
+        raise OSError(f"{path} can't be moved away")
+    if not fs.rename(there, here):
+        if fs.exists(gone):
+            fs.rename(gone, here)
+        raise OSError(f"{new} can't take the place of {path}")
+    if fs.exists(gone):
+        fs.delete(gone, True)
+
+
+def write_trials(trials: list[dict], path: str, spark: SparkSession, metric: str = "areaUnderPR_mean") -> dict:
+    """Results of a search, its best trial and a manifest; the best is returned."""
+    best = max(trials, key=lambda t: (t[metric] is not None and t[metric] == t[metric], t[metric] or 0.0))
+    rows = [(json.dumps(t, sort_keys=True),) for t in trials]
+    spark.createDataFrame(rows, "trial string").coalesce(1).write.mode("overwrite").text(f"{path}/results")
+    meta = {"id": uuid.uuid4().hex, "trials": len(trials), "metric": metric, "best": best}
+    spark.createDataFrame([(json.dumps(meta, sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
+    return best
+
+
 def write_features(df: DataFrame, path: str, kind: str = "parquet", key: str = "player") -> None:
     """One row per player (the first by all columns where a player repeats), as Parquet or CSV."""
     from pyspark.sql import Window
