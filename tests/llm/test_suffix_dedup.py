@@ -84,6 +84,7 @@ def test_equal_windows_have_equal_anchors():
 @pytest.mark.parametrize(("seed", "most"), [(0, 10**6), (1, 10**6), (2, 3), (3, 1)])
 def test_equals_brute_force(spark, monkeypatch, seed, most):
     monkeypatch.setattr(suffix_dedup, "GROUP_MOST", most)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", most % 1000 + 7)  # groups cross the edges of batches
     r = random.Random(seed)
     alphabet = ["a", "b", "é", "日", " ", "\0"][: r.choice([2, 4, 6])]
 
@@ -104,6 +105,7 @@ def test_equals_brute_force(spark, monkeypatch, seed, most):
     want = sorted(brute(sorted(rows)))
     df = spark.createDataFrame([(i, t, "s", 1, 2) for i, t in r.sample(rows, len(rows))], SCHEMA)
     got = remove_repeats(df, outputs=("n_bytes", "n_removed", "n_spans", "kept_sha256")).collect()
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert sorted(tuple(x) for x in got) == want
 
 
@@ -113,7 +115,7 @@ def test_what_repeats_once_is_found_by_the_merged_transforms_alone(spark):
     rows = [(k, t) for k, t in enumerate([*texts, *texts[:20], *(t[60:] + "end" for t in texts[20:])])]
     docs = spark.createDataFrame(rows, "ord long, text string")
     met = suffix_dedup._met(suffix_dedup._described(docs, 100), 100)
-    assert met.filter("key is null").count() == 0  # hashes settle nothing here
+    assert met.filter("key is null and ord1 is null").count() == 0  # hashes settle nothing here
     got = remove_repeats(docs.withColumnRenamed("ord", "doc_id"), outputs=("n_bytes", "n_removed", "n_spans", "kept_sha256")).collect()
     assert sorted(tuple(x) for x in got) == brute(rows) and sum(x.n_removed for x in got) > 10_000
 

@@ -8,15 +8,16 @@ in whole; what repeats is decided by merged transforms:
    inside it by a hash, leftmost of equal ones. The anchor depends on the window's bytes
    alone, so equal windows have equal anchors. The windows of one anchor start side by
    side; this run is the unit that moves, as two hashes, an id and a place (no text).
-2. Runs meet by anchor. Of equal runs the first two stand for all: the first is where
-   their strings start, and what the second repeats all further ones repeat. A run whose
-   anchor no other run has is done with.
-3. The bytes of the others are fetched and cut into pieces of up to ``PIECE`` windows,
-   which meet by a hash of the bytes that all windows of the piece hold; of equal pieces
-   again the first two stand for all. Where more than ``GROUP_MOST`` meet, each of their
-   windows is a piece of its own.
+2. Runs meet by anchor. Of equal runs the first two stand for all: what the second
+   repeats all further ones repeat. Second runs that stand side by side, as their first
+   ones do, make a pair of equal stretches. Of an anchor's runs that differ, the first of
+   each kind goes on; a run whose anchor no other run has is done with.
+3. Their bytes are fetched. A pair of stretches is a group of its own. Runs that differ
+   are cut into pieces of up to ``PIECE`` windows, which meet by a hash of the bytes that
+   all windows of the piece hold; of equal pieces again the first two stand for all.
+   Where more than ``GROUP_MOST`` meet, each of their windows is a piece of its own.
 4. Each batch of groups is dealt to shards with a Burrows-Wheeler transform each, equal
-   pieces to different ones; these are merged by interleave refinement (see ``bwt``),
+   strings to different ones; these are merged by interleave refinement (see ``bwt``),
    and the blocks after 100 symbols are the strings that occur more than once. All their
    places but the first are repeats.
 5. Repeats are united per document.
@@ -46,6 +47,8 @@ PIECE = 23
 BATCH_BYTES = 4_000_000
 #: Runs that a task holds before it passes them on.
 RUNS = 1_500_000
+#: Bytes of a stretch of equal runs.
+STRETCH = 1 << 16
 #: Bytes of pieces that one merge takes, and of one of its shards.
 MERGE_BYTES, SHARD_BYTES = 2_000_000, 500_000
 #: Pieces of a group beyond which its windows go apart.
@@ -197,19 +200,25 @@ def _buffers(texts: list[bytes], length: int, most: int = 1 << 22) -> Iterator[t
 
 
 def _met(described: DataFrame, length: int) -> DataFrame:
-    """Rows key, ord, start, end: the first two runs of each content of an anchor that several
-    runs have (``end``: their windows); and, with null key, the spans of further ones."""
-    schema = "key long, ord long, start long, end long"
+    """Runs met by anchor, of three kinds: the first run of each content of an anchor that has
+    several (key; ``end``: its windows); the second run of a content with the place of the
+    first (no key, ord1 and start1; ``end``: its windows); and the spans of further ones."""
+    schema = "key long, ord long, start long, end long, ord1 long, start1 long"
     sorted_ = described.repartition("key").sortWithinPartitions("key", "content", "ord", "start")
+    names = [x.split()[0] for x in schema.split(", ")]
+
+    def rows(key, ord_, start, end, ord1=None, start1=None) -> pa.RecordBatch:
+        n = len(ord_)
+        return pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()) if x is None else pa.array(x, pa.int64()) for x in (key, ord_, start, end, ord1, start1)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, seen = None, 0  # the last (key, content), and its rows so far
-        waiting = None  # the only run so far of the last key
+        last, seen, first = None, 0, (0, 0)  # the last (key, content), its rows so far, its first (ord, start)
+        waiting = None  # the first run of the last key, while the key has one content
         for batch in batches:
             told = np.asarray(batch.column(1).is_null())
             key, ord_, start, windows = (np.asarray(batch.column(k)) for k in (0, 2, 3, 4))
             if told.any():
-                yield _batch(key=pa.nulls(int(told.sum()), pa.int64()), ord=ord_[told], start=start[told], end=windows[told])
+                yield rows(None, ord_[told], start[told], windows[told])
             content = np.asarray(batch.column(1).fill_null(0))[~told]
             key, ord_, start, windows = (x[~told] for x in (key, ord_, start, windows))
             n = len(key)
@@ -218,46 +227,86 @@ def _met(described: DataFrame, length: int) -> DataFrame:
             at = np.arange(n)
             new_key = np.r_[last is None or key[0] != last[0], key[1:] != key[:-1]]
             new_class = new_key | np.r_[last is None or content[0] != last[1], content[1:] != content[:-1]]
-            place = at - np.maximum.accumulate(np.where(new_class, at, 0))
+            head = np.maximum.accumulate(np.where(new_class, at, 0))
+            place, ord1, start1 = at - head, ord_[head], start[head]
             if not new_class[0]:  # the last class runs on
                 ends = np.flatnonzero(new_class)
-                place[: int(ends[0]) if len(ends) else n] += seen
+                stop = int(ends[0]) if len(ends) else n
+                place[:stop] += seen
+                ord1[:stop], start1[:stop] = first
             group = np.cumsum(new_key)
-            several = (np.bincount(group) > 1)[group]
-            if not new_key[0]:  # the last key runs on: it has more than one run
-                several |= group == group[0]
-                if waiting is not None:
-                    yield _batch(**{k: np.array([v], dtype=np.int64) for k, v in zip(("key", "ord", "start", "end"), waiting, strict=True)})
+            classes = np.bincount(group, weights=new_class, minlength=int(group[-1]) + 1)
+            several = classes[group] > 1
+            if not new_key[0]:  # the last key runs on, with a class or more before
+                own = group == group[0]
+                several[own] = classes[group[0]] > 0 or (waiting is None and seen > 0)
+                if several[0] and waiting is not None:
+                    yield rows(*(np.array([x]) for x in waiting))
                     waiting = None
-            elif waiting is not None:
-                waiting = None  # it stayed alone
-            go = several & (place < 2)
+            else:
+                waiting = None
+            go = several & (place == 0)
             if go.any():
-                yield _batch(key=key[go], ord=ord_[go], start=start[go], end=windows[go])
-            again = place >= 2
+                yield rows(key[go], ord_[go], start[go], windows[go])
+            pair = place == 1
+            if pair.any():
+                yield rows(None, ord_[pair], start[pair], windows[pair], ord1[pair], start1[pair])
+            again = place > 1
             if again.any():
-                o, s, e = _spans(ord_[again], start[again], (start + windows + length - 1)[again])
-                yield _batch(key=pa.nulls(len(o), pa.int64()), ord=o, start=s, end=e)
-            if not several[-1]:
-                waiting = (key[-1], ord_[-1], start[-1], windows[-1])
-            last, seen = (key[-1], content[-1]), int(place[-1]) + 1
+                yield rows(None, *_spans(ord_[again], start[again], (start + windows + length - 1)[again]))
+            began = np.flatnonzero(new_key)
+            if len(began):  # the last key began here
+                i = int(began[-1])
+                waiting = None if several[-1] else (key[i], ord_[i], start[i], windows[i])
+            last, seen, first = (key[-1], content[-1]), int(place[-1]) + 1, (int(ord1[-1]), int(start1[-1]))
 
     return sorted_.mapInArrow(run, schema)
 
 
-def _pieces(docs: DataFrame, candidates: DataFrame, length: int) -> DataFrame:
-    """Rows pkey, piece, ord, start: the windows of the candidate runs, in pieces."""
+def _stretches(pairs: DataFrame, length: int) -> DataFrame:
+    """Rows pkey, ord, start, size: both sides of pairs of equal runs, joined where runs of the
+    second side stand side by side and their first ones do too."""
+    sorted_ = pairs.select("ord", "ord1", "start", "start1", F.col("end").alias("windows")).repartition("ord").sortWithinPartitions("ord", "ord1", "start")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:  # a stretch that is cut by a batch's edge is two
+            if not batch.num_rows:
+                continue
+            ord_, ord1, start, start1, windows = (np.asarray(c) for c in batch.columns)
+            new = np.ones(len(ord_), dtype=bool)
+            new[1:] = (ord_[1:] != ord_[:-1]) | (ord1[1:] != ord1[:-1]) | (start[1:] != (start + windows)[:-1]) | ((start1 - start)[1:] != (start1 - start)[:-1])
+            base = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+            new |= (start - start[base]) // STRETCH != np.r_[0, ((start - start[base]) // STRETCH)[:-1]]
+            at = np.flatnonzero(new)
+            end = np.r_[at[1:], len(new)] - 1
+            size = (start + windows)[end] - start[at] + length - 1
+            pkey = (mix(mix(ord_[at].view(np.uint64)) + start[at].view(np.uint64))).view(np.int64)
+            yield _batch(pkey=np.r_[pkey, pkey], ord=np.r_[ord_[at], ord1[at]], start=np.r_[start[at], start1[at]], size=np.r_[size, size])
+
+    return sorted_.mapInArrow(run, "pkey long, ord long, start long, size long")
+
+
+def _pieces(docs: DataFrame, runs_: DataFrame, stretches: DataFrame, length: int) -> DataFrame:
+    """Rows pkey, piece, ord, start: the windows of runs that differ, in pieces, and the stretches."""
     import xxhash
 
-    wanted = candidates.groupBy("ord").agg(F.collect_list(F.struct("start", F.col("end").alias("windows"))).alias("runs"))  # bounded by the document
-    both = docs.join(wanted, "ord").select("ord", "text", "runs.start", "runs.windows")
+    none = F.lit(None).cast("long")
+    asked = runs_.select("ord", F.struct("start", F.col("end").alias("size"), none.alias("pkey")).alias("r")).union(stretches.select("ord", F.struct("start", "size", "pkey").alias("r")))
+    wanted = asked.groupBy("ord").agg(F.collect_list("r").alias("runs"))  # bounded by the document
+    both = docs.join(wanted, "ord").select("ord", "text", "runs.start", "runs.size", "runs.pkey")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (s for b in batches for s in slices(b, 1, BATCH_BYTES)):
             pkey, piece, ord_, at = [], [], [], []
-            for o, text, starts, windows in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+            for o, text, starts, sizes, keys in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
                 raw = text.encode()
-                for s, w in zip(starts, windows, strict=True):
+                for s, w, whole in zip(starts, sizes, keys, strict=True):
+                    if whole is not None:
+                        pkey.append(whole)
+                        piece.append(raw[s : s + w])
+                        ord_.append(o)
+                        at.append(s)
+                        continue
                     a = s + int(anchor_of(raw[s : s + length]))
                     # windows by their distance to the anchor, in equal steps whatever the run
                     lo = s
@@ -287,8 +336,11 @@ def _merged(pieces: DataFrame, length: int) -> DataFrame:
 
     def settle(strings: list[bytes], ord_: list[int], start: list[int]) -> pa.RecordBatch:
         own, offset, block = bwt.repeated(strings, length, SHARD_BYTES)
-        o, s = np.array(ord_)[own], np.array(start)[own] + offset
-        late = _places(block, (o, s)) > 0 if len(block) else np.zeros(0, dtype=bool)
+        o, s = np.array(ord_, dtype=np.int64)[own], np.array(start, dtype=np.int64)[own] + offset
+        by = np.lexsort((s, o, block))  # a window that stands in several strings is one place
+        o, s, block = o[by], s[by], block[by]
+        head = np.maximum.accumulate(np.where(np.r_[True, block[1:] != block[:-1]], np.arange(len(o)), 0)) if len(o) else by
+        late = (o != o[head]) | (s != s[head])
         o, s, e = _spans(o[late], s[late], s[late] + length)
         return _batch(ord=o, start=s, end=e)
 
@@ -347,11 +399,12 @@ def repeated_spans(docs: DataFrame, length: int = 100) -> DataFrame:
     ``docs`` has ``ord`` (the order, unique) and ``text`` (not null).
     """
     met = stage(_met(_described(docs, length), length), "runs-met")
-    pieces = stage(_pieces(docs, met.filter("key is not null"), length), "pieces")
+    stretches = _stretches(met.filter("ord1 is not null"), length)
+    pieces = stage(_pieces(docs, met.filter("key is not null"), stretches, length), "pieces")
     large = stage(pieces.groupBy("pkey").agg(F.count("*").alias("n")).filter(F.col("n") > GROUP_MOST).select("pkey"), "pieces-large")
     if not large.isEmpty():
         pieces = pieces.join(large, "pkey", "left_anti").unionByName(_apart(pieces.join(large, "pkey", "left_semi"), length))
-    spans = met.filter("key is null").select("ord", "start", "end").union(stage(_merged(pieces, length), "pieces-merged"))
+    spans = met.filter("key is null and ord1 is null").select("ord", "start", "end").union(stage(_merged(pieces, length), "pieces-merged"))
     return stage(spans.groupBy("ord").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends")), "spans")
 
 
