@@ -26,7 +26,8 @@ broadcast or by a shuffled join; only those texts are read again for verificatio
 
 Tokens are runs of letters and digits, lower-cased. Defined results: null and empty
 texts have no tokens and no hits; nor have documents shorter than the item's seeds; rows with a null document id are reported under a
-null id; repeated rows count once in ``pairs``; an empty table on either side gives none.
+null id; repeated rows count once in ``pairs``; an empty table on either side gives none;
+extra columns aren't read by ``pairs`` and, whatever their names, passed on by ``clean``.
 """
 
 from __future__ import annotations
@@ -160,9 +161,13 @@ def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     Rows are told apart by id and text, so a clean row that shares its id (or has none)
     stays. The contaminated keys are written first: their size then decides the join.
     """
-    key = [F.col(id_col).alias("__id"), F.xxhash64(F.col(text_col).cast("string")).alias("__hash")]
-    found = hits(docs.select(*key, F.col(text_col)), items, ["__id", "__hash"], text_col, **how)
-    found = stage(found.select("__id", "__hash").distinct(), "contaminated")
-    marked = docs.withColumn("__hash", F.xxhash64(F.col(text_col).cast("string")))
-    same = F.col(f"d.{id_col}").eqNullSafe(F.col("f.__id")) & (F.col("d.__hash") == F.col("f.__hash"))
-    return marked.alias("d").join(found.alias("f"), same, "left_anti").drop("__hash").select(*docs.columns)
+    names = {c.lower() for c in docs.columns}
+    mark = "__hash"
+    while mark in names:
+        mark += "_"
+    digest = F.xxhash64(F.col(text_col).cast("string"))
+    keys = docs.select(F.col(id_col).alias("__id"), digest.alias("__digest"), F.col(text_col).alias("__text"))
+    found = stage(hits(keys, items, ["__id", "__digest"], "__text", **how).select("__id", "__digest").distinct(), "contaminated")
+    marked = docs.withColumn(mark, digest)
+    same = F.col(f"d.{id_col}").eqNullSafe(F.col("f.__id")) & (F.col(f"d.{mark}") == F.col("f.__digest"))
+    return marked.alias("d").join(found.alias("f"), same, "left_anti").select(*docs.columns)

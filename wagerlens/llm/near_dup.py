@@ -25,7 +25,7 @@ one with fewer words than a shingle has its whole sequence as one shingle; a row
 null id stands alone, its component is null and it is kept; every distinct (id, text)
 is a node of its own, and rows that repeat one are each returned; a component is named
 by its smallest id, and of several texts of that id in it one is kept; an empty table
-gives an empty table.
+gives an empty table; extra columns aren't read.
 """
 
 from __future__ import annotations

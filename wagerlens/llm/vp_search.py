@@ -19,7 +19,7 @@ Defined results: vectors that are null, zero, or hold a null or non-finite compo
 take no part, nor do null ids; vectors of another length than the query's aren't
 compared with it; rows equal in id and vector count once, and rows with the query's own
 id are never its neighbours; scores that agree to 12 decimals are ties and go to the
-smaller id; empty tables give no rows.
+smaller id; empty tables give no rows; extra columns aren't read.
 """
 
 from __future__ import annotations
