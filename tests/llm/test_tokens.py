@@ -7,7 +7,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from wagerlens.llm.token_count import Counter, count_tokens
-from wagerlens.llm.token_shards import PerfectHash, Shard, fingerprint, lookup, read_back, token_shards, without_id, write_shards
+from wagerlens.llm.token_shards import PerfectHash, Shard, WordEncoder, fingerprint, lookup, read_back, token_shards, without_id, write_shards
 from wagerlens.llm._io import new_path
 
 WORDS = P.path("word_bpe_49k.json")
@@ -61,6 +61,14 @@ def test_shards_round_trip(spark):
     assert token_shards(spark.createDataFrame([], SCHEMA), WORDS).count() == 0
 
 
+def test_plain_words_and_marks_after_any_letter_equal_the_library():
+    library, encoder = Tokenizer.from_file(WORDS), WordEncoder(WORDS, "<|startoftext|>")
+    letters = [chr(c) for c in range(0x41, 0x250) if chr(c).isalpha()]
+    texts = [f"{x}{m} a{x}{m} {x}b{x}" for x in letters for m in ("!", "***", ".,")] + [" ".join(letters), "ß ÿ ÷ × the cat", *odd_texts(800, 9)]
+    for t, raw in zip(texts, encoder.encode(texts), strict=True):
+        assert raw == np.array(library.encode(t, add_special_tokens=False).ids, dtype=encoder.kind).tobytes(), t
+
+
 def test_counts_equal_the_library(spark):
     library = Tokenizer.from_file(BYTES)
     texts = [None, "", "x" * 3000, "The cat, the CAT. " * 500, *odd_texts(3000, 4)]

@@ -19,7 +19,8 @@ JOINED = 256
 #: Bytes of text that are split and joined at once.
 BATCH_BYTES = 4_000_000
 
-_stem = re.compile(r"(.*[A-Za-zÀ-ÖØ-öø-ɏ])([.,;:!?*%$#&|]+)", re.S).fullmatch
+# without the dotted capital I, whose small form ends in a mark that joins what follows
+_stem = re.compile(r"(.*[A-Za-zÀ-ÖØ-öø-įı-ɏ])([.,;:!?*%$#&|]+)", re.S).fullmatch
 
 
 def load(path: str):
