@@ -46,6 +46,33 @@ def encode_apart(tokenizer, separator: str, words: list[str]) -> list[list[int]]
     return out
 
 
+#: Words of small letters that no normaliser changes: one piece of a pattern that takes runs of letters.
+plain_word = re.compile("[a-zà-öø-ÿ]+").fullmatch
+
+
+def last_tokens(tokenizer, suffix: str = "</w>") -> np.ndarray:
+    """Which ids end a piece, for vocabularies that mark it."""
+    vocabulary = tokenizer.get_vocab(with_added_tokens=True)
+    out = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+    out[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
+    return out
+
+
+def encode_plain(tokenizer, last: np.ndarray, separator: str, words: list[str]) -> list[list[int]]:
+    """Ids of each plain word, from texts of many words that are cut where a piece ends.
+
+    A text whose pieces aren't as many as its words is encoded word by word.
+    """
+    blocks = [words[i : i + JOINED] for i in range(0, len(words), JOINED)]
+    out: list[list[int]] = []
+    for block, e in zip(blocks, tokenizer.encode_batch_fast([" ".join(b) for b in blocks], add_special_tokens=False), strict=True):
+        ids = e.ids
+        cuts = [0, *(np.flatnonzero(last[ids]) + 1).tolist()]
+        whole = len(cuts) == len(block) + 1 and cuts[-1] == len(ids)
+        out += [ids[a:b] for a, b in zip(cuts, cuts[1:], strict=False)] if whole else encode_apart(tokenizer, separator, block)
+    return out
+
+
 def stem_and_marks(word: str) -> tuple[str, str]:
     """(word up to its last letter, closing marks): two pieces in every pattern used here."""
     m = _stem(word)

@@ -173,6 +173,7 @@ class WordEncoder:
         self.separator = separator
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.kind = "<u2" if self.width == 2 else "<u4"
+        self.last = _library.last_tokens(self.tokenizer)
         self.memo: dict[bytes, bytes] = {}
 
     def _pack(self, ids: list[int]) -> bytes:
@@ -209,9 +210,12 @@ class WordEncoder:
             todo.update(parts[w])
         todo.discard(b"")
         todo.difference_update(self.memo)
-        order = list(todo)
-        for w, ids in zip(order, _library.encode_apart(self.tokenizer, self.separator, [w.decode() for w in order]), strict=True):
-            self.memo[w] = self._pack(ids)
+        words = [w.decode() for w in todo]
+        plain = [w for w in words if _library.plain_word(w)]
+        others = [w for w in words if not _library.plain_word(w)]
+        for some, found in ((plain, _library.encode_plain(self.tokenizer, self.last, self.separator, plain)), (others, _library.encode_apart(self.tokenizer, self.separator, others))):
+            for w, ids in zip(some, found, strict=True):
+                self.memo[w.encode()] = self._pack(ids)
         for w, (stem, marks) in parts.items():
             self.memo[w] = self.memo.get(stem, b"") + self.memo.get(marks, b"")
 
