@@ -8,9 +8,13 @@ vector there is at least ``|distance - radius|`` away. ``factor`` relaxes that:
 pruned when ``factor`` times the bound passes the k-th distance found so far, so one
 restores exact search, and more prunes harder. All queries of a block go down together.
 
-Every row is indexed; a shard has about ``SHARD_ROWS`` rows. Queries come in blocks of
-about ``BLOCK_ROWS``; each meets each shard once, so a task holds one tree and one block
-whatever the tables' sizes. Entries that rounding leaves in question are scored again,
+Every row is indexed. Rows are dealt to the nearest of up to ``PIVOTS`` pivots, a sample of
+their own directions; a pivot's rows are one shard, or several of about ``SHARD_ROWS``
+where they are more. A query meets the shards of its nearest pivot first. That bounds how
+far its neighbours can be, and by the triangle inequality, relaxed by the same factor, it
+goes on only to pivots whose rows, all within a known radius, can hold one as near. Queries
+come in blocks of about ``BLOCK_ROWS``, so a task holds one tree and one block whatever the
+tables' sizes, and a tree travels only to blocks that need it. Entries that rounding leaves in question are scored again,
 cosine in double precision on the original vectors, and ranked by score and id at once,
 so a tree gives the k best ids of a query however many entries tie; the k best are then
 taken over all shards. Equal vectors are one entry of a tree with all their ids.
@@ -34,6 +38,8 @@ from pyspark.sql import functions as F
 from wagerlens.llm._io import stage
 
 SHARD_ROWS = 8_192
+#: Pivots that the driver and every task hold, at most.
+PIVOTS = 1_024
 BLOCK_ROWS = 2_048
 LEAF = 96
 #: Ties are cosines that agree in units of 1 / ``TIE``.
@@ -170,29 +176,117 @@ def _tree_of(table: pa.Table) -> pa.Table:
     cut = np.flatnonzero(np.diff(where.ravel()[order])) + 1
     own = [np.unique(x) for x in np.split(ids[order], cut)]
     blob = pickle.dumps(VpTree(distinct, own), protocol=5)
-    return pa.table({"dim": pa.array([vectors.shape[1]], pa.int32()), "shard": pa.array([table["shard"][0].as_py()], pa.int32()), "tree": pa.array([blob], pa.binary())})
+    place = {k: pa.array([table[k][0].as_py()], pa.int32()) for k in ("dim", "cell", "part")}
+    return pa.table({**place, "tree": pa.array([blob], pa.binary())})
 
 
-def build(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", shard_rows: int = SHARD_ROWS) -> tuple[DataFrame, int]:
-    """(dim, shard, tree) of every shard, written to the shared folder, and their number."""
-    rows = df.filter(usable(F.col(vector_col)) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
-    n = max(1, -(-rows.count() // shard_rows))
-    sharded = rows.select("id", "vector", F.size("vector").alias("dim"), F.pmod(F.xxhash64("id"), F.lit(n)).cast("int").alias("shard"))
-    return stage(sharded.groupBy("dim", "shard").applyInArrow(_tree_of, "dim int, shard int, tree binary"), "vp-trees"), n
+def _unit(vectors: np.ndarray) -> np.ndarray:
+    return vectors / np.sqrt(np.einsum("ij,ij->i", vectors, vectors))[:, None]
 
 
-def nearest(df: DataFrame, queries: DataFrame, k: int = 5, factor: float = 1.0, id_col: str = "vec_id", vector_col: str = "embedding", shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """query_id, rank, vec_id, score: the k nearest rows of ``df`` to each row of ``queries``."""
-    trees, n = build(df, id_col, vector_col, shard_rows)
-    asked = queries.filter(usable(F.col(vector_col)) & F.col(id_col).isNotNull())
-    asked = asked.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
-    asked = asked.groupBy("id").agg(F.min("vector").alias("vector"))
-    asked = stage(asked, "vp-queries")
-    blocks = max(1, -(-asked.count() // block_rows))
-    block = F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(blocks)).cast("int")
-    met = asked.select("id", "vector", F.size("vector").alias("dim"), block.alias("block"), F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("shard"))
-    spread = trees.select("*", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    key = ["dim", "shard", "block"]
+def _by_length(batch: pa.RecordBatch, column: int):
+    """(rows, their vectors as a matrix) for each length of vector in a batch."""
+    vectors = batch.column(column)
+    sizes = np.asarray(vectors.value_lengths())
+    for dim in np.unique(sizes):
+        at = np.flatnonzero(sizes == dim)
+        yield at, np.asarray(vectors.take(pa.array(at)).flatten(), dtype=np.float64).reshape(len(at), int(dim))
+
+
+def _nearest_pivot(unit: np.ndarray, pivots: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(nearest pivot, distance to it) of unit vectors; -1 where no pivot has their length."""
+    known = pivots.get(unit.shape[1])
+    if known is None:
+        return np.full(len(unit), -1), np.zeros(len(unit))
+    cell = (unit @ known.T).argmax(axis=1)
+    return cell, np.linalg.norm(unit - known[cell], axis=1)
+
+
+class Index:
+    """Trees by dim, cell and part, with the pivots and the reach of every cell."""
+
+    def __init__(self, trees: DataFrame, pivots: dict[int, np.ndarray], cells: dict[int, dict[int, tuple[float, int]]]):
+        self.trees, self.pivots, self.cells = trees, pivots, cells
+
+
+def build(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", shard_rows: int = SHARD_ROWS, pivots: int = PIVOTS) -> Index:
+    """The index of all rows, its trees written to the shared folder."""
+    rows = df.filter(usable(F.col(vector_col)) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
+    n = rows.count()
+    some = rows.orderBy(F.xxhash64("id"), "id").limit(max(1, min(pivots, -(-n // shard_rows)))).select("vector").collect()
+    known: dict[int, list] = {}
+    for r in some:
+        known.setdefault(len(r[0]), []).append(r[0])
+    known = {d: _unit(np.array(v)) for d, v in known.items()}
+
+    def deal(batches):
+        for batch in batches:
+            dim, cell, far = np.zeros(batch.num_rows, np.int32), np.zeros(batch.num_rows, np.int32), np.zeros(batch.num_rows)
+            for at, vectors in _by_length(batch, 1):
+                dim[at] = vectors.shape[1]
+                cell[at], far[at] = _nearest_pivot(_unit(vectors), known)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(dim), pa.array(cell), pa.array(far)], names=["id", "vector", "dim", "cell", "far"])
+
+    dealt = stage(rows.mapInArrow(deal, "id long, vector array<double>, dim int, cell int, far double"), "vp-rows")
+    cells: dict[int, dict[int, tuple[float, int]]] = {}
+    for r in dealt.groupBy("dim", "cell").agg(F.max("far").alias("reach"), F.ceil(F.count("*") / shard_rows).cast("int").alias("parts")).collect():  # at most a pivot each
+        cells.setdefault(r["dim"], {})[r["cell"]] = (r["reach"] if r["cell"] >= 0 else 2.0, r["parts"])
+    parts = dealt.sparkSession.createDataFrame([(d, c, x[1]) for d, own in cells.items() for c, x in own.items()], "dim int, cell int, parts int")
+    part = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
+    sharded = dealt.join(F.broadcast(parts), ["dim", "cell"]).select("id", "vector", "dim", "cell", part.alias("part"))
+    trees = sharded.groupBy("dim", "cell", "part").applyInArrow(_tree_of, "dim int, cell int, part int, tree binary")
+    return Index(stage(trees, "vp-trees"), known, cells)
+
+
+def _routed(queries: DataFrame, index: Index, factor: float, home: bool, blocks: int) -> DataFrame:
+    """id, vector, dim, cell, part, block: the shards that a query meets: those of its home pivot,
+    else all others that can hold a vector as near as its column ``least``, a cosine, says."""
+    pivots, cells = index.pivots, index.cells
+
+    def run(batches):
+        for batch in batches:
+            rows, dims, where, parts = [], [], [], []
+            for at, vectors in _by_length(batch, 1):
+                own = cells.get(vectors.shape[1])
+                if not own:
+                    continue
+                names = np.array(sorted(own))
+                reach, n = np.array([own[c][0] for c in names]), np.array([own[c][1] for c in names])
+                unit = _unit(vectors)
+                if vectors.shape[1] in pivots:
+                    cosine = unit @ pivots[vectors.shape[1]][names].T
+                    first = names[cosine.argmax(axis=1)]
+                    # a lower bound of the distance to any row of the cell
+                    free = np.sqrt(np.maximum(0, 2 - 2 * cosine - 1e-13)) - reach - _EPS
+                else:
+                    first, free = np.full(len(at), -1), np.zeros((len(at), len(names)))
+                if home:
+                    go = names[None, :] == first[:, None]
+                else:
+                    least = np.asarray(batch.column(2).fill_null(-1.0))[at]
+                    limit = np.sqrt(np.maximum(0, 2 - 2 * least) + 2 * _SLACK)
+                    go = (names[None, :] != first[:, None]) & (factor * free <= limit[:, None])
+                q, c = np.nonzero(go)
+                times = n[c]
+                rows.append(np.repeat(at[q], times))
+                where.append(np.repeat(names[c], times))
+                parts.append(np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times))
+                dims.append(np.full(int(times.sum()), vectors.shape[1]))
+            at, dim, cell, part = (np.concatenate(x).astype(np.int32) if x else np.empty(0, np.int32) for x in (rows, dims, where, parts))
+            for lo in range(0, len(at), 4096):
+                some = slice(lo, lo + 4096)
+                taken = batch.take(pa.array(at[some]))
+                yield pa.RecordBatch.from_arrays([taken.column(0), taken.column(1), pa.array(dim[some]), pa.array(cell[some]), pa.array(part[some])], names=["id", "vector", "dim", "cell", "part"])
+
+    met = queries.mapInArrow(run, "id long, vector array<double>, dim int, cell int, part int")
+    return met.withColumn("block", F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(blocks)).cast("int"))
+
+
+def _searched(met: DataFrame, index: Index, k: int, factor: float) -> DataFrame:
+    """query_id, vec_id, score, tie: the k best of every shard that a query meets."""
+    met = stage(met, "vp-met")
+    key = ["dim", "cell", "part", "block"]
+    spread = index.trees.join(met.select(*key[:3], F.col("block").alias("of")).distinct(), key[:3])
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
         out = {"query_id": np.empty(0, np.int64), "vec_id": np.empty(0, np.int64), "score": np.empty(0)}
@@ -203,9 +297,26 @@ def nearest(df: DataFrame, queries: DataFrame, k: int = 5, factor: float = 1.0,
             out = {"query_id": ids[who], "vec_id": names[who, place], "score": cosines[who, place]}
         return pa.table({**{c: pa.array(x) for c, x in out.items()}, "tie": pa.array(np.rint(out["score"] * TIE).astype(np.int64))})
 
-    found = met.groupBy(*key).cogroup(spread.groupBy(*key)).applyInArrow(search, "query_id long, vec_id long, score double, tie long")
-    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"), F.max("tie").alias("tie"))
+    return stage(met.groupBy(*key).cogroup(spread.groupBy(*key[:3], "of")).applyInArrow(search, "query_id long, vec_id long, score double, tie long"), "vp-found")
+
+
+def nearest(df: DataFrame, queries: DataFrame, k: int = 5, factor: float = 1.0, id_col: str = "vec_id", vector_col: str = "embedding", shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """query_id, rank, vec_id, score: the k nearest rows of ``df`` to each row of ``queries``."""
+    index = build(df, id_col, vector_col, shard_rows)
+    asked = queries.filter(usable(F.col(vector_col)) & F.col(id_col).isNotNull())
+    asked = asked.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
+    asked = stage(asked.groupBy("id").agg(F.min("vector").alias("vector")), "vp-queries")
+    blocks = max(1, -(-asked.count() // block_rows))
     from pyspark.sql import Window
 
     best = Window.partitionBy("query_id").orderBy(F.desc("tie"), "vec_id")  # a few candidates from each shard
-    return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    def ranked(found: DataFrame) -> DataFrame:
+        once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"), F.max("tie").alias("tie"))
+        return once.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+
+    near = _searched(_routed(asked, index, factor, True, blocks), index, k, factor)
+    least = ranked(near).filter(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("least"))
+    open_ = asked.join(least, "id", "left").select("id", "vector", "least")
+    found = near.unionByName(_searched(_routed(open_, index, factor, False, blocks), index, k, factor))
+    return ranked(found).select("query_id", "rank", "vec_id", "score")
