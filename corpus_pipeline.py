@@ -23,7 +23,10 @@ def least_language(labels: int) -> float:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, or of no credible language, go."""
+    """Documents without a letter (also null and empty texts), or of no credible language, go.
+
+    Rows are judged one by one, so repeated ones and null ids fare alike; an empty table stays empty.
+    """
     learn_rows = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) != 2, F.lit(False))
     net = lang_id.learn(docs, learn_rows)
     if net is None:  # nothing to learn from: nothing can be rejected but texts without letters
@@ -35,7 +38,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies (five-word shingles, similarity 0.8) the least id stays.
 
-    Texts that share an id are told apart; of rows equal in id and text one stays.
+    Texts that share an id are told apart; of rows equal in id and text one stays. Rows with
+    a null id or text, and texts without words, are like nothing and stay; an empty table stays empty.
     """
     removed = near_dup.near_duplicates(docs, size=5, hash_col="__hash").filter(~F.col("kept")).select("doc_id", "__hash").distinct()
     node = ["doc_id", "__hash"]
@@ -51,19 +55,27 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def suffix_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Strings of 100 bytes that stand earlier already are cut out of the texts.
 
-    A character goes only if all its bytes do; a text may become empty, its row stays.
+    A character goes only if all its bytes do; a text may become empty, its row stays. A null
+    text becomes an empty one; null ids come first; an empty table stays empty.
     """
     cut = suffix_dedup.remove_repeats(docs, length=100, outputs=("kept_text",), keep_columns=("lang", "source"))
     return cut.select("doc_id", F.col("kept_text").alias("text"), "lang", "source", F.length("kept_text").cast("long").alias("n_chars"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a passage of a benchmark item go."""
+    """Documents that hold a passage of a benchmark item go.
+
+    Rows are told apart by id and text: a clean row that shares its id, or has none, stays,
+    as do null and empty texts; without items, or documents, nothing changes.
+    """
     return decontaminate.clean(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"), short=True)
 
 
 def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, with digests of the ids and of the decoded text."""
+    """Token ids of every document, with digests of the ids and of the decoded text.
+
+    A null or empty text has no ids; null ids and repeated rows pass through row by row.
+    """
     import public_tokenizers
 
     return merge_replay.encode_documents(

@@ -210,3 +210,19 @@ def test_sinks_and_reports(spark, tmp_path, capsys):
     assert [tuple(r) for r in reports.coverage(trials, {"a": 4, "c": 2}).orderBy("model").collect()] == [("a", 2, 4, 0.5), ("c", 0, 2, 0.0)]
     assert "model" in reports.as_text(trials, "Trials")
     assert main(["list"]) == 0 and "scenarios: " in capsys.readouterr().out
+
+
+def test_command_line_jobs(spark, tmp_path, capsys):
+    import json
+
+    from wagerlens.__main__ import main
+
+    spark.sql("select * from values ('1.0', timestamp'2024-01-05', 5L, 1L), ('x', timestamp'2024-02-05', 6L, 2L) as t(id, ts, us, player)").write.parquet(f"{tmp_path}/t.parquet")
+    (tmp_path / "schema.json").write_text(json.dumps({"id": "Int"}))
+    at = ["--data", str(tmp_path), "--log", f"{tmp_path}/log"]
+    assert main(["clean", "t", *at, "--schema", f"{tmp_path}/schema.json", "--out", f"{tmp_path}/clean"]) == 0
+    assert main(["sort", "t", *at, "--by", "ts", "--out", f"{tmp_path}/sorted"]) == 0
+    assert main(["label", "t", *at, "--by", "us", "--out", f"{tmp_path}/labelled"]) == 0
+    assert {r.id for r in spark.read.parquet(f"{tmp_path}/clean").collect()} == {"1", "x"} and "'months': 2" in capsys.readouterr().out
+    assert "outlier_label" in spark.read.parquet(f"{tmp_path}/labelled").columns
+    assert [json.loads(x)["command"] for x in open(f"{tmp_path}/log")] == ["clean", "sort", "label"]
