@@ -95,6 +95,16 @@ def test_merging_sampling_and_splits(spark):
     assert merging.distinct_sketch(spark.range(300).selectExpr("id % 100 as v"), [], "v").first().distinct_estimate == 100
 
 
+def test_distinct_counts_are_exact_beyond_the_sketch(spark):
+    rows = spark.range(9000).selectExpr("if(id < 6000, 1, if(id < 8900, 2, null)) as g", "if(id % 3 = 0, null, id % 4001) as v", "if(id % 2 = 0, '', cast(id % 700 as string)) as s")
+    for value in ("v", "s"):
+        want = {r[0]: r[1] for r in rows.groupBy("g").agg(F.count_distinct(value)).collect()}
+        assert {r[0]: r[1] for r in merging.distinct_counts(rows, ["g"], value, 9).collect()} == want
+    assert [r[0] for r in merging.distinct_counts(rows, [], "v", 9).collect()] == [rows.agg(F.count_distinct("v")).first()[0]]
+    assert [r[0] for r in merging.distinct_counts(rows.limit(9), [], "v", 9).collect()] == [6]
+    assert max(want.values()) < 512 < merging.distinct_counts(rows, [], "v", 9).first()[0]
+
+
 def test_undersampling_is_exact_and_holds_no_sample(spark):
     y = spark.range(30_000).select(F.col("id").alias("player"), (F.col("id") % 10 == 0).cast("int").alias("y"))
     out = merging.undersample(y, "y", 4)

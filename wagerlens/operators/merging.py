@@ -105,6 +105,21 @@ def distinct_sketch(df: DataFrame, by: list[str], value: str, lg_k: int = 10) ->
     return out.select(*by, F.theta_sketch_estimate("sketch").alias("distinct_estimate"), "sketch")
 
 
+def distinct_counts(df: DataFrame, by: list[str], value: str, lg_k: int = 10) -> DataFrame:
+    """Distinct values per group, exact: by the sketch where it holds them all, and counted in
+    the groups whose estimate reaches the sketch's size."""
+    # the sketch leaves empty strings out
+    marked = df.withColumn(value, F.concat(F.lit("="), F.col(value))) if dict(df.dtypes)[value] == "string" else df
+    sketches = distinct_sketch(marked, by, value, lg_k)
+    held = F.col("distinct_estimate") < 2**lg_k
+    large = sketches.filter(~held).select(*(F.col(c).alias(f"__{c}") for c in by))
+    same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by), F.lit(True))
+    rest = df.join(F.broadcast(large), same, "left_semi")  # few groups: each has about 2**lg_k rows at least
+    counted = rest.groupBy(*by).agg(F.count_distinct(value).alias("distinct_count"))
+    counted = counted if by else counted.join(large, F.lit(True), "left_semi")  # a total of no rows is a row
+    return sketches.filter(held).select(*by, F.col("distinct_estimate").cast("long").alias("distinct_count")).unionByName(counted)
+
+
 def merged_sketches(sketches: DataFrame, by: list[str], lg_k: int = 12) -> DataFrame:
     """Distinct values over the union of the groups' sketches."""
     return sketches.groupBy(*by).agg(F.theta_sketch_estimate(F.theta_union_agg("sketch", lg_k)).alias("distinct_estimate"))
