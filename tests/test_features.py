@@ -179,6 +179,17 @@ def test_limits_compare_with_the_previous_of_their_kind(make):
     assert make("f22", [], lim=lim) == {1: 1, 2: 1}
 
 
+def test_latest_limits_take_unknown_last_where_times_tie(spark):
+    rows = [(1, "LOGIN", 5, 2.0, None), (1, "LOGIN", 5, 2.0, "WEEK"), (1, "LOGIN", 4, 1.0, "DAY"), (1, "DEPOSIT", 5, None, "DAY"), (1, "DEPOSIT", 5, 7.0, None), (2, "GAME_TYPE", 5, None, None), (2, "GAME_TYPE", 5, None, "DAY"), (3, "LOGIN", None, 1.0, "DAY"), (3, "LOGIN", 1, 9.0, "DAY")]
+    frames = {k: spark.createDataFrame([], schema) for k, schema in EMPTY.items()} | {"lim": spark.createDataFrame(rows, EMPTY["lim"])}
+    got = {tuple(r) for r in FeatureContext(frames, W).feature("latest_limits").collect()}
+    duckdb = pytest.importorskip("duckdb").connect()
+    duckdb.execute("CREATE TABLE lim (player BIGINT, kind VARCHAR, us BIGINT, value DOUBLE, span VARCHAR)")
+    duckdb.executemany("INSERT INTO lim VALUES (?, ?, ?, ?, ?)", rows)
+    assert got == set(duckdb.execute(compose("latest_limits", numbers(W), "duckdb")[1]).fetchall())
+    assert got == {(1, "LOGIN", 2.0, "WEEK"), (1, "DEPOSIT", 7.0, None), (2, "GAME_TYPE", None, "DAY"), (3, "LOGIN", 9.0, "DAY")}
+
+
 def test_every_plan_names_known_tables_and_composes():
     for name in [*FEATURES, *VIEWS]:
         plans, base = needed(name)

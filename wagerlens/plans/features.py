@@ -333,7 +333,7 @@ FEATURES: dict[str, str] = {
     # legacy set and targets
     "transaction_amount_sum": f"SELECT player, {_r('sum(coalesce(amount, 0))')} AS transaction_amount_sum FROM tx GROUP BY player",
     "transaction_amount_sum_in_games": f"SELECT l.player, {_r('sum(coalesce(t.amount, 0))')} AS transaction_amount_sum_in_games FROM ses_link l JOIN tx t ON l.tx_id = t.tx_id GROUP BY l.player",
-    "latest_limits": """SELECT player, kind, value, span FROM (SELECT *, row_number() OVER (PARTITION BY player, kind ORDER BY us DESC, value, span) AS k FROM lim) l WHERE k = 1""",
+    "latest_limits": """SELECT player, kind, value, span FROM (SELECT *, row_number() OVER (PARTITION BY player, kind ORDER BY us DESC, value{nulls_last}, span{nulls_last}) AS k FROM lim) l WHERE k = 1""",
     "avg_nr_of_game_transactions": f"SELECT player, {_r('avg(CAST(n AS DOUBLE))')} AS avg_nr_of_game_transactions FROM (SELECT player, pk, count(*) AS n FROM ses_link GROUP BY player, pk) s GROUP BY player",
     "avg_nr_of_bet_parts_per_bet": f"SELECT p.player, {_r('avg(CAST(l.legs AS DOUBLE))')} AS avg_nr_of_bet_parts_per_bet FROM (SELECT b.pk, count(g.part_id) AS legs FROM bet b LEFT JOIN leg g ON b.pk = g.pk GROUP BY b.pk) l JOIN first_bettor p ON l.pk = p.pk GROUP BY p.player",
     "transactions": "SELECT d.player, CAST(sum(d.deposits) AS BIGINT) AS x_1_a, count(*) AS x_1_b, "
@@ -412,6 +412,7 @@ _SPARK = {
     "named_countries": "transform(filter(clubs, c -> contains(event, c.club)), c -> c.country)",
     "each_country": "explode_outer(c.countries)",
     "at_home": "array_contains(countries, {home})",
+    "nulls_last": " NULLS LAST",
 }
 _DUCKDB = {
     "q25": "quantile_cont(gap, 0.25)",
@@ -420,6 +421,7 @@ _DUCKDB = {
     "named_countries": "list_transform(list_filter(clubs, lambda c: contains(event, c.club)), lambda c: c.country)",
     "each_country": "unnest(CASE WHEN len(c.countries) = 0 THEN [NULL] ELSE c.countries END)",
     "at_home": "list_contains(countries, {home})",
+    "nulls_last": "",  # as it is there
 }
 
 
