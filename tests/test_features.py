@@ -2,6 +2,7 @@
 
 import pytest
 
+from wagerlens.plans import engine
 from wagerlens.plans.engine import SCENARIOS, FeatureContext, stats_row
 from wagerlens.plans.features import DAY_US, FEATURES, VIEWS, Window, compose, month_edges, needed
 from wagerlens.plans.engine import numbers
@@ -210,6 +211,18 @@ def test_partitioning_does_not_change_results(spark):
     assert got[0] == got[1]
 
 
+def test_no_query_of_a_wide_scenario_joins_many_frames(spark, tmp_path, monkeypatch):
+    frames = [spark.createDataFrame([(i, float(i)), (99, 1.0)], f"player long, c{i} double") for i in range(20)]
+    monkeypatch.setattr(engine, "shared_folder", lambda _: f"file://{tmp_path}")
+    out = engine.side_by_side(frames)
+    # a join sorts each of its frames: the memory of a task would grow with the features
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter") <= engine.JOINED
+    assert out.columns == ["player", *(f"c{i}" for i in range(20))]
+    got = {r.player: r[1:] for r in out.collect()}
+    assert got.pop(99) == (1.0,) * 20
+    assert got == {i: tuple(float(i) if k == i else None for k in range(20)) for i in range(20)}
+
+
 def test_scenario_fills_and_stats(spark):
     frames = {k: spark.createDataFrame([], schema) for k, schema in EMPTY.items()}
     frames["tx"] = spark.createDataFrame([tx(1, 0, "STAKE", 10), tx(2, 0, "DEPOSIT", 10, player=2)], TX)

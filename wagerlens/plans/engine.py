@@ -77,6 +77,9 @@ def numbers(window: Window) -> dict[str, object]:
     }
 
 
+#: Frames that meet in one query: each takes a sort, so memory, in every task of the join.
+JOINED = 8
+
 #: Shared plans worth staging, each after what it reads.
 SHARED = ("txw", "betw", "sesw", "bet_player", "ses_player", "first_bettor", "linked", "link_count", "stake_line", "days", "islands", "day_sums", "f0", "f1", "f3", "f14", "bet_legs", "limit_line", "interaction_hours", "shares", "fallen", "net_stakes")
 
@@ -92,6 +95,30 @@ def shared_folder(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def kept(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written to ``path`` and read back."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def side_by_side(frames: list[DataFrame]) -> DataFrame:
+    """The frames' columns for every player of any of them: a spine and left joins.
+
+    More than ``JOINED`` frames are computed one at a time in the folder all executors
+    share, and meet there in groups, so that the memory of a task doesn't grow with their number.
+    """
+    if len(frames) > JOINED:
+        root = f"{shared_folder(frames[0].sparkSession)}/wagerlens/frames-{uuid.uuid4().hex}"
+        frames = [kept(f, f"{root}/0-{i}") for i, f in enumerate(frames)]
+        level = 0
+        while len(frames) > JOINED:
+            level += 1
+            groups = [frames[i : i + JOINED] for i in range(0, len(frames), JOINED)]
+            frames = [kept(side_by_side(g), f"{root}/{level}-{i}") for i, g in enumerate(groups)]
+    spine = reduce(DataFrame.union, [f.select("player") for f in frames]).distinct()
+    return reduce(lambda a, b: a.join(b, "player", "left"), frames, spine)
+
+
 class FeatureContext:
     """Domain tables and a window; every feature is a lazy DataFrame over them."""
 
@@ -138,24 +165,20 @@ class FeatureContext:
         root = f"{shared_folder(self.spark)}/wagerlens/features-{uuid.uuid4().hex}"
         out = FeatureContext(dict(self.tables), self.window)
         for p in shared:
-            df = out.feature(p)
-            df.write.parquet(f"{root}/{p}")
-            out.tables[p] = self.spark.read.schema(df.schema).parquet(f"{root}/{p}")
+            out.tables[p] = kept(out.feature(p), f"{root}/{p}")
         return out
 
     def scenario(self, name: str) -> DataFrame:
         """One row per player that any feature knows; unknown where ``UNKNOWN``, else 0.
 
         Shared plans are staged, features over the same rows are one aggregation, and
-        the frames meet on the player: a spine and left joins.
+        the frames meet on the player.
         """
         pivots = [k for k in SCENARIOS[name] if k == "var10j"]
         keys = [k for k in SCENARIOS[name] if k not in pivots]
         ctx = self.staged(keys)
         names, extra = fuse(keys)
-        frames = [ctx.per_player(k, extra) for k in [*names, *pivots]]
-        spine = reduce(DataFrame.union, [f.select("player") for f in frames]).distinct()
-        out = reduce(lambda a, b: a.join(b, "player", "left"), frames, spine)
+        out = side_by_side([ctx.per_player(k, extra) for k in [*names, *pivots]])
         zero = [c for c, t in out.dtypes if c != "player" and t != "string" and not c.startswith(tuple(f"{u}_" for u in UNKNOWN))]
         return out.na.fill(0, zero)
 
