@@ -12,20 +12,16 @@ agree. So the round in which a block splits is the common prefix of its parts
 (``merge``), and the blocks after h rounds are the intervals of strings of length h that
 occur more than once (``intervals``).
 
-``intervals`` refines by ``STEP`` symbols a round: a transform then holds the gram before
-each suffix, and the places are sorted by whole grams. Suffixes that are shorter than the
-length reached so far hold their mark, so they repeat nothing and leave the transforms;
-suffixes with fewer than ``STEP`` symbols before them have no suffix to lead to.
+``intervals`` refines by several symbols a round, as many as one number holds: a transform
+then holds the gram before each suffix, and the places are sorted by whole grams. Suffixes
+that are shorter than the length reached so far hold their mark, so they repeat nothing and
+leave the transforms; suffixes with fewer symbols before them have no suffix to lead to.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-#: Symbols of a refinement.
-STEP = 4
-
-
 def collection(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(symbols: bytes plus one and a 0 after each string, places of the marks)."""
     raw = np.frombuffer(b"".join(s + b"\0" for s in strings), dtype=np.uint8)
@@ -109,41 +105,63 @@ def merge(transforms: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndar
     return z, block, prefix
 
 
-def grams_before(symbols: np.ndarray, ends: np.ndarray, step: int) -> np.ndarray:
-    """The ``step`` symbols before every place as one number; 0 where the string has fewer."""
+def grams_before(symbols: np.ndarray, ends: np.ndarray, step: int, base: int = 257) -> np.ndarray:
+    """The ``step`` symbols (less than ``base``) before every place as one number; 0 where the string has fewer."""
     n = len(symbols)
     begin = np.r_[0, ends[:-1] + 1]
     offset = np.arange(n) - np.repeat(begin, np.diff(np.r_[-1, ends]))
     gram = np.zeros(n, dtype=np.uint64)
     for j in range(min(step, n), 0, -1):
-        gram[j:] = gram[j:] * np.uint64(257) + symbols[: n - j]
+        gram[j:] = gram[j:] * np.uint64(base) + symbols[: n - j]
     gram[offset < step] = 0
     return gram
 
 
-def intervals(shards: list[tuple[np.ndarray, np.ndarray, np.ndarray]], depth: int, step: int = STEP) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+def _order(symbol: np.ndarray) -> np.ndarray:
+    """Stable order of numbers below 2**32, by their halves."""
+    if symbol.dtype == np.uint16:
+        return np.argsort(symbol, kind="stable")
+    low = np.argsort(symbol.astype(np.uint16), kind="stable")
+    return low[np.argsort((symbol >> 16).astype(np.uint16)[low], kind="stable")]
+
+
+def intervals(shards: list[tuple[np.ndarray, np.ndarray, np.ndarray]], depth: int, step: int | None = None) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
     """(shard of each place, ranks of the suffixes in each shard in their order, block of each
     place) of the suffixes with at least ``depth`` symbols, after rounds that add up to ``depth``.
 
-    A shard is (symbols, places of the marks, suffix array).
+    A shard is (symbols, places of the marks, suffix array). A round takes ``step`` symbols,
+    as many as 64 bits hold where it isn't given; the first one what is left over.
     """
     owner = np.uint8 if len(shards) <= 256 else np.uint16
     lengths = [lengths_of(len(s), e)[o].astype(np.int32) for s, e, o in shards]
     z = np.repeat(np.arange(len(shards), dtype=owner), [len(x) for x in lengths])
     block = np.zeros(len(z), dtype=np.int32)
+    used = np.flatnonzero(np.bincount(np.concatenate([np.bincount(s, minlength=257).nonzero()[0] for s, _, _ in shards]), minlength=257))
+    code = np.zeros(257, dtype=np.uint64)
+    code[used] = np.arange(len(used))
+    code[1:] += np.uint64(used[0] != 0)  # 0 stays the mark
+    base = max(2, int(code.max()) + 1)
+    most = 1
+    while base ** (most + 1) < 1 << 64:
+        most += 1
+    step = max(1, min(step or most, most, depth))
     reached, made = 0, (0, [])
     while reached < depth:
-        size = min(step, depth - reached)
+        size = step if reached else depth % step or step
         if made[0] != size:
-            names, places = np.unique(np.concatenate([grams_before(s, e, size)[o] for s, e, o in shards]), return_inverse=True)
-            if not names[0] == 0:  # 0 is "no gram"
-                places = places + 1
-            kind = np.uint16 if len(names) < 65_535 else np.int32
-            made = size, np.split(places.astype(kind), np.cumsum([len(x) for x in lengths])[:-1])
+            grams = np.concatenate([grams_before(code[s], e, size, base)[o] for s, e, o in shards])
+            if base**size < 65_536:
+                places = grams.astype(np.uint16)
+            else:
+                names, places = np.unique(grams, return_inverse=True)
+                if not names[0] == 0:  # 0 is "no gram"
+                    places = places + 1
+                places = places.astype(np.uint16 if len(names) < 65_535 else np.uint32)
+            made = size, np.split(places, np.cumsum([len(x) for x in lengths])[:-1])
         flat = np.concatenate([t[n >= reached] for t, n in zip(made[1], lengths, strict=True)])
         symbol = np.empty_like(flat)
         symbol[np.argsort(z, kind="stable")] = flat  # each shard gives its own in turn
-        order = np.argsort(symbol, kind="stable")
+        order = _order(symbol)
         order = order[int(np.count_nonzero(symbol == 0)) :]
         z, block, symbol = z[order], block[order], symbol[order]
         new = np.ones(len(z), dtype=bool)
@@ -153,7 +171,7 @@ def intervals(shards: list[tuple[np.ndarray, np.ndarray, np.ndarray]], depth: in
     return z, [np.flatnonzero(n >= depth) for n in lengths], block
 
 
-def repeated(strings: list[bytes], length: int, shard_bytes: int = 1 << 20, step: int = STEP) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def repeated(strings: list[bytes], length: int, shard_bytes: int = 1 << 20, step: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(string, offset, block) of every suffix whose first ``length`` bytes occur more than once.
 
     Strings are dealt to two shards at least, of about ``shard_bytes``, so what repeats meets in the merge.

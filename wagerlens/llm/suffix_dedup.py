@@ -49,8 +49,8 @@ BATCH_BYTES = 4_000_000
 RUNS = 1_500_000
 #: Bytes of a stretch of equal runs.
 STRETCH = 1 << 16
-#: Bytes of pieces that one merge takes, and of one of its shards.
-MERGE_BYTES, SHARD_BYTES = 2_000_000, 500_000
+#: Bytes of pieces that one merge takes (whole groups), and of one of its shards: what a core's cache holds.
+MERGE_BYTES, SHARD_BYTES = 128_000, 64_000
 #: Pieces of a group beyond which its windows go apart.
 GROUP_MOST = 8_000
 
