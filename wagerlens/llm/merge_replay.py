@@ -32,8 +32,8 @@ from wagerlens.llm._io import held, slices, trim
 MEMO = 300_000
 #: Bytes of distinct words that one replay takes; a longer word is replayed alone.
 REPLAY_BYTES = 8_000_000
-#: Bytes of text that are split and joined at once.
-BATCH_BYTES = 6_000_000
+#: Bytes of text that are split and joined at once: a worker's memory follows it.
+BATCH_BYTES = 1_000_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
